@@ -23,16 +23,21 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate results.
+
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
+    session that names none gets a folder of its own.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ledgerlink-checkpoint-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -41,5 +46,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where a result feeds several consumers or an iteration. The files
     survive the loss of executors, so nothing before this point is recomputed.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
