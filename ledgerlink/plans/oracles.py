@@ -403,7 +403,7 @@ def _build() -> dict[str, str]:
         "ledger_normalize": """
 SELECT o_orderkey AS row_ord, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS erp_id,
   CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date,
-  CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END AS merchant_name,
+  CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority ELSE '' END AS merchant_name,
   o_totalprice AS amount, 'INR' AS currency, 0.5::DOUBLE AS tax_line_item
 FROM orders""",
         "id_extract": _with(
@@ -455,7 +455,7 @@ FROM orders""",
             " WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.erp_id = p.erp_id"
             " AND t.bank_ref = p.bank_ref AND t.match_type = 'exact' AND p.ek % 5 <> 0)",
         ),
-        "name_tokens_exact_case": _with(
+        "name_tokens": _with(
             _ORDERS,
             f"SELECT k AS row_ord, array_to_string({_tokens('merchant')}, ' ') AS tokens FROM ledger",
         ),
@@ -464,7 +464,7 @@ FROM orders""",
             f"SELECT k AS row_ord, array_to_string({_tokens('lower(merchant)')}, ' ') AS tokens"
             " FROM ledger",
         ),
-        "amount_delta_by_key": _with(
+        "amount_delta": _with(
             _ORDERS,
             "SELECT k AS row_ord, abs(amt + tax - fee - net) / 100.0::DOUBLE AS amount_delta"
             " FROM ledger JOIN statement USING (k)",
@@ -475,6 +475,21 @@ FROM orders""",
         "amount_band_pairs": _with(
             f"{_pairs(False)}, {_scored('by_band', 'top')}", f"{_PAIR_COLUMNS} FROM top"
         ),
+        "candidate_pairs": _with(
+            f"{_pairs(False)}, {_scored('by_token', 'best_t')}, {_scored('by_band', 'best_b')}",
+            "SELECT ek AS erp_ord, bk AS bank_ord FROM best_t"
+            " UNION SELECT ek, bk FROM best_b",
+        ),
+        "candidate_scores": _with(
+            f"""{_ORDERS},
+le AS (SELECT k AS ek, erp_id, {_tokens('lower(merchant)')} AS et, amt + tax AS gross, day,
+  merchant, currency FROM ledger),
+st AS (SELECT k AS bk, bank_ref, {_tokens('lower(description)')} AS bt, net + fee AS settled,
+  sday, description FROM statement),
+same AS (SELECT k AS ek, k AS bk FROM src), {_scored('same', 'top')}""",
+            "SELECT ek AS erp_ord, bk AS bank_ord, overlap, amount_delta, days, score"
+            " FROM top_score",
+        ),
         "top_k_candidates": _with(_top(), f"{_PAIR_COLUMNS} FROM top"),
         "top_k_candidates_folded": _with(_top(True), f"{_PAIR_COLUMNS} FROM top"),
         "rule_decisions": _with(_decided(), f"SELECT {_DECISION_ROWS} FROM decided"),
@@ -494,7 +509,7 @@ FROM orders""",
         ),
         "evaluator_plugin": _with(_top(), _agreeing("FALSE", "''")),
         "evaluator_faults": _with(_top(), _agreeing(faulty, fault)),
-        "greedy_assignment_all": _with(
+        "greedy_assignment": _with(
             f"{_top()}, {_assigned('top')}",
             "SELECT erp_id, bank_ref, rnk AS rank FROM assigned JOIN top USING (ek, bk, rnk)",
         ),
@@ -567,7 +582,7 @@ FROM orders""",
         ),
         "pair_set_difference": _with(
             final,
-            "SELECT erp_id, bank_ref, 1 AS p, 0 AS t FROM (SELECT erp_id, bank_ref FROM report"
+            "SELECT erp_id, bank_ref, 1::BIGINT AS p, 0::BIGINT AS t FROM (SELECT erp_id, bank_ref FROM report"
             " EXCEPT SELECT erp_id, bank_ref FROM truth) UNION ALL"
             " SELECT erp_id, bank_ref, 0, 1 FROM (SELECT erp_id, bank_ref FROM truth"
             " EXCEPT SELECT erp_id, bank_ref FROM report)",

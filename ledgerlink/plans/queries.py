@@ -5,6 +5,7 @@ Outputs are flattened for comparison: money as double, dates as text.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,13 @@ _results: dict[tuple, ReconResult] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query under its function's name, with its output flattened."""
+
+    @functools.wraps(function)
+    def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _flat(function(spark, sf_dir))
+
+    QUERIES[function.__name__.removesuffix("_")] = flat
     return function
 
 
@@ -52,8 +59,8 @@ def _truth(spark, sf_dir):
     return derived.derived_truth_pairs(spark, sf_dir)
 
 
-def _plain(rows: DataFrame) -> DataFrame:
-    """Money as double, dates as text, without the run column."""
+def _flat(rows: DataFrame) -> DataFrame:
+    """Money as double, integers as bigint, dates as text, without the run column."""
     columns = []
     for field in rows.schema:
         if field.name == "run_id":
@@ -63,6 +70,8 @@ def _plain(rows: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
+        elif isinstance(field.dataType, T.IntegerType):
+            column = column.cast("bigint")
         columns.append(column.alias(field.name))
     return rows.select(*columns)
 
@@ -77,34 +86,34 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @query
 def fixture_ledger(spark, sf_dir):
-    return _plain(derived.derived_ledger(spark, sf_dir))
+    return derived.derived_ledger(spark, sf_dir)
 
 
 @query
 def fixture_statement(spark, sf_dir):
-    return _plain(derived.derived_statement(spark, sf_dir))
+    return derived.derived_statement(spark, sf_dir)
 
 
 @query
 def fixture_truth(spark, sf_dir):
-    return _plain(_truth(spark, sf_dir))
+    return _truth(spark, sf_dir)
 
 
 @query
 def ledger_scan(spark, sf_dir):
     """The ledger written as CSV and read back through the CSV reader."""
     folder = _scratch(spark, "ledger")
-    rows = derived.derived_ledger(spark, sf_dir).drop("run_id", "row_ord")
+    rows = derived.derived_ledger(spark, sf_dir).drop("row_ord")
     rows.write.option("header", True).csv(folder)
-    return _plain(files.read_ledger(spark, folder)).drop("row_ord")
+    return files.read_ledger(spark, folder).drop("row_ord")
 
 
 @query
 def statement_scan(spark, sf_dir):
     folder = _scratch(spark, "statement")
-    rows = derived.derived_statement(spark, sf_dir).drop("run_id", "row_ord")
+    rows = derived.derived_statement(spark, sf_dir).drop("row_ord")
     rows.write.option("header", True).csv(folder)
-    return _plain(files.read_statement(spark, folder)).drop("row_ord")
+    return files.read_statement(spark, folder).drop("row_ord")
 
 
 @query
@@ -123,7 +132,8 @@ def ledger_normalize(spark, sf_dir):
         F.lit("0.5").alias("tax_line_item"),
     )
     typed = files.ledger_from_table(raw, "k")
-    return _plain(typed.withColumn("date", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(""))))
+    date = F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(""))
+    return typed.withColumn("date", date).na.fill("", ["merchant_name"])
 
 
 @query
@@ -143,7 +153,7 @@ def truth_explode(spark, sf_dir):
     folder = _scratch(spark, "truth")
     documents.drop("part").write.json(folder)
     pairs, _ = files.explode_truth(spark.read.schema(TRUTH).json(folder), F.lit("orders"))
-    return _plain(pairs)
+    return pairs
 
 
 # --- Text and exact stage -------------------------------------------------------
@@ -183,7 +193,7 @@ def id_ambiguous(spark, sf_dir):
 
 @query
 def exact_matches(spark, sf_dir):
-    return _plain(_pipeline(spark, sf_dir).exact).select(
+    return _pipeline(spark, sf_dir).exact.select(
         "erp_id", "bank_ref", "amount", "erp_ord", "bank_ord"
     )
 
@@ -229,7 +239,7 @@ def key_multiplicity(spark, sf_dir):
         (F.floor(F.col("net_amount") / 50000) * 50000).cast(MONEY).alias("net_amount"),
     )
     counted = exact.key_multiplicity(ledger, bank)
-    return _plain(counted.select("side", "erp_id", "amount", "n"))
+    return counted.select("side", "erp_id", "amount", "n")
 
 
 @query
@@ -237,17 +247,17 @@ def duplicate_keys(spark, sf_dir):
     found = exact.duplicate_keys(
         _coarse_keys(spark, sf_dir), derived.derived_statement(spark, sf_dir)
     )
-    return found.drop("run_id")
+    return found
 
 
 @query
 def unresolved_erp(spark, sf_dir):
-    return _plain(_pipeline(spark, sf_dir).unresolved_ledger)
+    return _pipeline(spark, sf_dir).unresolved_ledger
 
 
 @query
 def unresolved_bank(spark, sf_dir):
-    return _plain(_pipeline(spark, sf_dir).unresolved_statement)
+    return _pipeline(spark, sf_dir).unresolved_statement
 
 
 @query
@@ -258,16 +268,14 @@ def exact_false_positives(spark, sf_dir):
         "match_type", F.when(k % 5 == 0, "fuzzy_name").otherwise(F.col("match_type"))
     )
     run = _pipeline(spark, sf_dir)
-    return _plain(
-        exact.exact_false_positives(run.exact, doubted, run.ledger, run.statement)
-    )
+    return exact.exact_false_positives(run.exact, doubted, run.ledger, run.statement)
 
 
 # --- Candidate stage ------------------------------------------------------------
 
 
 @query
-def name_tokens_exact_case(spark, sf_dir):
+def name_tokens_(spark, sf_dir):
     ledger = derived.derived_ledger(spark, sf_dir)
     return _token_rows(ledger, fold_case=False)
 
@@ -283,7 +291,7 @@ def _token_rows(ledger: DataFrame, fold_case: bool) -> DataFrame:
 
 
 @query
-def amount_delta_by_key(spark, sf_dir):
+def amount_delta_(spark, sf_dir):
     ledger = derived.derived_ledger(spark, sf_dir)
     statement = derived.derived_statement(spark, sf_dir)
     pairs = ledger.join(statement, ["run_id", "row_ord"])
@@ -291,7 +299,7 @@ def amount_delta_by_key(spark, sf_dir):
         gross_amount(F.col("amount"), F.col("tax_line_item")),
         settled_amount(F.col("net_amount"), F.col("fee_deducted")),
     )
-    return _plain(pairs.select("row_ord", delta.alias("amount_delta")))
+    return pairs.select("row_ord", delta.alias("amount_delta"))
 
 
 def _features(spark, sf_dir, fold_case=False):
@@ -305,7 +313,7 @@ def _features(spark, sf_dir, fold_case=False):
 
 
 def _pair_rows(pairs: DataFrame) -> DataFrame:
-    return _plain(pairs).select(
+    return pairs.select(
         "erp_ord", "bank_ord", "rank", "overlap", "amount_delta", "days", "score"
     )
 
@@ -326,6 +334,27 @@ def amount_band_pairs(spark, sf_dir):
     return _pair_rows(candidates.rank_pairs(pairs, config.max_candidates))
 
 
+@query
+def candidate_pairs(spark, sf_dir):
+    """What either way of being plausible contributes to the final ranking."""
+    erp, bank, config = _features(spark, sf_dir)
+    parts = [
+        candidates.rank_pairs(pairs(erp, bank, config), config.max_candidates)
+        for pairs in (candidates.token_pairs, candidates.band_pairs)
+    ]
+    return parts[0].unionByName(parts[1]).select("erp_ord", "bank_ord").distinct()
+
+
+@query
+def candidate_scores(spark, sf_dir):
+    """The score of every ledger row with the statement row of the same order."""
+    config = ReconConfig(fold_case=True)
+    erp = candidates.ledger_features(derived.derived_ledger(spark, sf_dir), config)
+    bank = candidates.statement_features(derived.derived_statement(spark, sf_dir), config)
+    pairs = erp.join(bank.drop("run_id"), F.col("erp_ord") == F.col("bank_ord"))
+    return candidates.score_pairs(pairs).drop("erp_id", "bank_ref")
+
+
 @query
 def top_k_candidates(spark, sf_dir):
     return _pair_rows(_pipeline(spark, sf_dir).candidates)
@@ -416,7 +445,7 @@ def evaluator_faults(spark, sf_dir):
 
 
 @query
-def greedy_assignment_all(spark, sf_dir):
+def greedy_assignment_(spark, sf_dir):
     """Assignment with every ranked candidate eligible."""
     pairs = greedy_assignment(_pipeline(spark, sf_dir).candidates)
     return pairs.select("erp_id", "bank_ref", "rank")
@@ -429,7 +458,7 @@ def greedy_assignment_accepted(spark, sf_dir):
 
 @query
 def decision_log(spark, sf_dir):
-    return _pipeline(spark, sf_dir).log.drop("run_id", "erp_ord")
+    return _pipeline(spark, sf_dir).log.drop("erp_ord")
 
 
 # --- Reports --------------------------------------------------------------------
@@ -437,17 +466,17 @@ def decision_log(spark, sf_dir):
 
 @query
 def matched_report(spark, sf_dir):
-    return _plain(_pipeline(spark, sf_dir).matched)
+    return _pipeline(spark, sf_dir).matched
 
 
 @query
 def erp_exceptions(spark, sf_dir):
-    return _pipeline(spark, sf_dir).erp_exceptions.drop("run_id", "details")
+    return _pipeline(spark, sf_dir).erp_exceptions.drop("details")
 
 
 @query
 def bank_exceptions(spark, sf_dir):
-    return _pipeline(spark, sf_dir).bank_exceptions.drop("run_id", "details")
+    return _pipeline(spark, sf_dir).bank_exceptions.drop("details")
 
 
 @query
@@ -470,28 +499,28 @@ def exception_details(spark, sf_dir):
 
 @query
 def exception_counts(spark, sf_dir):
-    return metrics.exception_counts(_pipeline(spark, sf_dir).exceptions).drop("run_id")
+    return metrics.exception_counts(_pipeline(spark, sf_dir).exceptions)
 
 
 @query
 def run_metrics(spark, sf_dir):
-    return _pipeline(spark, sf_dir).metrics.drop("run_id")
+    return _pipeline(spark, sf_dir).metrics
 
 
 @query
 def kpi_summary(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
-    return metrics.kpi_summary(run.ledger, run.matched, run.exceptions).drop("run_id")
+    return metrics.kpi_summary(run.ledger, run.matched, run.exceptions)
 
 
 @query
 def stage_breakdown(spark, sf_dir):
-    return metrics.stage_breakdown(_pipeline(spark, sf_dir).matched).drop("run_id")
+    return metrics.stage_breakdown(_pipeline(spark, sf_dir).matched)
 
 
 @query
 def throughput_fallback(spark, sf_dir):
-    return metrics.throughput_fallback(_pipeline(spark, sf_dir).matched, 1.5).drop("run_id")
+    return metrics.throughput_fallback(_pipeline(spark, sf_dir).matched, 1.5)
 
 
 @query
@@ -505,26 +534,26 @@ def job_summary(spark, sf_dir):
 @query
 def category_prf(spark, sf_dir):
     scored = evaluate.category_prf(_pipeline(spark, sf_dir).matched, _truth(spark, sf_dir))
-    return scored.drop("run_id")
+    return scored
 
 
 @query
 def overall_prf(spark, sf_dir):
     scored = evaluate.overall_prf(_pipeline(spark, sf_dir).matched, _truth(spark, sf_dir))
-    return scored.drop("run_id")
+    return scored
 
 
 @query
 def exception_prf(spark, sf_dir):
     truth = derived.derived_truth_exceptions(spark, sf_dir)
-    return evaluate.exception_prf(_pipeline(spark, sf_dir).exceptions, truth).drop("run_id")
+    return evaluate.exception_prf(_pipeline(spark, sf_dir).exceptions, truth)
 
 
 @query
 def exception_prf_by_dataset(spark, sf_dir):
     truth = derived.derived_truth_exceptions(spark, sf_dir)
     scored = evaluate.exception_prf(_pipeline(spark, sf_dir).exceptions, truth, True)
-    return scored.drop("run_id")
+    return scored
 
 
 @query
@@ -534,7 +563,7 @@ def pair_set_difference(spark, sf_dir):
     flags = evaluate.compare_sets(
         run.matched, _truth(spark, sf_dir), evaluate.PAIR
     )
-    return flags.where(F.col("p") != F.col("t")).drop("run_id")
+    return flags.where(F.col("p") != F.col("t"))
 
 
 @query
@@ -542,13 +571,13 @@ def confidence_calibration(spark, sf_dir):
     scored = evaluate.confidence_calibration(
         _pipeline(spark, sf_dir).log, _truth(spark, sf_dir)
     )
-    return scored.drop("run_id")
+    return scored
 
 
 @query
 def audit_complete(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
-    return evaluate.audit_complete(run.matched, run.ledger).drop("run_id")
+    return evaluate.audit_complete(run.matched, run.ledger)
 
 
 def _metric_table(spark, sf_dir, fold_case: bool, name: str) -> DataFrame:
@@ -674,7 +703,9 @@ def stream_intake(spark, sf_dir):
     """Matches per job and class after the stream has taken in all jobs."""
     out = _streamed(spark, sf_dir, "intake")
     report = spark.read.option("header", True).csv(f"{out}/{sinks.REPORT}")
-    return report.groupBy("run_id", "match_type", "source").agg(F.count("*").alias("n_pairs"))
+    return report.groupBy(F.col("run_id").alias("job_id"), "match_type", "source").agg(
+        F.count("*").alias("n_pairs")
+    )
 
 
 @query
