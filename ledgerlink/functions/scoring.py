@@ -24,6 +24,19 @@ def settled_amount(net: Column, fee: Column) -> Column:
     return (net + F.coalesce(fee, F.lit(0).cast(MONEY))).cast(MONEY)
 
 
+MONEY_UNITS = 10_000  # money carries four decimals
+
+
+def in_units(amount: Column) -> Column:
+    """Money as a whole number of its smallest units."""
+    return (amount * F.lit(MONEY_UNITS)).cast("bigint")
+
+
+def from_units(units: Column) -> Column:
+    """Units back to money as a double: the double nearest to the decimal."""
+    return units.cast("double") / F.lit(float(MONEY_UNITS))
+
+
 def amount_delta(gross: Column, settled: Column) -> Column:
     """|amount + tax - fee - net| as an exact decimal."""
     return F.abs(gross - settled).cast(MONEY)
@@ -50,9 +63,5 @@ def name_part(overlap: Column, n_tokens: Column) -> Column:
 def candidate_score(
     overlap: Column, n_tokens: Column, delta: Column, days: Column
 ) -> Column:
-    """Weighted name, amount and date closeness, as a double."""
-    return (
-        name_part(overlap, n_tokens)
-        + amount_part(delta.cast("double"))
-        + date_part(days)
-    )
+    """Weighted name, amount and date closeness; ``delta`` is money as a double."""
+    return name_part(overlap, n_tokens) + amount_part(delta) + date_part(days)

@@ -13,30 +13,38 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import AMOUNT_BAND, ReconConfig
 from ledgerlink.functions.scoring import (
-    amount_delta,
+    MONEY_UNITS,
     candidate_score,
     date_gap,
+    from_units,
     gross_amount,
+    in_units,
     name_part,
     settled_amount,
 )
 from ledgerlink.functions.text import name_tokens
 from ledgerlink.operators.nearest import nearest_in_groups
+from ledgerlink.schemas import MONEY
 from ledgerlink.session import cut_lineage
 
+# Kinds of join keys.
+TOKEN, BAND = "t", "b"
 # A name is searched by every set of its hot tokens, so their number is kept
 # small; hot tokens beyond it are paired directly.
 _MAX_SEARCHED_TOKENS = 6
 
 
 def ledger_features(ledger: DataFrame, config: ReconConfig) -> DataFrame:
-    """What matching needs of a ledger row; rows without id or amount drop out."""
+    """What matching needs of a ledger row; rows without id or amount drop out.
+
+    Amounts are whole numbers of money units and records are known by their
+    order, so that pairs stay a few numbers wide.
+    """
     return ledger.where(F.col("erp_id").isNotNull() & F.col("amount").isNotNull()).select(
         "run_id",
         F.col("row_ord").alias("erp_ord"),
-        "erp_id",
         name_tokens(F.col("merchant_name"), config.fold_case).alias("erp_tokens"),
-        gross_amount(F.col("amount"), F.col("tax_line_item")).alias("gross"),
+        in_units(gross_amount(F.col("amount"), F.col("tax_line_item"))).alias("gross"),
         "date",
     )
 
@@ -52,9 +60,8 @@ def statement_features(statement: DataFrame, config: ReconConfig) -> DataFrame:
     ).select(
         "run_id",
         F.col("row_ord").alias("bank_ord"),
-        "bank_ref",
         name_tokens(F.col("description"), config.fold_case).alias("bank_tokens"),
-        settled_amount(F.col("net_amount"), F.col("fee_deducted")).alias("settled"),
+        in_units(settled_amount(F.col("net_amount"), F.col("fee_deducted"))).alias("settled"),
         "settlement_date",
     )
     alike = Window.partitionBy(
@@ -67,51 +74,63 @@ def statement_features(statement: DataFrame, config: ReconConfig) -> DataFrame:
     )
 
 
-def _bucket(amount: Column) -> Column:
-    return F.floor(amount / F.lit(AMOUNT_BAND)).cast("bigint")
+_BAND_UNITS = int(AMOUNT_BAND * MONEY_UNITS)
 
 
-def _by_token(rows: DataFrame, tokens: str) -> DataFrame:
-    return rows.select("*", F.explode(tokens).alias("token"))
+def _bucket(units: str) -> Column:
+    """Number of the band-wide bucket that holds the amount."""
+    return F.expr(f"({units} - pmod({units}, {_BAND_UNITS}L)) div {_BAND_UNITS}L")
 
 
-def _by_bucket(rows: DataFrame, amount: str, reach: int) -> DataFrame:
-    near = [_bucket(F.col(amount)) + step for step in range(-reach, reach + 1)]
-    return rows.select("*", F.explode(F.array(*near)).alias("bucket"))
+def _keyed(
+    rows: DataFrame, tokens: str, amount: str, reach: int, ways: tuple[str, ...]
+) -> DataFrame:
+    """One row per join key: the row's name tokens and its amount buckets.
+
+    Keys begin with their kind, so that a single join serves both.
+    """
+    keys = []
+    if TOKEN in ways:
+        keys.append(F.transform(tokens, lambda word: F.concat(F.lit(TOKEN), word)))
+    if BAND in ways:
+        near = [_bucket(amount) + step for step in range(-reach, reach + 1)]
+        keys.append(F.array(*[F.concat(F.lit(BAND), b.cast("string")) for b in near]))
+    return rows.select("*", F.explode(F.concat(*keys)).alias("key"))
 
 
-def _hot_groups(erp: DataFrame, bank: DataFrame, key: str, limit: int) -> DataFrame:
-    """Groups that are large on both sides, so that pairing them would explode."""
+def _hot_groups(erp_keys: DataFrame, bank_keys: DataFrame, limit: int) -> DataFrame:
+    """Keys held by many rows of both sides, whose pairing would explode."""
 
     def large(rows: DataFrame) -> DataFrame:
-        counted = rows.groupBy("run_id", key).agg(F.count("*").alias("n"))
+        counted = rows.groupBy("run_id", "key").agg(F.count("*").alias("n"))
         return counted.where(F.col("n") > limit)
 
-    return large(erp).drop("n").join(large(bank), ["run_id", key])
+    return large(erp_keys).drop("n").join(large(bank_keys), ["run_id", "key"])
+
+
+def _in_band() -> Column:
+    return F.abs(F.col("gross") - F.col("settled")) <= _BAND_UNITS
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Add overlap, amount_delta, days and score to ledger/statement feature pairs."""
+    """Add overlap, delta_units, days and score to ledger/statement feature pairs."""
     return (
         pairs.withColumn("overlap", F.size(F.array_intersect("erp_tokens", "bank_tokens")))
-        .withColumn("amount_delta", amount_delta(F.col("gross"), F.col("settled")))
+        .withColumn("delta_units", F.abs(F.col("gross") - F.col("settled")))
         .withColumn("days", date_gap(F.col("date"), F.col("settlement_date")))
-        .withColumn(
-            "score",
-            candidate_score(
-                F.col("overlap"), F.size("erp_tokens"), F.col("amount_delta"), F.col("days")
-            ),
-        )
         .select(
             "run_id",
             "erp_ord",
-            "erp_id",
             "bank_ord",
-            "bank_ref",
             "overlap",
-            "amount_delta",
+            "delta_units",
             "days",
-            "score",
+            candidate_score(
+                F.col("overlap"),
+                F.size("erp_tokens"),
+                from_units(F.col("delta_units")),
+                F.col("days"),
+            ).alias("score"),
         )
     )
 
@@ -119,115 +138,154 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
 def rank_pairs(scored: DataFrame, k: int) -> DataFrame:
     """The k best pairs per ledger row; ties keep the statement's file order.
 
-    A pair may arrive from several groups with the same score, so positions are
-    dense and repeated pairs share one.
+    A pair may arrive by several keys, with the same score. Ranks are dense,
+    so that repeated pairs share one, and repeats are adjacent in rank order.
     """
     best_first = Window.partitionBy("run_id", "erp_ord").orderBy(
         F.col("score").desc(), F.col("bank_ord")
     )
+    before = F.lag("bank_ord").over(best_first)
     return (
         scored.withColumn("rank", F.dense_rank().over(best_first))
         .where(F.col("rank") <= k)
-        .dropDuplicates(["run_id", "erp_ord", "bank_ord"])
+        .withColumn("before", before)
+        .where(F.col("before").isNull() | (F.col("before") != F.col("bank_ord")))
+        .withColumn(
+            "amount_delta",
+            (F.col("delta_units").cast("decimal(18,0)") * F.expr("0.0001BD")).cast(MONEY),
+        )
+        .drop("before", "delta_units")
     )
 
 
-def token_pairs(erp: DataFrame, bank: DataFrame, config: ReconConfig) -> DataFrame:
-    """Scored pairs sharing a token: among them the best ones of each ledger row."""
-    erp_side, bank_side = _by_token(erp, "erp_tokens"), _by_token(bank, "bank_tokens")
-    hot = _hot_groups(erp_side, bank_side, "token", config.hot_group_rows)
+def plausible_pairs(
+    erp: DataFrame,
+    bank: DataFrame,
+    config: ReconConfig,
+    ways: tuple[str, ...] = (TOKEN, BAND),
+) -> DataFrame:
+    """Scored plausible pairs: among them the best ones of each ledger row.
+
+    ``ways`` picks what makes a pair plausible: a shared token, the amount band.
+    """
+    erp_keys = _keyed(erp, "erp_tokens", "gross", 1, ways)
+    bank_keys = _keyed(bank, "bank_tokens", "settled", 0, ways)
+    hot = cut_lineage(_hot_groups(erp_keys, bank_keys, config.hot_group_rows))
     if hot.isEmpty():
-        first_shared = F.get(F.array_intersect("erp_tokens", "bank_tokens"), F.lit(0))
-        pairs = erp_side.join(bank_side, ["run_id", "token"])
-        return score_pairs(pairs.where(F.col("token") == first_shared))
-    searched = cut_lineage(_searched_tokens(erp_side, hot))
-    rest = erp_side.join(
-        searched.select("run_id", "erp_ord", F.explode("searched").alias("token")),
-        ["run_id", "erp_ord", "token"],
+        return score_pairs(_paired(erp_keys, bank_keys))
+    searched = cut_lineage(_searched_groups(erp_keys, hot))
+    rest = erp_keys.join(
+        searched.select("run_id", "erp_ord", F.explode("keys").alias("key")),
+        ["run_id", "erp_ord", "key"],
         "left_anti",
     )
-    direct = score_pairs(rest.join(bank_side, ["run_id", "token"]))
-    subsets = cut_lineage(_token_subsets(erp, searched))
-    near = nearest_in_groups(
-        subsets.select("run_id", "grp", "erp_ord", "base", "gross", "date"),
-        _subset_members(bank, bank_side, subsets),
-        config.max_candidates,
-    )
-    return direct.unionByName(score_pairs(_with_features(near, erp, bank)))
+    parts = [_paired(rest, bank_keys)]
+    if TOKEN in ways:
+        parts.append(_nearest_by_tokens(erp, bank, bank_keys, searched, config))
+    if BAND in ways:
+        parts.append(_nearest_in_band(erp_keys, bank_keys, searched, erp, bank, config))
+    scored = [score_pairs(part) for part in parts]
+    pairs = scored[0]
+    for part in scored[1:]:
+        pairs = pairs.unionByName(part)
+    return pairs
 
 
-def _searched_tokens(erp_side: DataFrame, hot: DataFrame) -> DataFrame:
-    """The hot tokens of each ledger row that are searched rather than paired.
+def _paired(erp_keys: DataFrame, bank_keys: DataFrame) -> DataFrame:
+    """Plausible pairs of rows with a common key; a pair may have several."""
+    by_token = F.col("key").startswith(TOKEN)
+    return erp_keys.join(bank_keys, ["run_id", "key"]).where(by_token | _in_band())
+
+
+def _searched_groups(erp_keys: DataFrame, hot: DataFrame) -> DataFrame:
+    """The hot keys of each ledger row that are searched rather than paired.
 
     Of a name with very many hot tokens only the most frequent are searched;
     the others are paired directly, which keeps the result whole.
     """
-    by_size = F.sort_array(F.collect_list(F.struct("n", "token")), asc=False)
-    largest = F.slice(by_size, 1, _MAX_SEARCHED_TOKENS)
+    kind = F.substring("key", 1, 1)
+    by_size = F.sort_array(F.collect_list(F.struct("n", "key")), asc=False)
+    most = F.when(kind == TOKEN, _MAX_SEARCHED_TOKENS).otherwise(3)
     return (
-        erp_side.join(hot, ["run_id", "token"])
-        .groupBy("run_id", "erp_ord")
-        .agg(F.array_sort(F.transform(largest, lambda t: t.token)).alias("searched"))
+        erp_keys.join(hot, ["run_id", "key"])
+        .groupBy("run_id", "erp_ord", kind.alias("kind"), most.alias("most"))
+        .agg(by_size.alias("by_size"))
+        .select(
+            "run_id",
+            "erp_ord",
+            "kind",
+            F.array_sort(
+                F.transform(F.slice("by_size", 1, F.col("most")), lambda g: g.key)
+            ).alias("keys"),
+        )
     )
 
 
-def _token_subsets(erp: DataFrame, searched: DataFrame) -> DataFrame:
-    """Each ledger row once per non-empty set of its searched tokens.
+def _nearest_by_tokens(
+    erp: DataFrame,
+    bank: DataFrame,
+    bank_keys: DataFrame,
+    searched: DataFrame,
+    config: ReconConfig,
+) -> DataFrame:
+    """Search every non-empty set of each ledger row's hot tokens as one group.
 
     A best row that shares exactly such a set with the ledger row is also among
     the closest, by amount and date, of all rows that hold the set: every closer
     one shares at least as many tokens.
     """
     subsets = F.expr(
-        "transform(sequence(1, cast(pow(2, size(searched)) AS int) - 1),"
-        " m -> filter(searched, (t, i) -> (shiftright(m, i) & 1) = 1))"
+        "transform(sequence(1, cast(pow(2, size(keys)) AS int) - 1),"
+        " m -> filter(keys, (t, i) -> (shiftright(m, i) & 1) = 1))"
     )
-    return (
-        erp.join(searched, ["run_id", "erp_ord"])
+    queries = cut_lineage(
+        erp.join(searched.where(F.col("kind") == TOKEN), ["run_id", "erp_ord"])
         .select("*", F.explode(subsets).alias("subset"))
         .withColumn("grp", F.array_join("subset", " "))
         .withColumn("base", name_part(F.size("subset"), F.size("erp_tokens")))
+        .select("run_id", "grp", "subset", "erp_ord", "base", "gross", "date")
     )
-
-
-def _subset_members(bank: DataFrame, bank_side: DataFrame, subsets: DataFrame) -> DataFrame:
-    """Statement rows of every token set that some ledger row asks for."""
-    wanted = subsets.select("run_id", "grp", "subset").distinct()
-    anchored = wanted.withColumn("token", F.get("subset", F.lit(0)))
-    return (
-        bank_side.join(anchored, ["run_id", "token"])
-        .where(F.size(F.array_except("subset", "bank_tokens")) == 0)
+    # Statement rows of a set are found through its first token.
+    wanted = queries.select("run_id", "grp", "subset").distinct()
+    anchored = wanted.withColumn("key", F.get("subset", F.lit(0)))
+    words = F.transform("bank_tokens", lambda word: F.concat(F.lit(TOKEN), word))
+    members = (
+        bank_keys.join(anchored, ["run_id", "key"])
+        .where(F.size(F.array_except("subset", words)) == 0)
         .select("run_id", "grp", "bank_ord", "settled", "settlement_date")
     )
+    near = nearest_in_groups(queries.drop("subset"), members, config.max_candidates)
+    return _with_features(near, erp, bank)
 
 
-def band_pairs(erp: DataFrame, bank: DataFrame, config: ReconConfig) -> DataFrame:
-    """Scored pairs within the amount band: among them the best of each ledger row."""
-    erp_side, bank_side = _by_bucket(erp, "gross", 1), _by_bucket(bank, "settled", 0)
-    hot = _hot_groups(erp_side, bank_side, "bucket", config.hot_group_rows)
-    in_band = amount_delta(F.col("gross"), F.col("settled")) <= F.lit(AMOUNT_BAND)
-    if hot.isEmpty():
-        return score_pairs(erp_side.join(bank_side, ["run_id", "bucket"]).where(in_band))
-    hot = cut_lineage(hot)
-    rest = erp_side.join(hot, ["run_id", "bucket"], "left_anti")
-    direct = score_pairs(rest.join(bank_side, ["run_id", "bucket"]).where(in_band))
-
-    def grouped(rows: DataFrame) -> DataFrame:
-        return rows.join(hot, ["run_id", "bucket"], "left_semi").withColumn(
-            "grp", F.col("bucket").cast("string")
-        )
-
+def _nearest_in_band(
+    erp_keys: DataFrame,
+    bank_keys: DataFrame,
+    searched: DataFrame,
+    erp: DataFrame,
+    bank: DataFrame,
+    config: ReconConfig,
+) -> DataFrame:
+    """Search the hot amount buckets, each as one group."""
+    hot = searched.where(F.col("kind") == BAND).select(
+        "run_id", "erp_ord", F.explode("keys").alias("key")
+    )
+    queries = erp_keys.join(hot, ["run_id", "erp_ord", "key"]).select(
+        "run_id",
+        F.col("key").alias("grp"),
+        "erp_ord",
+        F.lit(0.0).alias("base"),
+        "gross",
+        "date",
+    )
+    groups = hot.select("run_id", "key").distinct()
+    members = bank_keys.join(groups, ["run_id", "key"]).select(
+        "run_id", F.col("key").alias("grp"), "bank_ord", "settled", "settlement_date"
+    )
     near = nearest_in_groups(
-        grouped(erp_side).select(
-            "run_id", "grp", "erp_ord", F.lit(0.0).alias("base"), "gross", "date"
-        ),
-        grouped(bank_side).select(
-            "run_id", "grp", "bank_ord", "settled", "settlement_date"
-        ),
-        config.max_candidates,
-        max_delta=AMOUNT_BAND,
+        queries, members, config.max_candidates, max_delta=AMOUNT_BAND
     )
-    return direct.unionByName(score_pairs(_with_features(near, erp, bank)))
+    return _with_features(near, erp, bank).where(_in_band())
 
 
 def _with_features(pairs: DataFrame, erp: DataFrame, bank: DataFrame) -> DataFrame:
@@ -244,11 +302,10 @@ def top_candidates(
 ) -> DataFrame:
     """The best plausible statement rows of each ledger row, ranked.
 
-    Both ways of being plausible are searched for their own best rows; the best
-    of the union are the best overall.
+    The features of both sides are written once: the sizes of the groups are
+    counted on them before the pairs are formed.
     """
     config = config or ReconConfig()
-    erp = ledger_features(ledger, config)
-    bank = statement_features(statement, config)
-    pairs = token_pairs(erp, bank, config).unionByName(band_pairs(erp, bank, config))
-    return rank_pairs(pairs, config.max_candidates)
+    erp = cut_lineage(ledger_features(ledger, config))
+    bank = cut_lineage(statement_features(statement, config))
+    return rank_pairs(plausible_pairs(erp, bank, config), config.max_candidates)

@@ -35,6 +35,7 @@ def candidate_rows(
     erp = ledger.select(
         "run_id",
         F.col("row_ord").alias("erp_ord"),
+        "erp_id",
         "date",
         "merchant_name",
         "amount",
@@ -44,6 +45,7 @@ def candidate_rows(
     bank = statement.select(
         "run_id",
         F.col("row_ord").alias("bank_ord"),
+        "bank_ref",
         "settlement_date",
         "description",
         "net_amount",

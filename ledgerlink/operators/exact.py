@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from ledgerlink.functions.text import ID_CHAR, id_pieces, id_runs
 
 
-def _known_ids(ledger: DataFrame) -> DataFrame:
-    """Distinct identifiers, compared without case; blank ones never match."""
-    spelled = ledger.where(F.length("erp_id") > 0).select(
+def _spelled_ids(ledger: DataFrame) -> DataFrame:
+    """Identifiers in upper case, since text is searched without case.
+
+    Blank ones never match.
+    """
+    plain = F.col("erp_id").rlike(f"^{ID_CHAR}+$")
+    return ledger.where(F.length("erp_id") > 0).select(
         "run_id",
         "row_ord",
         F.upper("erp_id").alias("id_key"),
-        F.size(id_pieces(F.col("erp_id"))).alias("n_pieces"),
-    )
-    return spelled.groupBy("run_id", "id_key", "n_pieces").agg(
-        F.min("row_ord").alias("id_ord")
+        F.when(plain, 1).otherwise(F.size(id_pieces(F.col("erp_id")))).alias("n_pieces"),
     )
 
 
-def _id_shape(known: DataFrame):
+def _id_shape(spelled: DataFrame):
     """One row of bounds that every identifier satisfies (cheap text prefilter)."""
-    return known.agg(
+    return spelled.agg(
         F.array_sort(F.collect_set("n_pieces")).alias("sizes"),
         F.min(F.length("id_key")).alias("shortest"),
         F.max(F.length("id_key")).alias("longest"),
@@ -72,8 +73,8 @@ def _is_run(piece: Column) -> Column:
 
 def found_ids(ledger: DataFrame, statement: DataFrame) -> DataFrame:
     """All identifier occurrences per statement row, compared without case."""
-    known = _known_ids(ledger)
-    shape = _id_shape(known)
+    spelled = _spelled_ids(ledger)
+    shape = _id_shape(spelled)
     sizes = list(shape.sizes)
     if not sizes:
         sizes = [1]
@@ -84,6 +85,9 @@ def found_ids(ledger: DataFrame, statement: DataFrame) -> DataFrame:
     if shape.has_digit:
         plausible &= F.col("id_key").rlike("[0-9]")
     spans = spans.where(plausible)
+    known = spelled.groupBy("run_id", "id_key", "n_pieces").agg(
+        F.min("row_ord").alias("id_ord")
+    )
     carried = ["run_id", "row_ord", "bank_ref", "net_amount"]
     if sizes == [1]:
         known = known.select("run_id", "id_key")

@@ -13,13 +13,10 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part * 100.0 / whole).otherwise(0.0)
 
 
-def _counted(rows: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
+def _counted(rows: DataFrame, name: str | Column) -> DataFrame:
     """(run_id, name, n) rows; pre-aggregated, so unions of them stay tiny."""
-    if condition is not None:
-        rows = rows.where(condition)
-    return rows.groupBy("run_id").agg(F.count("*").alias("n")).select(
-        "run_id", F.lit(name).alias("name"), "n"
-    )
+    name = F.lit(name) if isinstance(name, str) else name
+    return rows.groupBy("run_id", name.alias("name")).agg(F.count("*").alias("n"))
 
 
 def _per_run(counts: list[DataFrame], names: list[str]) -> DataFrame:
@@ -61,12 +58,11 @@ def run_metrics(
         "logged_decisions_count",
         "unresolved_exceptions_count",
     ]
-    source = F.col("source")
+    by_stage = F.when(F.col("source") == EXACT_SOURCE, names[2]).otherwise(names[3])
     counts = [
         _counted(ledger, names[0]),
         _counted(statement, names[1]),
-        _counted(matched, names[2], source == EXACT_SOURCE),
-        _counted(matched, names[3], source == MODEL_SOURCE),
+        _counted(matched, by_stage),
         _counted(candidates, names[4]),
         _counted(log, names[5]),
         _counted(exceptions, names[6]),

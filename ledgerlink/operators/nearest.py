@@ -22,10 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.config import AMOUNT_WEIGHT, DATE_WEIGHT, MISSING_DATE_DAYS
-from ledgerlink.functions.scoring import amount_part, date_part
+from ledgerlink.functions.scoring import MONEY_UNITS, amount_part, date_part, from_units
 from ledgerlink.session import cut_lineage
 
-_UNITS = 10_000  # amounts carry four decimals
 _DIGIT_BITS = 4
 _NO_DATE = -(2**31)
 _ANY_DATE = 2**31 - 1
@@ -42,23 +41,24 @@ def nearest_in_groups(
 
     ``queries``: run_id, grp, erp_ord, base, gross, date.
     ``points``: run_id, grp, bank_ord, settled, settlement_date.
+    ``gross`` and ``settled`` are in money units.
     Ties go to the lower ``bank_ord``. ``max_delta`` excludes points further away.
     """
     asked = cut_lineage(
         queries.select(
             "run_id", "grp", "erp_ord", "base",
-            _in_units(F.col("gross")).alias("x"),
+            F.col("gross").alias("x"),
             _day_number(F.col("date")).alias("day"),
         )
     )
     known = cut_lineage(
         points.select(
             "run_id", "grp", "bank_ord",
-            _in_units(F.col("settled")).alias("px"),
+            F.col("settled").alias("px"),
             _day_number(F.col("settlement_date")).alias("pday"),
         )
     )
-    limit = None if max_delta is None else int(max_delta * _UNITS)
+    limit = None if max_delta is None else int(max_delta * MONEY_UNITS)
     span = _span(asked, known)
     if span is None:
         return asked.select("run_id", "erp_ord", F.lit(0).cast("bigint").alias("bank_ord")).limit(0)
@@ -98,10 +98,6 @@ def nearest_in_groups(
     return found
 
 
-def _in_units(amount: Column) -> Column:
-    return (amount * F.lit(_UNITS)).cast("bigint")
-
-
 def _day_number(date: Column) -> Column:
     return F.coalesce(F.unix_date(date), F.lit(_NO_DATE))
 
@@ -112,8 +108,7 @@ def _gap(day: Column, other: Column) -> Column:
 
 
 def _score(delta_units: Column, gap: Column) -> Column:
-    delta = delta_units.cast("double") / F.lit(float(_UNITS))
-    return F.col("base") + amount_part(delta) + date_part(gap)
+    return F.col("base") + amount_part(from_units(delta_units)) + date_part(gap)
 
 
 def _span(asked: DataFrame, known: DataFrame):
@@ -122,10 +117,12 @@ def _span(asked: DataFrame, known: DataFrame):
     q = asked.agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"),
         F.min(dated("day")).alias("first"), F.max(dated("day")).alias("last"),
+        F.bool_or(F.col("day") == _NO_DATE).alias("undated"),
     )
     p = known.agg(
         F.min("px").alias("lo"), F.max("px").alias("hi"),
         F.min(dated("pday")).alias("first"), F.max(dated("pday")).alias("last"),
+        F.bool_or(F.col("pday") == _NO_DATE).alias("undated"),
     )
     both = q.withColumn("asks", F.lit(True)).unionByName(p.withColumn("asks", F.lit(False)))
     row = both.agg(
@@ -134,6 +131,7 @@ def _span(asked: DataFrame, known: DataFrame):
         F.coalesce(F.max("last") - F.min("first"), F.lit(0)).alias("day_spread"),
         F.min(F.when(~F.col("asks"), F.col("first"))).alias("first_point_day"),
         F.max(F.when(~F.col("asks"), F.col("last"))).alias("last_point_day"),
+        F.bool_or(~F.col("asks") & F.col("undated")).alias("undated_points"),
     ).first()
     return row if row.sides == 2 else None
 
@@ -198,7 +196,8 @@ def _ask_days(
     if span.first_point_day is None:
         days = F.array().cast("array<int>")
     if inner < 0:
-        days = F.concat(days, F.array(F.lit(_NO_DATE), F.lit(_ANY_DATE)))
+        other = [_NO_DATE, _ANY_DATE] if span.undated_points else [_ANY_DATE]
+        days = F.concat(days, F.array(*[F.lit(day) for day in other]))
         undated = F.array(F.lit(_ANY_DATE))
     else:
         undated = F.array().cast("array<int>")
@@ -260,7 +259,7 @@ def _judge(state: DataFrame, k: int, outer: int, widest: int, limit) -> DataFram
     outside = DATE_WEIGHT / (2.0 + outer)
     worst = -F.get(F.col("best").getField("neg_score"), F.lit(k - 1))
     room = worst - F.col("base") - F.lit(outside)
-    kth = F.col("kth_delta").cast("double") / F.lit(float(_UNITS))
+    kth = from_units(F.col("kth_delta"))
     done = (
         (F.col("day") == _NO_DATE)
         | F.col("kth_delta").isNull()
@@ -268,13 +267,13 @@ def _judge(state: DataFrame, k: int, outer: int, widest: int, limit) -> DataFram
         | (room > AMOUNT_WEIGHT + slack)
     )
     reach = F.when(room > slack, F.lit(AMOUNT_WEIGHT) / room - 1.0)
-    units = F.ceil(reach * (_UNITS * (1 + slack))) + 1
+    units = F.ceil(reach * (MONEY_UNITS * (1 + slack))) + 1
     if limit is not None:
         units = F.least(units, F.lit(limit))
     return state.withColumn("worst", worst).withColumn("reach", units).withColumn(
         "verdict",
         F.when(done, "done")
-        .when(F.col("reach") <= widest * _UNITS, "reach")
+        .when(F.col("reach") <= widest * MONEY_UNITS, "reach")
         .otherwise("open"),
     )
 

@@ -30,15 +30,9 @@ BANK_BELOW = "Evaluated candidate confidence (%.2f) was below threshold ({})."
 BANK_UNSATISFIED = "Candidate evaluations did not produce an accepted ERP match."
 
 
-def matched_report(
-    exact: DataFrame,
-    assigned: DataFrame,
-    decisions: DataFrame,
-    ledger: DataFrame,
-    statement: DataFrame,
-) -> DataFrame:
-    """Both stages' pairs with the fields of their records."""
-    rows = ["run_id", "erp_ord", "bank_ord"]
+def matched_pairs(exact: DataFrame, assigned: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Both stages' pairs with how and why they matched, without their records."""
+    rows = ["run_id", "erp_id", "bank_ref", "erp_ord", "bank_ord"]
     by_id = exact.select(
         *rows,
         F.lit("exact").alias("match_type"),
@@ -54,11 +48,15 @@ def matched_report(
         "reasoning",
         F.lit(MODEL_SOURCE).alias("source"),
     )
-    erp = ledger.withColumnRenamed("row_ord", "erp_ord")
-    bank = statement.withColumnRenamed("row_ord", "bank_ord")
+    return by_id.unionByName(by_decision)
+
+
+def matched_report(pairs: DataFrame, ledger: DataFrame, statement: DataFrame) -> DataFrame:
+    """The matched pairs with the fields of their records."""
+    erp = ledger.withColumnRenamed("row_ord", "erp_ord").drop("erp_id")
+    bank = statement.withColumnRenamed("row_ord", "bank_ord").drop("bank_ref")
     return (
-        by_id.unionByName(by_decision)
-        .join(erp, ["run_id", "erp_ord"])
+        pairs.join(erp, ["run_id", "erp_ord"])
         .join(bank, ["run_id", "bank_ord"])
         .select("run_id", *MATCHED_COLUMNS)
     )

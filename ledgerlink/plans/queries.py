@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.config import ReconConfig
-from ledgerlink.functions.scoring import amount_delta, gross_amount, settled_amount
+from ledgerlink.functions.scoring import (
+    amount_delta,
+    from_units,
+    gross_amount,
+    settled_amount,
+)
 from ledgerlink.functions.text import name_tokens
 from ledgerlink.operators import audit, candidates, decide, evaluate, exact, metrics
 from ledgerlink.operators.assign import greedy_assignment
 from ledgerlink.plans.reconcile import ReconResult, reconcile
 from ledgerlink.schemas import MONEY, TRUTH
-from ledgerlink.session import checkpoint_folder
+from ledgerlink.session import checkpoint_folder, cut_lineage
 from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming.intake import REQUEST_SCHEMA, start_intake
 
@@ -138,8 +143,9 @@ def ledger_normalize(spark, sf_dir):
 
 @query
 def truth_explode(spark, sf_dir):
-    """The truth as a nested document per customer bucket, exploded to rows."""
-    matches = _truth(spark, sf_dir).withColumn("part", F.crc32("erp_id") % 64)
+    """The truth as nested documents of at most 500 matches, exploded to rows."""
+    number = F.substring("erp_id", 5, 7).cast("bigint")
+    matches = _truth(spark, sf_dir).withColumn("part", F.floor(number / 500))
     documents = matches.groupBy("part").agg(
         F.collect_list(
             F.struct(
@@ -306,8 +312,8 @@ def _features(spark, sf_dir, fold_case=False):
     run, config = _pipeline(spark, sf_dir, fold_case), ReconConfig(fold_case=fold_case)
     available = exact.available_statement(run.unresolved_statement, run.exact)
     return (
-        candidates.ledger_features(run.unresolved_ledger, config),
-        candidates.statement_features(available, config),
+        cut_lineage(candidates.ledger_features(run.unresolved_ledger, config)),
+        cut_lineage(candidates.statement_features(available, config)),
         config,
     )
 
@@ -322,7 +328,7 @@ def _pair_rows(pairs: DataFrame) -> DataFrame:
 def token_overlap_pairs(spark, sf_dir):
     """The best candidates of each ledger row among rows sharing a token."""
     erp, bank, config = _features(spark, sf_dir)
-    pairs = candidates.token_pairs(erp, bank, config)
+    pairs = candidates.plausible_pairs(erp, bank, config, (candidates.TOKEN,))
     return _pair_rows(candidates.rank_pairs(pairs, config.max_candidates))
 
 
@@ -330,7 +336,7 @@ def token_overlap_pairs(spark, sf_dir):
 def amount_band_pairs(spark, sf_dir):
     """The best candidates of each ledger row among rows within the amount band."""
     erp, bank, config = _features(spark, sf_dir)
-    pairs = candidates.band_pairs(erp, bank, config)
+    pairs = candidates.plausible_pairs(erp, bank, config, (candidates.BAND,))
     return _pair_rows(candidates.rank_pairs(pairs, config.max_candidates))
 
 
@@ -339,8 +345,10 @@ def candidate_pairs(spark, sf_dir):
     """What either way of being plausible contributes to the final ranking."""
     erp, bank, config = _features(spark, sf_dir)
     parts = [
-        candidates.rank_pairs(pairs(erp, bank, config), config.max_candidates)
-        for pairs in (candidates.token_pairs, candidates.band_pairs)
+        candidates.rank_pairs(
+            candidates.plausible_pairs(erp, bank, config, (way,)), config.max_candidates
+        )
+        for way in (candidates.TOKEN, candidates.BAND)
     ]
     return parts[0].unionByName(parts[1]).select("erp_ord", "bank_ord").distinct()
 
@@ -352,7 +360,8 @@ def candidate_scores(spark, sf_dir):
     erp = candidates.ledger_features(derived.derived_ledger(spark, sf_dir), config)
     bank = candidates.statement_features(derived.derived_statement(spark, sf_dir), config)
     pairs = erp.join(bank.drop("run_id"), F.col("erp_ord") == F.col("bank_ord"))
-    return candidates.score_pairs(pairs).drop("erp_id", "bank_ref")
+    delta = from_units(F.col("delta_units")).alias("amount_delta")
+    return candidates.score_pairs(pairs).select("*", delta).drop("delta_units")
 
 
 @query
@@ -447,7 +456,7 @@ def evaluator_faults(spark, sf_dir):
 @query
 def greedy_assignment_(spark, sf_dir):
     """Assignment with every ranked candidate eligible."""
-    pairs = greedy_assignment(_pipeline(spark, sf_dir).candidates)
+    pairs = greedy_assignment(_pipeline(spark, sf_dir).decisions)
     return pairs.select("erp_id", "bank_ref", "rank")
 
 
@@ -510,36 +519,36 @@ def run_metrics(spark, sf_dir):
 @query
 def kpi_summary(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
-    return metrics.kpi_summary(run.ledger, run.matched, run.exceptions)
+    return metrics.kpi_summary(run.ledger, run.pairs, run.exceptions)
 
 
 @query
 def stage_breakdown(spark, sf_dir):
-    return metrics.stage_breakdown(_pipeline(spark, sf_dir).matched)
+    return metrics.stage_breakdown(_pipeline(spark, sf_dir).pairs)
 
 
 @query
 def throughput_fallback(spark, sf_dir):
-    return metrics.throughput_fallback(_pipeline(spark, sf_dir).matched, 1.5)
+    return metrics.throughput_fallback(_pipeline(spark, sf_dir).pairs, 1.5)
 
 
 @query
 def job_summary(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
     return metrics.job_summary(
-        run.matched, run.exceptions, "out/reconciled_report.csv", "out/exceptions_list.csv", 1500
+        run.pairs, run.exceptions, "out/reconciled_report.csv", "out/exceptions_list.csv", 1500
     )
 
 
 @query
 def category_prf(spark, sf_dir):
-    scored = evaluate.category_prf(_pipeline(spark, sf_dir).matched, _truth(spark, sf_dir))
+    scored = evaluate.category_prf(_pipeline(spark, sf_dir).pairs, _truth(spark, sf_dir))
     return scored
 
 
 @query
 def overall_prf(spark, sf_dir):
-    scored = evaluate.overall_prf(_pipeline(spark, sf_dir).matched, _truth(spark, sf_dir))
+    scored = evaluate.overall_prf(_pipeline(spark, sf_dir).pairs, _truth(spark, sf_dir))
     return scored
 
 
@@ -561,7 +570,7 @@ def pair_set_difference(spark, sf_dir):
     """Predicted and true pairs: which side holds each pair that only one holds."""
     run = _pipeline(spark, sf_dir)
     flags = evaluate.compare_sets(
-        run.matched, _truth(spark, sf_dir), evaluate.PAIR
+        run.pairs, _truth(spark, sf_dir), evaluate.PAIR
     )
     return flags.where(F.col("p") != F.col("t"))
 
@@ -577,14 +586,14 @@ def confidence_calibration(spark, sf_dir):
 @query
 def audit_complete(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
-    return evaluate.audit_complete(run.matched, run.ledger)
+    return evaluate.audit_complete(run.pairs, run.ledger)
 
 
 def _metric_table(spark, sf_dir, fold_case: bool, name: str) -> DataFrame:
     run, truth = _pipeline(spark, sf_dir, fold_case), _truth(spark, sf_dir)
     table = evaluate.metric_table(
-        evaluate.overall_prf(run.matched, truth),
-        evaluate.category_prf(run.matched, truth),
+        evaluate.overall_prf(run.pairs, truth),
+        evaluate.category_prf(run.pairs, truth),
         evaluate.exception_prf(
             run.exceptions, derived.derived_truth_exceptions(spark, sf_dir)
         ),
@@ -609,7 +618,7 @@ def metric_comparison(spark, sf_dir):
 @query
 def audit_rows(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
-    rows = audit.audit_rows(run.matched, run.exceptions, 1500)
+    rows = audit.audit_rows(run.pairs, run.exceptions, 1500)
     return rows.select("job_id", "transaction_hash", "stage", "duration_ms")
 
 
@@ -624,7 +633,7 @@ def stage_timing_rows(spark, sf_dir):
 def idempotent_append(spark, sf_dir):
     """The audit table after the same rows were appended twice."""
     run, folder = _pipeline(spark, sf_dir), _scratch(spark, "audit")
-    rows = audit.audit_rows(run.matched, run.exceptions, 1500)
+    rows = audit.audit_rows(run.pairs, run.exceptions, 1500)
     for _ in range(2):
         audit.append_new(rows, folder, audit.AUDIT_KEY)
     return audit.stored_rows(rows, folder).groupBy("job_id", "stage").agg(

@@ -27,6 +27,7 @@ from ledgerlink.operators.report import (
     bank_exceptions,
     decision_log,
     erp_exceptions,
+    matched_pairs,
     matched_report,
 )
 from ledgerlink.session import cut_lineage
@@ -85,22 +86,25 @@ class ReconResult:
             decision_log(logged_decisions(self._live_decisions, self.assigned))
         )
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Matched pairs without their records, for everything that only counts."""
+        return matched_pairs(self.exact, self.assigned, self.decisions)
+
     @cached_property
     def matched(self) -> DataFrame:
-        return matched_report(
-            self.exact, self.assigned, self.decisions, self.ledger, self.statement
-        )
+        return matched_report(self.pairs, self.ledger, self.statement)
 
     @cached_property
     def erp_exceptions(self) -> DataFrame:
         return erp_exceptions(
-            self.ledger, self._pairs, self.log, self.config.confidence_threshold
+            self.ledger, self._matched_ids, self.log, self.config.confidence_threshold
         )
 
     @cached_property
     def bank_exceptions(self) -> DataFrame:
         return bank_exceptions(
-            self.statement, self._pairs, self.log, self.config.confidence_threshold
+            self.statement, self._matched_ids, self.log, self.config.confidence_threshold
         )
 
     @cached_property
@@ -108,7 +112,7 @@ class ReconResult:
         return self.erp_exceptions.unionByName(self.bank_exceptions)
 
     @cached_property
-    def _pairs(self) -> DataFrame:
+    def _matched_ids(self) -> DataFrame:
         pair = ["run_id", "erp_id", "bank_ref"]
         return self.exact.select(*pair).unionByName(self.assigned.select(*pair))
 
@@ -119,7 +123,7 @@ class ReconResult:
             self.statement,
             self.candidates,
             self.log,
-            self.matched,
+            self.pairs,
             self.exceptions,
         )
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(20, 4)
+# Four decimals keep 10.001 apart from 10.00; 18 digits stay a plain long in memory.
+MONEY = T.DecimalType(18, 4)
 
 # Column names of the input files and of the written reports.
 LEDGER_COLUMNS = (

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
+    """A single-machine session for tests and benchmarks.
+
+    Its few shuffle partitions are one per core, so they are not merged further.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ledgerlink")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

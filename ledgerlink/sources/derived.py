@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ledgerlink.schemas import MONEY
 
 DERIVED_RUN = "orders"
+_ORDERS = (
+    "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+)
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +24,9 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     tax_rate = F.when(key % 5 == 4, 8).otherwise(18)
     shop = F.concat(F.lit("Shop"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))
+    orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        _spread(orders, "o_orderkey")
         .select(
             key.alias("k"),
             F.col("o_orderdate").cast("date").alias("day"),
@@ -37,6 +41,17 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Give a scan of fewer splits than cores one partition per core.
+
+    Inputs of a useful size have more splits than that and stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, key)
+
+
 def _padded_key() -> Column:
     return F.lpad(F.col("k").cast("string"), 7, "0")
 
