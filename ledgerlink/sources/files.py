@@ -162,10 +162,14 @@ def explode_truth(documents: DataFrame, run_id: Column) -> tuple[DataFrame, Data
 
 
 def read_decision_log(
-    spark: SparkSession, path: str, run_id: str = DEFAULT_RUN
+    spark: SparkSession, path: str, run_id: str = DEFAULT_RUN, lines: bool = False
 ) -> DataFrame:
-    """A decision log, as a JSON array or as JSON lines; empty if there is none."""
-    reader = spark.read.schema(DECISION_LOG).option("multiLine", True)
+    """A decision log; empty if there is none.
+
+    A log is one JSON array, or one JSON object per line (``lines``), which is
+    how this package writes it and what Spark can read in parallel.
+    """
+    reader = spark.read.schema(DECISION_LOG).option("multiLine", not lines)
     return _or_empty(spark, lambda: reader.json(path), DECISION_LOG, run_id)
 
 
