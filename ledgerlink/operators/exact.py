@@ -85,15 +85,15 @@ def found_ids(ledger: DataFrame, statement: DataFrame) -> DataFrame:
     if shape.has_digit:
         plausible &= F.col("id_key").rlike("[0-9]")
     spans = spans.where(plausible)
-    known = spelled.groupBy("run_id", "id_key", "n_pieces").agg(
-        F.min("row_ord").alias("id_ord")
-    )
     carried = ["run_id", "row_ord", "bank_ref", "net_amount"]
     if sizes == [1]:
-        known = known.select("run_id", "id_key")
+        known = spelled.select("run_id", "id_key").distinct()
         return spans.join(known, ["run_id", "id_key"]).select(
             *carried, "start", "id_key", "text"
         )
+    known = spelled.groupBy("run_id", "id_key", "n_pieces").agg(
+        F.min("row_ord").alias("id_ord")
+    )
     hits = (
         spans.join(known, ["run_id", "id_key", "n_pieces"])
         .where(~(F.col("run_before") & ~F.col("id_key").rlike(f"^{ID_CHAR}")))

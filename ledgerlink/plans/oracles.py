@@ -637,5 +637,22 @@ def metric_comparison_sql() -> str:
     )
 
 
+def stream_intake_sql() -> str:
+    """Each job is a run of its own over the orders that belong to it."""
+    jobs = []
+    for number in range(2):
+        ctes = _final().replace(
+            "FROM orders)", f"FROM orders WHERE (o_orderkey // 2) % 2 = {number})"
+        )
+        select = f"""SELECT 'job-{number}' AS job_id, match_type, source, count(*) AS n_pairs
+          FROM matched GROUP BY match_type, source"""
+        jobs.append(f"SELECT * FROM ({_with(ctes, select)})")
+    return " UNION ALL ".join(jobs)
+
+
 def oracle_queries() -> dict[str, str]:
-    return {**_build(), "metric_comparison": metric_comparison_sql()}
+    return {
+        **_build(),
+        "metric_comparison": metric_comparison_sql(),
+        "stream_intake": stream_intake_sql(),
+    }

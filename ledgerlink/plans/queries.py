@@ -671,8 +671,8 @@ def intake_gate(spark, sf_dir):
     return gated.drop("path")
 
 
-def _streamed(spark, sf_dir, name: str, broken: bool = False) -> str:
-    """Run four jobs derived from the orders through the intake stream.
+def _streamed(spark, sf_dir, name: str, n_jobs: int, broken: bool = False) -> str:
+    """Run jobs derived from the orders through the intake stream.
 
     When ``broken``, job 1 has a bad amount and job 2 a wrong key.
     """
@@ -681,13 +681,14 @@ def _streamed(spark, sf_dir, name: str, broken: bool = False) -> str:
         (files.LEDGER_FILE, derived.derived_ledger(spark, sf_dir), "amount"),
         (files.STATEMENT_FILE, derived.derived_statement(spark, sf_dir), "net_amount"),
     ):
-        job = F.floor(F.col("row_ord") / 2) % 4
+        job = F.floor(F.col("row_ord") / 2) % n_jobs
         text = F.col(amount).cast("string")
         if broken:
-            text = F.when((job == 1) & (F.col("row_ord") % 100 == 3), "n/a").otherwise(text)
+            text = F.when((job == 1) & (F.col("row_ord") % 100 == 2), "n/a").otherwise(text)
         rows = rows.withColumn("job", job).withColumn(amount, text)
-        for number in range(4):
-            part = rows.where(F.col("job") == number).drop("job", "run_id", "row_ord")
+        for number in range(n_jobs):
+            part = rows.where(F.col("job") == number).orderBy("row_ord")
+            part = part.drop("job", "run_id", "row_ord")
             part.write.option("header", True).csv(f"{folder}/job-{number}/{file}")
     wrong = "/ledger.csv" if broken else f"/{files.LEDGER_FILE}"
     requests = [
@@ -697,7 +698,7 @@ def _streamed(spark, sf_dir, name: str, broken: bool = False) -> str:
             f"{folder}/job-{n}" + (wrong if n == 2 else f"/{files.LEDGER_FILE}"),
             f"{folder}/job-{n}/{files.STATEMENT_FILE}",
         )
-        for n in range(4)
+        for n in range(n_jobs)
     ]
     spark.createDataFrame(requests, REQUEST_SCHEMA).write.json(f"{folder}/requests")
     stream = start_intake(
@@ -710,7 +711,7 @@ def _streamed(spark, sf_dir, name: str, broken: bool = False) -> str:
 @query
 def stream_intake(spark, sf_dir):
     """Matches per job and class after the stream has taken in all jobs."""
-    out = _streamed(spark, sf_dir, "intake")
+    out = _streamed(spark, sf_dir, "intake", 2)
     report = spark.read.option("header", True).csv(f"{out}/{sinks.REPORT}")
     return report.groupBy(F.col("run_id").alias("job_id"), "match_type", "source").agg(
         F.count("*").alias("n_pairs")
@@ -719,8 +720,8 @@ def stream_intake(spark, sf_dir):
 
 @query
 def dead_letter(spark, sf_dir):
-    """Failed jobs of a stream in which two of four jobs have bad input."""
-    out = _streamed(spark, sf_dir, "broken", broken=True)
+    """Failed jobs of a stream in which two of three jobs have bad input."""
+    out = _streamed(spark, sf_dir, "broken", 3, broken=True)
     letters = spark.read.schema(
         "job_id string, payload string, error_message string, retry_count int"
     ).parquet(f"{out}/failed_jobs")
