@@ -35,7 +35,7 @@ class ReconConfig:
     confidence_threshold: float = CONFIDENCE_THRESHOLD
     max_candidates: int = MAX_CANDIDATES
     fold_case: bool = False
-    hot_group_rows: int = 256
+    hot_group_rows: int = 1000
     assignment_rounds: int = 8
     tail_edges: int = 20_000
 

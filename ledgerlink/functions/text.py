@@ -25,7 +25,7 @@ def _token_set(text: Column, stop: tuple[str, ...]) -> Column:
         words, lambda w: (F.length(w) >= MIN_TOKEN_LENGTH) & ~w.isin(*stop)
     )
     return F.coalesce(
-        F.array_sort(F.array_distinct(kept)), F.array().cast("array<string>")
+        F.sort_array(F.array_distinct(kept)), F.array().cast("array<string>")
     )
 
 
@@ -48,7 +48,7 @@ def identity_tokens(text: Column) -> Column:
             resolved = F.when(word == alias, F.lit(name)).otherwise(resolved)
         return resolved
 
-    return F.array_sort(F.array_distinct(F.transform(tokens, resolve)))
+    return F.sort_array(F.array_distinct(F.transform(tokens, resolve)))
 
 
 def id_runs(text: Column) -> Column:

@@ -214,7 +214,7 @@ def _searched_groups(erp_keys: DataFrame, hot: DataFrame) -> DataFrame:
             "run_id",
             "erp_ord",
             "kind",
-            F.array_sort(
+            F.sort_array(
                 F.transform(F.slice("by_size", 1, F.col("most")), lambda g: g.key)
             ).alias("keys"),
         )

@@ -25,7 +25,7 @@ def _spelled_ids(ledger: DataFrame) -> DataFrame:
 def _id_shape(spelled: DataFrame):
     """One row of bounds that every identifier satisfies (cheap text prefilter)."""
     return spelled.agg(
-        F.array_sort(F.collect_set("n_pieces")).alias("sizes"),
+        F.sort_array(F.collect_set("n_pieces")).alias("sizes"),
         F.min(F.length("id_key")).alias("shortest"),
         F.max(F.length("id_key")).alias("longest"),
         F.bool_and(F.col("id_key").rlike("[0-9]")).alias("has_digit"),
@@ -108,7 +108,7 @@ def _without_overlaps(hits: DataFrame, carried: list[str]) -> DataFrame:
     At one position the identifier listed first in the ledger wins, and the
     scan goes on behind it. The occurrences of one text are bounded by its length.
     """
-    found = F.array_sort(
+    found = F.sort_array(
         F.collect_list(F.struct("start", "id_ord", "end", "id_key", "text"))
     )
     nothing = F.struct(

@@ -148,7 +148,7 @@ def _digit_tree(known: DataFrame, k: int, levels: int) -> DataFrame:
         lists.withColumn("copy", F.row_number().over(same))
         .where(F.col("copy") <= k)
         .groupBy("run_id", "grp", "list", "px")
-        .agg(F.array_sort(F.collect_list(F.struct("bank_ord", "pday"))).alias("ends"))
+        .agg(F.sort_array(F.collect_list(F.struct("bank_ord", "pday"))).alias("ends"))
     )
 
     def end(at: Column) -> Column:
@@ -179,7 +179,7 @@ def _digit_tree(known: DataFrame, k: int, levels: int) -> DataFrame:
 
 
 def _first(ends: Column, k: int) -> Column:
-    return F.slice(F.array_sort(F.flatten(ends)), 1, k)
+    return F.slice(F.sort_array(F.flatten(ends)), 1, k)
 
 
 def _ask_days(
@@ -245,8 +245,8 @@ def _merge(state: DataFrame, hits: DataFrame, k: int) -> DataFrame:
     rows = state.select(
         *_QUERY, "best", "kth_delta", no_delta.alias("any_delta")
     ).unionByName(hits.select(*_QUERY, "best", no_delta.alias("kth_delta"), "any_delta"))
-    ranked = F.array_sort(F.array_distinct(F.flatten(F.collect_list("best"))))
-    by_amount = F.get(F.array_sort(F.collect_list("any_delta")), F.lit(k - 1))
+    ranked = F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))))
+    by_amount = F.get(F.sort_array(F.collect_list("any_delta")), F.lit(k - 1))
     return rows.groupBy(*_QUERY).agg(
         F.slice(ranked, 1, k).alias("best"),
         F.coalesce(F.max("kth_delta"), by_amount).alias("kth_delta"),

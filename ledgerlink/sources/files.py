@@ -68,11 +68,17 @@ def _in_file_order(rows: DataFrame) -> DataFrame:
 
 
 def money(text: Column) -> Column:
-    """Text to money. Anything but a number of at most four decimals raises."""
-    narrow = text.cast(MONEY)
-    exact = text.cast(T.DecimalType(38, 12))
-    message = F.concat(F.lit("amount has more than four decimals: "), text)
-    return F.when(exact != narrow, F.raise_error(message).cast(MONEY)).otherwise(narrow)
+    """Text to money. Anything but a number of at most four decimals raises.
+
+    Blank text counts as missing. The check does not rely on the ANSI mode.
+    """
+    narrow = text.try_cast(MONEY)
+    exact = text.try_cast(T.DecimalType(38, 12))
+    fits = (F.trim(text) == "") | (exact == narrow)
+    message = F.concat(F.lit("not an amount of at most four decimals: "), text)
+    return F.when(text.isNull() | F.coalesce(fits, F.lit(False)), narrow).otherwise(
+        F.raise_error(message).cast(MONEY)
+    )
 
 
 def normalize_ledger(rows: DataFrame) -> DataFrame:
