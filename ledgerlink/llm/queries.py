@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm import byte_bpe, decontaminate, quality, sharding, token_counts
+from ledgerlink.llm import byte_bpe, decontaminate, lz_dedup, quality, sharding, suffix_dedup, token_counts
 from ledgerlink.llm.common import table, work_folder
 
 QUERIES: dict = {}
@@ -22,6 +22,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,6 +55,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
