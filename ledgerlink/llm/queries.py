@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm import byte_bpe, decontaminate, lz_dedup, quality, sharding, suffix_dedup, token_counts
+from ledgerlink.llm import (
+    byte_bpe,
+    decontaminate,
+    lz_dedup,
+    minhash_dedup,
+    quality,
+    sharding,
+    suffix_dedup,
+    token_counts,
+)
 from ledgerlink.llm.common import table, work_folder
 
 QUERIES: dict = {}
@@ -55,6 +64,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_dedup.dedup_digests(table(spark, sf_dir, "documents"))
