@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ledgerlink.llm import (
     byte_bpe,
     decontaminate,
+    embedding_dedup,
+    html_extract,
     lz_dedup,
     minhash_dedup,
     quality,
@@ -36,6 +38,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -69,6 +76,11 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_dedup.dedup_digests(table(spark, sf_dir, "documents"))
