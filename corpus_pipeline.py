@@ -32,8 +32,9 @@ def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     kept = suffix_dedup.kept_texts(docs).withColumnRenamed("text", "_kept")
     columns = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast(docs.schema["n_chars"].dataType)}
-    emptied = (F.coalesce(F.length("text"), F.lit(0)) > 0) & (F.length("_kept") == 0)
-    narrow = docs.where("doc_id is not null").drop("n_chars")
+    emptied = (F.col("_was") > 0) & (F.length("_kept") == 0)
+    was = F.coalesce(F.length("text"), F.lit(0)).alias("_was")
+    narrow = docs.where("doc_id is not null").select(*[c for c in docs.columns if c not in columns], was)
     return (
         narrow.join(kept.where("doc_id is not null"), "doc_id").where(~emptied)
         .withColumns(columns).select(*docs.columns)
