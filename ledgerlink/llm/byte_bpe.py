@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pre-tokens remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 #: A larger vocabulary file is refused, as its model goes to every executor.
 LARGEST_FILE = 64 << 20
 _BATCH_BYTES = 4 << 20

@@ -8,6 +8,7 @@ counts are appended to the cache for the next run.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -90,6 +91,7 @@ def _encoded(misses: DataFrame, version: str, data: bytes, pattern: str) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         version, data, pattern = shared.value
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread, as Spark counts it
         if version not in _workers:
             _workers.clear()
             _workers[version] = TokenCounter(data, pattern)
