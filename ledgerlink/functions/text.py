@@ -59,3 +59,12 @@ def id_runs(text: Column) -> Column:
 def id_pieces(text: Column) -> Column:
     """The text as identifier runs and the single characters between them."""
     return F.regexp_extract_all(text, F.lit(f"{ID_CHAR}+|{NOT_ID_CHAR}"), F.lit(0))
+
+
+def zero_padded(number: Column, width: int) -> Column:
+    """``number`` as text of at least ``width`` digits; longer numbers stay whole.
+
+    A plain ``lpad`` would cut them, and different keys would become one.
+    """
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")

@@ -51,10 +51,20 @@ def matched_pairs(exact: DataFrame, assigned: DataFrame, decisions: DataFrame) -
     return by_id.unionByName(by_decision)
 
 
+def _dates_as_given(rows: DataFrame, column: str) -> DataFrame:
+    """The date column as the text that was read, where there is one."""
+    given = f"{column}_text"
+    shown = F.col(column).cast("string")
+    if given in rows.columns:
+        shown = F.coalesce(given, shown)
+    return rows.withColumn(column, shown).drop(given)
+
+
 def matched_report(pairs: DataFrame, ledger: DataFrame, statement: DataFrame) -> DataFrame:
     """The matched pairs with the fields of their records."""
-    erp = ledger.withColumnRenamed("row_ord", "erp_ord").drop("erp_id")
-    bank = statement.withColumnRenamed("row_ord", "bank_ord").drop("bank_ref")
+    erp = _dates_as_given(ledger, "date").withColumnRenamed("row_ord", "erp_ord").drop("erp_id")
+    bank = _dates_as_given(statement, "settlement_date")
+    bank = bank.withColumnRenamed("row_ord", "bank_ord").drop("bank_ref")
     return (
         pairs.join(erp, ["run_id", "erp_ord"])
         .join(bank, ["run_id", "bank_ord"])
@@ -117,7 +127,7 @@ def erp_exceptions(
     threshold: float = CONFIDENCE_THRESHOLD,
 ) -> DataFrame:
     """Ledger rows whose id no match used, with category, reason and evidence."""
-    open_rows = ledger.join(
+    open_rows = _dates_as_given(ledger, "date").join(
         matched.select("run_id", "erp_id"), ["run_id", "erp_id"], "left_anti"
     )
     currency = F.upper(F.coalesce("currency", F.lit("NULL")))
@@ -145,7 +155,7 @@ def bank_exceptions(
     threshold: float = CONFIDENCE_THRESHOLD,
 ) -> DataFrame:
     """Statement rows whose reference no match used."""
-    open_rows = statement.join(
+    open_rows = _dates_as_given(statement, "settlement_date").join(
         matched.select("run_id", "bank_ref"), ["run_id", "bank_ref"], "left_anti"
     )
     top = F.col("top_confidence")

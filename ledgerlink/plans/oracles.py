@@ -9,14 +9,14 @@ from __future__ import annotations
 _ORDERS = """
 o AS (
   SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
-    'Shop' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS shop,
+    'Shop' || lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR))), '0') AS shop,
     CAST(round(o_totalprice * 100) AS BIGINT) AS amt,
     CASE WHEN o_orderkey % 5 = 4 THEN 8 ELSE 18 END AS rate
   FROM orders),
 src AS (
-  SELECT *, 'ERP-' || lpad(CAST(k AS VARCHAR), 7, '0') AS erp_id,
+  SELECT *, 'ERP-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0') AS erp_id,
     CASE WHEN k % 8 = 7 THEN 'BNK-UNMATCHED-' ELSE 'BNK-' END
-      || lpad(CAST(k AS VARCHAR), 7, '0') AS bank_ref,
+      || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0') AS bank_ref,
     CAST(floor((amt * rate + 50) / 100.0::DOUBLE) AS BIGINT) AS tax,
     CAST(CASE WHEN k % 8 = 7 THEN k % 500 WHEN k % 3 = 0 THEN 0
          WHEN k % 3 = 1 THEN floor(amt / 80.0::DOUBLE)
@@ -48,9 +48,9 @@ _NOISY = """
 noisy AS (
   SELECT k, bank_ref, net,
     CASE k % 7
-      WHEN 0 THEN description || ' ref ERP-' || lpad(CAST(k + 1 AS VARCHAR), 7, '0')
-      WHEN 1 THEN description || '/ERP-' || lpad(CAST(k AS VARCHAR), 7, '0')
-        || '/erp-' || lpad(CAST(k AS VARCHAR), 7, '0')
+      WHEN 0 THEN description || ' ref ERP-' || lpad(CAST(k + 1 AS VARCHAR), greatest(7, length(CAST(k + 1 AS VARCHAR))), '0')
+      WHEN 1 THEN description || '/ERP-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0')
+        || '/erp-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0')
       WHEN 2 THEN lower(description)
       WHEN 3 THEN replace(description, 'ERP-', 'XERP-')
       WHEN 4 THEN replace(description, ' SETTLEMENT', '-A SETTLEMENT')
@@ -650,9 +650,26 @@ def stream_intake_sql() -> str:
     return " UNION ALL ".join(jobs)
 
 
+INTAKE_GATE = """
+WITH named AS (
+  SELECT page_id, strlen(html) AS n, CASE WHEN contains(url, '.html') THEN 'erp_ledger.csv'
+    WHEN contains(url, '?') THEN regexp_extract(url, '([^/?]*)[?]', 1) ELSE 'bank_statement.csv' END AS f
+  FROM pages),
+judged AS (
+  SELECT *, CASE WHEN f NOT IN ('erp_ledger.csv', 'bank_statement.csv')
+      THEN 'Expected erp_ledger.csv and bank_statement.csv'
+    WHEN n > 2000 THEN 'File exceeds upload size limit' ELSE '' END AS reason
+  FROM named)
+SELECT 'in/' || page_id || '/' || f AS path, f AS file_name, CAST(n AS BIGINT) AS n_bytes,
+  reason = '' AS accepted, reason
+FROM judged
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         **_build(),
         "metric_comparison": metric_comparison_sql(),
         "stream_intake": stream_intake_sql(),
+        "intake_gate": INTAKE_GATE,
     }

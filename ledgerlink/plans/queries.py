@@ -19,7 +19,7 @@ from ledgerlink.functions.scoring import (
     gross_amount,
     settled_amount,
 )
-from ledgerlink.functions.text import name_tokens
+from ledgerlink.functions.text import name_tokens, zero_padded
 from ledgerlink.operators import audit, candidates, decide, evaluate, exact, metrics
 from ledgerlink.operators.assign import greedy_assignment
 from ledgerlink.plans.reconcile import ReconResult, reconcile
@@ -144,7 +144,7 @@ def ledger_normalize(spark, sf_dir):
 @query
 def truth_explode(spark, sf_dir):
     """The truth as nested documents of at most 500 matches, exploded to rows."""
-    number = F.substring("erp_id", 5, 7).cast("bigint")
+    number = F.expr("cast(substring(erp_id, 5) AS bigint)")
     matches = _truth(spark, sf_dir).withColumn("part", F.floor(number / 500))
     documents = matches.groupBy("part").agg(
         F.collect_list(
@@ -168,8 +168,8 @@ def truth_explode(spark, sf_dir):
 def _noisy_statement(spark, sf_dir) -> DataFrame:
     """Statement texts with repeated, second, lower-case and embedded identifiers."""
     k = F.col("row_ord")
-    own = F.concat(F.lit("ERP-"), F.lpad(k.cast("string"), 7, "0"))
-    other = F.concat(F.lit("ERP-"), F.lpad((k + 1).cast("string"), 7, "0"))
+    own = F.concat(F.lit("ERP-"), zero_padded(k, 7))
+    other = F.concat(F.lit("ERP-"), zero_padded(k + 1, 7))
     text = (
         F.when(k % 7 == 0, F.concat("description", F.lit(" ref "), other))
         .when(k % 7 == 1, F.concat("description", F.lit("/"), own, F.lit("/"), F.lower(own)))
@@ -269,7 +269,7 @@ def unresolved_bank(spark, sf_dir):
 @query
 def exact_false_positives(spark, sf_dir):
     """Exact pairs against a truth that calls every fifth of them something else."""
-    k = F.substring("erp_id", 5, 7).cast("bigint")
+    k = F.expr("cast(substring(erp_id, 5) AS bigint)")
     doubted = _truth(spark, sf_dir).withColumn(
         "match_type", F.when(k % 5 == 0, "fuzzy_name").otherwise(F.col("match_type"))
     )
@@ -663,12 +663,18 @@ def job_status_latest(spark, sf_dir):
 
 @query
 def intake_gate(spark, sf_dir):
-    """The table files, gated by name and size."""
-    listed = spark.read.format("binaryFile").load(f"{sf_dir}/*.parquet")
-    gated = files.intake_gate(
-        listed.select("path", "length"), ("orders.parquet", "lineitem.parquet"), 10**6
-    )
-    return gated.drop("path")
+    """Pages as arriving files: named by the kind of their address, as large as their text."""
+    named = (
+        F.when(F.col("url").contains(".html"), files.LEDGER_FILE)
+        .when(F.col("url").contains("?"), F.regexp_extract("url", "([^/?]*)[?]", 1))
+        .otherwise(files.STATEMENT_FILE)
+    )
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id",
+        F.concat(F.lit("in/"), F.col("page_id").cast("string"), F.lit("/"), named).alias("path"),
+        F.octet_length("html").cast("bigint").alias("length"),
+    )
+    return files.intake_gate(pages, (files.LEDGER_FILE, files.STATEMENT_FILE), 2000)
 
 
 def _streamed(spark, sf_dir, name: str, n_jobs: int, broken: bool = False) -> str:

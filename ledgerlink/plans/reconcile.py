@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -47,6 +48,23 @@ class ReconResult:
     evaluator: Callable[[dict, dict], dict] | None = None
     parallelism: int | None = None
 
+    @cached_property
+    def _seconds(self) -> dict[str, float]:
+        started = time.perf_counter()
+        self.exact
+        exact_done = time.perf_counter()
+        self.log
+        done = time.perf_counter()
+        return {"deterministic": exact_done - started, "llm": done - exact_done, "total": done - started}
+
+    def measure(self) -> dict[str, float]:
+        """Run the stages, once, and return the seconds of each.
+
+        Both stages end in written results, so this is the time of the work, not
+        of planning it. The keys are those of the metrics document.
+        """
+        return dict(self._seconds)
+
     @cached_property
     def exact(self) -> DataFrame:
         return cut_lineage(exact_matches(self.ledger, self.statement))

@@ -66,6 +66,9 @@ DECISION_LOG_COLUMNS = (
     "currency",
 )
 
+# The log's own order: ledger row, then rank of the candidate.
+LOG_ORDER = ("erp_ord", "rank")
+
 LEDGER = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -93,8 +96,8 @@ MATCHED = T.StructType(
     [
         T.StructField("erp_id", T.StringType()),
         T.StructField("bank_ref", T.StringType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("settlement_date", T.DateType()),
+        T.StructField("date", T.StringType()),
+        T.StructField("settlement_date", T.StringType()),
         T.StructField("merchant_name", T.StringType()),
         T.StructField("description", T.StringType()),
         T.StructField("amount", MONEY),
@@ -135,6 +138,8 @@ DECISION_LOG = T.StructType(
         T.StructField("merchant_erp", T.StringType()),
         T.StructField("description_bank", T.StringType()),
         T.StructField("currency", T.StringType()),
+        T.StructField("erp_ord", T.LongType()),
+        T.StructField("rank", T.IntegerType()),
     ]
 )
 TRUTH = T.StructType(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlink.functions.text import zero_padded
 from ledgerlink.schemas import MONEY
 
 DERIVED_RUN = "orders"
@@ -23,7 +24,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.round(F.col("o_totalprice") * 100).cast("bigint")
     key = F.col("o_orderkey")
     tax_rate = F.when(key % 5 == 4, 8).otherwise(18)
-    shop = F.concat(F.lit("Shop"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))
+    shop = F.concat(F.lit("Shop"), zero_padded(F.col("o_custkey"), 6))
     orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     return (
         _spread(orders, "o_orderkey")
@@ -53,7 +54,7 @@ def _spread(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _padded_key() -> Column:
-    return F.lpad(F.col("k").cast("string"), 7, "0")
+    return zero_padded(F.col("k"), 7)
 
 
 def _money(cents: Column) -> Column:

@@ -17,7 +17,6 @@ from ledgerlink.schemas import (
     TRUTH,
     require_columns,
 )
-from ledgerlink.session import cut_lineage
 
 DEFAULT_RUN = "run"
 # The file names an intake accepts.
@@ -29,29 +28,58 @@ def _paths(path: str | list[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def _raw_csv(spark: SparkSession, path, required, name: str) -> DataFrame:
-    """All columns as text. Every file must have the header of the first one."""
+# Date styles that are read besides ISO dates and timestamps, tried in this order.
+DATE_STYLES = ("yyyy/M/d", "M/d/yyyy", "MMM d, yyyy", "MMM d yyyy", "d MMM yyyy", "d-MMM-yyyy")
+_CORRUPT = "_malformed"
+
+
+def csv_reader(spark: SparkSession, header: tuple[str, ...], multi_line: bool = False):
+    """A reader of all columns as text, with quotes doubled inside quotes (RFC 4180).
+
+    Records of another width than the header show up in the column
+    ``_malformed``. ``multi_line`` reads quoted line breaks, at the price that
+    a file is no longer split among tasks.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in (*header, _CORRUPT)]
+    options = {
+        "header": True, "quote": '"', "escape": '"', "multiLine": multi_line,
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
+    }
+    return spark.read.schema(T.StructType(fields)).options(**options)
+
+
+def _raw_csv(
+    spark: SparkSession, path, required, name: str, multi_line: bool, header=None
+) -> DataFrame:
+    """All columns as text; a malformed record raises when read.
+
+    Every file must have the header of the first one, unless the caller has
+    checked the headers and passes their ``header``.
+    """
     paths = _paths(path)
-    header = spark.read.option("header", True).csv(paths[0]).columns
+    if header is None:
+        first = spark.read.option("header", True).option("escape", '"').csv(paths[0])
+        header = tuple(first.columns)
     require_columns(header, required, name)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.read.schema(schema).option("header", True)
-    return reader.option("enforceSchema", False).csv(paths)
+    rows = csv_reader(spark, header, multi_line).csv(paths)
+    broken = F.raise_error(F.concat(F.lit(f"{name}: malformed record: "), F.col(_CORRUPT)))
+    whole = F.when(F.col(_CORRUPT).isNull(), F.col(required[0])).otherwise(broken.cast("string"))
+    return rows.withColumn(required[0], whole).drop(_CORRUPT)
 
 
 def _in_file_order(rows: DataFrame) -> DataFrame:
     """Number rows by file path and position, as ``row_ord``.
 
-    Rows are numbered inside their input split, once; each split starts where
-    the splits before it end. The running total has one row per split.
+    Rows are numbered inside their input split; each split starts where the
+    splits before it end. Sizes of splits come from a pass of their own, so the
+    input itself is never copied. The running total is one task over one row
+    per split, and the offsets go to every task.
     """
-    tagged = cut_lineage(
-        rows.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_id"),
-        )
+    tagged = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
     )
     before = Window.orderBy("_file", "_start").rowsBetween(
         Window.unboundedPreceding, -1
@@ -67,27 +95,36 @@ def _in_file_order(rows: DataFrame) -> DataFrame:
     )
 
 
+def day(text: Column) -> Column:
+    """Text to a date: ISO, or one of ``DATE_STYLES``; null if it is none of them."""
+    return F.coalesce(F.try_to_date(text), *[F.try_to_date(F.trim(text), style) for style in DATE_STYLES])
+
+
+def is_money(text: Column) -> Column:
+    """Whether :func:`money` reads ``text``; missing and blank text counts."""
+    fits = text.try_cast(T.DecimalType(38, 12)) == text.try_cast(MONEY)
+    return text.isNull() | (F.trim(text) == "") | F.coalesce(fits, F.lit(False))
+
+
 def money(text: Column) -> Column:
     """Text to money. Anything but a number of at most four decimals raises.
 
     Blank text counts as missing. The check does not rely on the ANSI mode.
     """
-    narrow = text.try_cast(MONEY)
-    exact = text.try_cast(T.DecimalType(38, 12))
-    fits = (F.trim(text) == "") | (exact == narrow)
     message = F.concat(F.lit("not an amount of at most four decimals: "), text)
-    return F.when(text.isNull() | F.coalesce(fits, F.lit(False)), narrow).otherwise(
+    return F.when(is_money(text), text.try_cast(MONEY)).otherwise(
         F.raise_error(message).cast(MONEY)
     )
 
 
 def normalize_ledger(rows: DataFrame) -> DataFrame:
-    """Trim identifiers and type the columns; extra columns stay."""
+    """Trim identifiers and type the columns; ``date_text`` keeps the date as given."""
     require_columns(rows.columns, LEDGER_COLUMNS, "Dataset A")
     return rows.withColumns(
         {
             "erp_id": F.trim(F.col("erp_id").cast("string")),
-            "date": F.try_to_date(F.col("date").cast("string")),
+            "date": day(F.col("date").cast("string")),
+            "date_text": F.col("date").cast("string"),
             "amount": money(F.col("amount").cast("string")),
             "tax_line_item": money(F.col("tax_line_item").cast("string")),
         }
@@ -95,11 +132,15 @@ def normalize_ledger(rows: DataFrame) -> DataFrame:
 
 
 def normalize_statement(rows: DataFrame) -> DataFrame:
-    """Blank missing descriptions and type the columns; extra columns stay."""
+    """Blank missing descriptions and type the columns; extra columns stay.
+
+    ``settlement_date_text`` keeps the date as given.
+    """
     require_columns(rows.columns, STATEMENT_COLUMNS, "Dataset B")
     return rows.withColumns(
         {
-            "settlement_date": F.try_to_date(F.col("settlement_date").cast("string")),
+            "settlement_date": day(F.col("settlement_date").cast("string")),
+            "settlement_date_text": F.col("settlement_date").cast("string"),
             "description": F.coalesce(F.col("description").cast("string"), F.lit("")),
             "net_amount": money(F.col("net_amount").cast("string")),
             "fee_deducted": money(F.col("fee_deducted").cast("string")),
@@ -116,13 +157,25 @@ def _with_keys(rows: DataFrame, run_id: str | Column) -> DataFrame:
     return numbered.select(*first, *[c for c in kept if c not in first])
 
 
-def read_ledger(spark: SparkSession, path, run_id: str | Column = DEFAULT_RUN) -> DataFrame:
-    raw = _raw_csv(spark, path, LEDGER_COLUMNS, "Dataset A")
+def read_ledger(
+    spark: SparkSession,
+    path,
+    run_id: str | Column = DEFAULT_RUN,
+    multi_line: bool = False,
+    header: tuple[str, ...] | None = None,
+) -> DataFrame:
+    raw = _raw_csv(spark, path, LEDGER_COLUMNS, "Dataset A", multi_line, header)
     return normalize_ledger(_with_keys(raw, run_id))
 
 
-def read_statement(spark: SparkSession, path, run_id: str | Column = DEFAULT_RUN) -> DataFrame:
-    raw = _raw_csv(spark, path, STATEMENT_COLUMNS, "Dataset B")
+def read_statement(
+    spark: SparkSession,
+    path,
+    run_id: str | Column = DEFAULT_RUN,
+    multi_line: bool = False,
+    header: tuple[str, ...] | None = None,
+) -> DataFrame:
+    raw = _raw_csv(spark, path, STATEMENT_COLUMNS, "Dataset B", multi_line, header)
     return normalize_statement(_with_keys(raw, run_id))
 
 
@@ -130,7 +183,7 @@ def ledger_from_table(table: DataFrame, order_key: str, run_id: str = DEFAULT_RU
     """A ledger from any table; ``order_key`` is the column that orders its rows."""
     keyed = table.withColumn("row_ord", F.col(order_key).cast("bigint"))
     return normalize_ledger(keyed.withColumn("run_id", F.lit(run_id))).select(
-        "run_id", "row_ord", *LEDGER_COLUMNS
+        "run_id", "row_ord", *LEDGER_COLUMNS, "date_text"
     )
 
 
@@ -139,7 +192,7 @@ def statement_from_table(
 ) -> DataFrame:
     keyed = table.withColumn("row_ord", F.col(order_key).cast("bigint"))
     return normalize_statement(keyed.withColumn("run_id", F.lit(run_id))).select(
-        "run_id", "row_ord", *STATEMENT_COLUMNS
+        "run_id", "row_ord", *STATEMENT_COLUMNS, "settlement_date_text"
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 
 from ledgerlink import reconcile
 from ledgerlink.operators import audit, evaluate, metrics
-from ledgerlink.sources import files, sinks
+from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming.intake import start_intake
 from test_pipeline import BANK, ERP
 
@@ -204,7 +204,9 @@ def test_intake_stream(spark, tmp_path):
         "j-key": "failed",
     }
     assert events.where("job_id = 'j-good'").count() == 3
-    assert spark.read.parquet(f"{out}/stage_timings").count() == 2
+    timings = spark.read.parquet(f"{out}/stage_timings")
+    assert {r.job_id: r["count"] for r in timings.groupBy("job_id").count().collect()} == {"j-good": 3, "j-next": 3}
+    assert timings.where("duration_ms <= 0 or created_at is null").count() == 0
 
     # Too large, and failing a second time.
     request(good, requests, "j-large")
@@ -228,3 +230,133 @@ def test_intake_gate(spark):
         (False, "File exceeds upload size limit"),
         (False, "Expected erp_ledger.csv and bank_statement.csv"),
     ]
+
+
+def test_long_keys_stay_apart(spark, tmp_path):
+    keys = [3, 9_999_999, 12_345_678, 123_456_780, 1_234_567_890, 1_234_567_891]
+    rows = [(k, k, 100.0 + k % 1000, "2024-01-01") for k in keys]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, day string")
+    orders = orders.selectExpr("o_orderkey", "o_custkey", "o_totalprice", "cast(day AS timestamp_ntz) AS o_orderdate")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    ledger = derived.derived_ledger(spark, str(tmp_path))
+    assert ledger.select("erp_id").distinct().count() == len(keys)
+    assert ledger.select("merchant_name").distinct().count() == len(keys)
+    run = reconcile(ledger, derived.derived_statement(spark, str(tmp_path)))
+    assert {(r.erp_id[4:], r.bank_ref[4:]) for r in run.exact.collect()} == {
+        (str(k).zfill(7), str(k).zfill(7)) for k in keys if k % 8 != 7 and k % 3 == 0
+    }
+
+
+ODD_NAMES = ['ACME "GOLD" LTD, E1', "back\\slash\\", 'ends with \\"', "plain"]
+ODD_DATES = ["05/01/2024", "2024/01/05", "Jan 5 2024", "2024-01-05"]
+
+
+def quoted(value):
+    return '"' + value.replace('"', '""') + '"'
+
+
+def test_quotes_backslashes_and_dates_survive(spark, tmp_path):
+    rows = [f"E{i},{d},{quoted(n)},10.00,INR,0" for i, (n, d) in enumerate(zip(ODD_NAMES, ODD_DATES))]
+    path = write(tmp_path / "l.csv", LEDGER_HEADER, rows)
+    got = files.read_ledger(spark, path).orderBy("row_ord").collect()
+    assert [r.merchant_name for r in got] == ODD_NAMES
+    assert [r.date_text for r in got] == ODD_DATES
+    assert [r.date for r in got] == [date(2024, 5, 1), *[date(2024, 1, 5)] * 3]
+    bank = write(tmp_path / "b.csv", BANK_HEADER, [f"B0,{ODD_DATES[0]},{quoted('paid E0')},10.00,0"])
+    run = reconcile(files.read_ledger(spark, path), files.read_statement(spark, bank))
+    assert [(r.date, r.settlement_date) for r in run.matched.collect()] == [("05/01/2024", "05/01/2024")]
+    details = {json.loads(r.details)["erp_id"]: json.loads(r.details) for r in run.exceptions.where("dataset = 'erp'").collect()}
+    assert details["E2"]["date"] == "Jan 5 2024" and details["E1"]["merchant_name"] == ODD_NAMES[1]
+    assert "date_text" not in details["E2"]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "l.csv", LEDGER_HEADER, ['E1,2024-01-01,"two', 'lines",1.00,INR,0', "E2,2024-01-01,m,2.00,INR,0"])
+    got = files.read_ledger(spark, path, multi_line=True).orderBy("row_ord").collect()
+    assert [(r.erp_id, r.merchant_name) for r in got] == [("E1", "two\nlines"), ("E2", "m")]
+    with pytest.raises(PySparkException, match="malformed record"):
+        files.read_ledger(spark, path).collect()
+
+
+def test_rows_are_numbered_across_splits_without_a_copy(spark, tmp_path):
+    rows = [f"E{i},2024-01-01,m,1.00,INR,0" for i in range(3000)]
+    path = write(tmp_path / "l.csv", LEDGER_HEADER, rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        read = files.read_ledger(spark, path)
+        got = read.select("row_ord", "erp_id").collect()
+        plan = read._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.row_ord: r.erp_id for r in got} == {i: f"E{i}" for i in range(3000)}
+    assert "ExistingRDD" not in plan
+
+
+def test_a_rewritten_run_without_rows_leaves_none(spark, tmp_path, ledger, statement):
+    folder = str(tmp_path)
+    open_rows = reconcile(ledger([("E1", "2024-01-01", "m", 1, "INR", 0)]), statement([]))
+    sinks.write_all(open_rows, folder)
+    assert files.read_exceptions(spark, folder + "/" + sinks.EXCEPTIONS).count() == 1
+    matched = reconcile(
+        ledger([("E1", "2024-01-01", "m", 1, "INR", 0)]), statement([("B1", "2024-01-01", "paid E1", 1, 0)])
+    )
+    seconds = sinks.write_all(matched, folder)
+    assert files.read_exceptions(spark, folder + "/" + sinks.EXCEPTIONS).count() == 0
+    assert files.read_matched_report(spark, folder + "/" + sinks.REPORT).count() == 1
+    assert min(seconds.values()) > 0 and seconds["total"] >= seconds["llm"]
+
+
+def test_decision_log_keeps_its_order(spark, tmp_path, ledger, statement):
+    run = reconcile(ledger(ERP), statement(BANK))
+    sinks.write_decision_log(run.log, str(tmp_path))
+    back = files.read_decision_log(spark, f"{tmp_path}/{sinks.DECISIONS}", lines=True)
+    key = ("erp_ord", "rank", "erp_id", "bank_ref")
+    assert sorted(map(tuple, back.select(*key).collect())) == sorted(map(tuple, run.log.select(*key).collect()))
+
+
+def test_the_audit_check_reads_only_the_batchs_jobs(spark, tmp_path, ledger, statement):
+    run = reconcile(ledger(ERP), statement(BANK))
+    rows = audit.audit_rows(run.matched, run.exceptions)
+    audit.append_new(rows, str(tmp_path), audit.AUDIT_KEY)
+    jobs = spark.createDataFrame([("run",)], "job_id string")
+    plan = audit.new_rows(rows.join(jobs, "job_id"), str(tmp_path), audit.AUDIT_KEY)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(job_id" in plan and "= run)" in plan.split("PartitionFilters")[1].split("]")[0] + ")"
+
+
+BAD_JOBS = {
+    "tax": ("ledger", ["E1,2024-01-01,m,1.00,INR,n/a"], None, "tax_line_item is not a number: n/a"),
+    "decimals": ("ledger", ["E1,2024-01-01,m,10.00001,INR,0"], None, "amount is not a number: 10.00001"),
+    "oversized": ("bank", ["B1,2024-01-01,x,100000000000000,0"], None, "net_amount is not a number: 1000"),
+    "fee": ("bank", ["B1,2024-01-01,x,1,free"], None, "fee_deducted is not a number: free"),
+    "torn": ("bank", ['B1,2024-01-01,"two', 'lines",1,0'], None, "malformed record: "),
+    "headers": ("ledger", ["E1,2024-01-01,m,1.00,INR,0"], LEDGER_HEADER + ",note", "Dataset A: files differ in their headers"),
+}
+
+
+def test_bad_jobs_do_not_stop_a_good_one(spark, tmp_path):
+    requests, out = tmp_path / "requests", str(tmp_path / "out")
+    for job in ["good", *BAD_JOBS]:
+        folder = tmp_path / job
+        side, rows, other, _ = BAD_JOBS.get(job, (None, None, None, None))
+        erp, bank = text(ERP), text(BANK)
+        write(folder / files.LEDGER_FILE / "1.csv", LEDGER_HEADER, rows if side == "ledger" else erp)
+        if other:
+            write(folder / files.LEDGER_FILE / "2.csv", other, [rows[0] + ",x"])
+        write(folder / files.STATEMENT_FILE, BANK_HEADER, rows if side == "bank" else bank)
+        line = {"job_id": job, "user_id": "u-" + job, "erp_key": str(folder / files.LEDGER_FILE), "bank_key": str(folder / files.STATEMENT_FILE)}
+        requests.mkdir(exist_ok=True)
+        (requests / f"{job}.json").write_text(json.dumps(line))
+    for _ in range(2):  # again on the same checkpoint
+        start_intake(spark, str(requests), out, str(tmp_path / "checkpoint")).awaitTermination()
+    letters = {r.job_id: r.error_message for r in spark.read.parquet(f"{out}/failed_jobs").collect()}
+    assert set(letters) == set(BAD_JOBS)
+    for job, (_, _, _, message) in BAD_JOBS.items():
+        assert message in letters[job]
+    latest = {r.job_id: r for r in audit.job_status_latest(spark.read.parquet(f"{out}/job_status")).collect()}
+    assert {j: r.status for j, r in latest.items()} == {"good": "success", **{j: "failed" for j in BAD_JOBS}}
+    good = latest["good"]
+    record = json.loads(good.result)
+    assert good.user_id == "u-good" and good.erp_key.endswith(files.LEDGER_FILE)
+    assert record["matched_count"] == 3 and record["duration_ms"] > 0 and record["report_uri"].endswith("run_id=good")
+    assert files.read_matched_report(spark, record["report_uri"]).count() == 3
