@@ -21,6 +21,18 @@ STOP_TOKENS = ("pvt", "ltd", "settlement", "payout")
 DESCRIPTOR_TOKENS = ("card",)
 MERCHANT_ALIASES = (("rzpay", "razorpay"),)
 
+#: A larger alias table is refused, as it becomes part of the plan.
+MOST_ALIASES = 10_000
+
+
+def aliases_of(table) -> tuple[tuple[str, str], ...]:
+    """The aliases of a table (alias, name); of a repeated alias the smallest name counts."""
+    rows = table.where("alias is not null and name is not null").groupBy("alias").agg({"name": "min"})
+    found = rows.limit(MOST_ALIASES + 1).collect()
+    if len(found) > MOST_ALIASES:
+        raise ValueError(f"more than {MOST_ALIASES} merchant aliases")
+    return tuple(sorted((alias.lower(), name.lower()) for alias, name in found))
+
 
 @dataclass(frozen=True)
 class ReconConfig:
@@ -29,7 +41,8 @@ class ReconConfig:
     ``hot_group_rows`` bounds how many statement rows of one token or amount
     bucket are paired directly; larger groups go through the nearest-neighbour
     search. It changes the plan only, never the result. ``tail_edges`` bounds
-    what the assignment may finish in a single task.
+    what the assignment may finish in a single task. ``merchant_aliases`` are
+    (alias, name) tokens; :func:`aliases_of` reads them from a table.
     """
 
     confidence_threshold: float = CONFIDENCE_THRESHOLD
@@ -38,6 +51,7 @@ class ReconConfig:
     hot_group_rows: int = 1000
     assignment_rounds: int = 8
     tail_edges: int = 20_000
+    merchant_aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES
 
     def __post_init__(self) -> None:
         if self.confidence_threshold != CONFIDENCE_THRESHOLD:

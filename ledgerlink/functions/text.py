@@ -38,15 +38,17 @@ def name_tokens(text: Column, fold_case: bool = False) -> Column:
     return _token_set(F.lower(text) if fold_case else text, STOP_TOKENS)
 
 
-def identity_tokens(text: Column) -> Column:
-    """Lower-cased tokens with descriptors dropped and merchant aliases resolved."""
+def identity_tokens(
+    text: Column, aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES
+) -> Column:
+    """Lower-cased tokens with descriptors dropped and merchant ``aliases`` resolved."""
     tokens = _token_set(F.lower(text), STOP_TOKENS + DESCRIPTOR_TOKENS)
+    if not aliases:
+        return tokens
+    names = F.create_map(*[F.lit(part) for pair in aliases for part in pair])
 
     def resolve(word: Column) -> Column:
-        resolved = word
-        for alias, name in MERCHANT_ALIASES:
-            resolved = F.when(word == alias, F.lit(name)).otherwise(resolved)
-        return resolved
+        return F.coalesce(F.try_element_at(names, word), word)
 
     return F.sort_array(F.array_distinct(F.transform(tokens, resolve)))
 

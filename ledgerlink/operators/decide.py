@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.config import CONFIDENCE_THRESHOLD, ROUNDING_LIMIT
+from ledgerlink.config import CONFIDENCE_THRESHOLD, MERCHANT_ALIASES, ROUNDING_LIMIT
 from ledgerlink.functions.text import identity_tokens
 from ledgerlink.schemas import DECISION
 
@@ -54,9 +55,11 @@ def candidate_rows(
     return candidates.join(erp, ["run_id", "erp_ord"]).join(bank, ["run_id", "bank_ord"])
 
 
-def identity_share(merchant: Column, description: Column) -> Column:
+def identity_share(
+    merchant: Column, description: Column, aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES
+) -> Column:
     """Share of the description's tokens that begin some token of the merchant."""
-    names, words = identity_tokens(merchant), identity_tokens(description)
+    names, words = identity_tokens(merchant, aliases), identity_tokens(description, aliases)
     known = F.filter(words, lambda w: F.exists(names, lambda n: n.startswith(w)))
     return F.when(F.size(words) == 0, 0.0).otherwise(
         F.size(known).cast("double") / F.size(words)
@@ -92,9 +95,11 @@ def rule_decision(pair: DataFrame) -> Column:
     )
 
 
-def rule_decisions(rows: DataFrame) -> DataFrame:
+def rule_decisions(
+    rows: DataFrame, aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES
+) -> DataFrame:
     named = rows.withColumn(
-        "identity", identity_share(F.col("merchant_name"), F.col("description"))
+        "identity", identity_share(F.col("merchant_name"), F.col("description"), aliases)
     )
     return named.withColumn("decision", rule_decision(named)).select(
         *rows.columns, "decision.*"
@@ -140,31 +145,92 @@ def accepted(threshold: float = CONFIDENCE_THRESHOLD) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class BatchEvaluator:
+    """``decide(erp, bank)`` takes two frames of equal length and returns the decision fields.
+
+    Made for models that score many pairs at once. Should a batch fail, its
+    pairs are tried one by one, so that an error rejects its own pair only.
+    """
+
+    decide: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
+
+
+@dataclass(frozen=True)
+class ColumnEvaluator:
+    """``decide()`` returns the decision struct over the candidate columns; no Python runs on rows."""
+
+    decide: Callable[[], Column]
+
+
+Evaluator = Callable[[dict, dict], dict] | BatchEvaluator | ColumnEvaluator
+
+
 def evaluate_candidates(
     rows: DataFrame,
-    evaluator: Callable[[dict, dict], dict] | None = None,
+    evaluator: Evaluator | None = None,
     parallelism: int | None = None,
+    aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES,
 ) -> DataFrame:
-    """Decide every candidate, by the built-in rule or by a user's function.
+    """Decide every candidate, by the built-in rule or by a user's evaluator.
 
-    ``evaluator(erp_row, bank_row)`` returns the decision fields. It runs in
-    Arrow batches on the executors; ``parallelism`` spreads the pairs over that
-    many tasks. An error in one pair rejects that pair only.
+    A plain function ``evaluator(erp_row, bank_row)`` returns the decision
+    fields of one pair. Python evaluators run in Arrow batches on the executors;
+    ``parallelism`` spreads the pairs over that many tasks. An error in one pair
+    rejects that pair only. ``aliases`` are the rule's merchant aliases.
     """
     if evaluator is None:
-        return validated(rule_decisions(rows))
+        return validated(rule_decisions(rows, aliases))
+    if isinstance(evaluator, ColumnEvaluator):
+        decided = rows.withColumn("decision", evaluator.decide()).select(*rows.columns, "decision.*")
+        return validated(decided.select(*rows.columns, *DECISION_FIELDS))
     if parallelism is not None:
         if parallelism < 1:
             raise ValueError("parallelism must be at least 1")
         rows = rows.repartition(parallelism, "run_id", "erp_ord", "bank_ord")
     schema = T.StructType([*rows.schema.fields, *DECISION.fields])
-    return validated(rows.mapInPandas(_batch_evaluator(evaluator), schema))
+    made = _frame_evaluator(evaluator) if isinstance(evaluator, BatchEvaluator) else _batch_evaluator(evaluator)
+    return validated(rows.mapInPandas(made, schema))
 
 
 _ERP_FIELDS = ("erp_id", "date", "merchant_name", "amount", "currency", "tax_line_item")
 _BANK_FIELDS = ("bank_ref", "settlement_date", "description", "net_amount", "fee_deducted")
 
 
+def _rejected(error: Exception) -> dict:
+    return {
+        "is_match": False,
+        "confidence_score": 0.0,
+        "match_type": "no_match",
+        "reasoning": FAILURE_PREFIX + str(error)[:FAILURE_DETAIL_CHARS],
+    }
+
+
+def _frame_evaluator(evaluator: BatchEvaluator):
+    def decided(erp: pd.DataFrame, bank: pd.DataFrame) -> pd.DataFrame:
+        made = evaluator.decide(erp, bank)
+        if len(made) != len(erp) or set(made.columns) != set(DECISION_FIELDS):
+            raise ValueError("decisions differ from the contract in rows or fields")
+        return made[DECISION_FIELDS].astype({"is_match": bool, "confidence_score": float}).set_axis(erp.index)
+
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            erp, bank = batch[list(_ERP_FIELDS)], batch[list(_BANK_FIELDS)]
+            try:
+                made = decided(erp, bank)
+            except Exception:
+                parts = []
+                for i in range(len(batch)):
+                    try:
+                        parts.append(decided(erp.iloc[[i]], bank.iloc[[i]]))
+                    except Exception as error:
+                        parts.append(pd.DataFrame([_rejected(error)], columns=DECISION_FIELDS, index=erp.index[[i]]))
+                made = pd.concat(parts)
+            yield pd.concat([batch, made], axis=1)
+
+    return evaluate
+
+
 def _batch_evaluator(evaluator):
     def decide(erp_row: dict, bank_row: dict) -> dict:
         try:
@@ -181,12 +247,7 @@ def _batch_evaluator(evaluator):
                 raise ValueError("decision values have the wrong type")
             return {**decision, "confidence_score": confidence}
         except Exception as error:
-            return {
-                "is_match": False,
-                "confidence_score": 0.0,
-                "match_type": "no_match",
-                "reasoning": FAILURE_PREFIX + str(error)[:FAILURE_DETAIL_CHARS],
-            }
+            return _rejected(error)
 
     def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

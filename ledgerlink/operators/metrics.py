@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from ledgerlink.operators.report import EXACT_SOURCE, MODEL_SOURCE
 
 
+# What a summary says about stages and times.
+THROUGHPUT_COLUMNS = (
+    "deterministic_matches_count",
+    "deterministic_match_percent",
+    "deterministic_time_seconds",
+    "llm_matches_count",
+    "llm_match_percent",
+    "llm_time_seconds",
+    "llm_calls_made",
+    "total_time_seconds",
+)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """``part`` of ``whole`` in percent, 0 when there is no whole."""
     return F.when(whole > 0, part * 100.0 / whole).otherwise(0.0)

@@ -9,14 +9,14 @@ from __future__ import annotations
 _ORDERS = """
 o AS (
   SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
-    'Shop' || lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR))), '0') AS shop,
+    'Shop' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS shop,
     CAST(round(o_totalprice * 100) AS BIGINT) AS amt,
     CASE WHEN o_orderkey % 5 = 4 THEN 8 ELSE 18 END AS rate
   FROM orders),
 src AS (
-  SELECT *, 'ERP-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0') AS erp_id,
+  SELECT *, 'ERP-' || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS erp_id,
     CASE WHEN k % 8 = 7 THEN 'BNK-UNMATCHED-' ELSE 'BNK-' END
-      || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0') AS bank_ref,
+      || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS bank_ref,
     CAST(floor((amt * rate + 50) / 100.0::DOUBLE) AS BIGINT) AS tax,
     CAST(CASE WHEN k % 8 = 7 THEN k % 500 WHEN k % 3 = 0 THEN 0
          WHEN k % 3 = 1 THEN floor(amt / 80.0::DOUBLE)
@@ -48,9 +48,9 @@ _NOISY = """
 noisy AS (
   SELECT k, bank_ref, net,
     CASE k % 7
-      WHEN 0 THEN description || ' ref ERP-' || lpad(CAST(k + 1 AS VARCHAR), greatest(7, length(CAST(k + 1 AS VARCHAR))), '0')
-      WHEN 1 THEN description || '/ERP-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0')
-        || '/erp-' || lpad(CAST(k AS VARCHAR), greatest(7, length(CAST(k AS VARCHAR))), '0')
+      WHEN 0 THEN description || ' ref ERP-' || lpad(CAST(k + 1 AS VARCHAR), CAST(greatest(7, length(CAST(k + 1 AS VARCHAR))) AS INTEGER), '0')
+      WHEN 1 THEN description || '/ERP-' || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0')
+        || '/erp-' || lpad(CAST(k AS VARCHAR), CAST(greatest(7, length(CAST(k AS VARCHAR))) AS INTEGER), '0')
       WHEN 2 THEN lower(description)
       WHEN 3 THEN replace(description, 'ERP-', 'XERP-')
       WHEN 4 THEN replace(description, ' SETTLEMENT', '-A SETTLEMENT')
@@ -397,14 +397,29 @@ def _build() -> dict[str, str]:
             _ORDERS, f"SELECT k AS row_ord, {_STATEMENT_ROWS} FROM statement"
         ),
         "fixture_truth": _with(_ORDERS, f"SELECT {_TRUTH_ROWS} FROM truth"),
-        "ledger_scan": _with(_ORDERS, f"SELECT {_LEDGER_ROWS} FROM ledger"),
-        "statement_scan": _with(_ORDERS, f"SELECT {_STATEMENT_ROWS} FROM statement"),
-        "truth_explode": _with(_ORDERS, f"SELECT {_TRUTH_ROWS} FROM truth"),
+        "ledger_scan": _with(
+            _ORDERS,
+            f"SELECT * REPLACE ({_odd_text('merchant_name')} AS merchant_name), {_odd_date('date')} AS date_text"
+            f" FROM (SELECT k, {_LEDGER_ROWS} FROM ledger)",
+        ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (k) REPLACE"),
+        "statement_scan": _with(
+            _ORDERS,
+            f"SELECT * REPLACE ({_odd_text('description')} AS description),"
+            f" {_odd_date('settlement_date')} AS settlement_date_text"
+            f" FROM (SELECT k, {_STATEMENT_ROWS} FROM statement)",
+        ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (k) REPLACE"),
+        "truth_explode": _with(
+            _ORDERS,
+            f"SELECT {_TRUTH_ROWS}, '' AS dataset, '' AS record_id FROM truth"
+            " UNION ALL SELECT '', '', '', 0.0::DOUBLE, 'erp', erp_id FROM src WHERE k % 8 = 7"
+            " UNION ALL SELECT '', '', '', 0.0::DOUBLE, 'bank', bank_ref FROM src WHERE k % 8 = 7",
+        ),
         "ledger_normalize": """
 SELECT o_orderkey AS row_ord, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS erp_id,
   CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date,
   CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority ELSE '' END AS merchant_name,
-  o_totalprice AS amount, 'INR' AS currency, 0.5::DOUBLE AS tax_line_item
+  o_totalprice AS amount, 'INR' AS currency, 0.5::DOUBLE AS tax_line_item,
+  CASE WHEN o_orderkey % 10 = 0 THEN 'not a date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text
 FROM orders""",
         "id_extract": _with(
             f"{_ORDERS}, {_NOISY}, {_ids('noisy')}",
@@ -571,7 +586,7 @@ same AS (SELECT k AS ek, k AS bk FROM src), {_scored('same', 'top')}""",
             evaluated,
             "SELECT 'orders' AS job_id, n_matched AS matched_count, n_exc AS exception_count,"
             " 'out/reconciled_report.csv' AS report_uri,"
-            " 'out/exceptions_list.csv' AS exceptions_uri, CAST(1500 AS BIGINT) AS duration_ms"
+            " 'out/exceptions_list.csv' AS exceptions_uri, TRUE AS timed"
             " FROM totals",
         ),
         "category_prf": _with(evaluated, "SELECT * FROM cat_prf"),
@@ -601,15 +616,19 @@ same AS (SELECT k AS ek, k AS bk FROM src), {_scored('same', 'top')}""",
         "audit_rows": _with(
             final,
             "SELECT 'orders' AS job_id, sha256(erp_id || ':' || bank_ref) AS transaction_hash,"
-            " 'reconciliation' AS stage, CAST(1500 AS BIGINT) AS duration_ms FROM report"
-            " UNION ALL SELECT 'orders', sha256(dataset || ':' || record_id), 'exception', 0"
-            " FROM exc",
+            " 'reconciliation' AS stage, CAST(1500 AS BIGINT) AS duration_ms,"
+            " '{\"match_type\":\"' || match_type || '\",\"confidence_score\":' || confidence_score"
+            " || ',\"reasoning\":\"' || reasoning || '\"}' AS decision, '' AS model_name,"
+            " 0::BIGINT AS prompt_tokens, 0::BIGINT AS completion_tokens, 0.0::DOUBLE AS cost_usd FROM report"
+            " UNION ALL SELECT 'orders', sha256(dataset || ':' || record_id), 'exception', 0,"
+            " '{\"category\":\"' || category || '\",\"confidence_score\":' || confidence_score"
+            " || ',\"reason\":\"' || reason || '\"}', '', 0, 0, 0.0 FROM exc",
         ),
         "stage_timing_rows": _with(
             _top(),
-            "SELECT 'orders' AS job_id, stage, CAST(ms AS BIGINT) AS duration_ms,"
+            "SELECT 'orders' AS job_id, stage, TRUE AS timed,"
             " '{\"llm_calls\":' || (SELECT count(*) FROM top) || '}' AS metadata"
-            " FROM (VALUES ('deterministic', 250), ('llm', 1500), ('pipeline', 2000)) v(stage, ms)",
+            " FROM (VALUES ('deterministic'), ('llm'), ('pipeline')) v(stage)",
         ),
         "idempotent_append": _with(
             evaluated,
@@ -637,6 +656,32 @@ def metric_comparison_sql() -> str:
     )
 
 
+def _odd_text(column: str) -> str:
+    return (
+        f"CASE k % 4 WHEN 0 THEN {column} || ' \"GOLD\", E1' WHEN 1 THEN 'a\\b ' || {column} || '\\'"
+        f" WHEN 2 THEN {column} || '\"' ELSE {column} END"
+    )
+
+
+def _odd_date(column: str) -> str:
+    day = f"CAST({column} AS DATE)"
+    return (
+        f"CASE k % 4 WHEN 0 THEN {column} WHEN 1 THEN strftime({day}, '%m/%d/%Y')"
+        f" WHEN 2 THEN strftime({day}, '%Y/%m/%d') ELSE strftime({day}, '%b %-d %Y') END"
+    )
+
+
+DEAD_LETTER = """
+SELECT 'job-' || job AS job_id,
+  CASE WHEN job IN (2, 3) OR job = 1 AND bool_or(k % 100 = 2) THEN 'failed' ELSE 'success' END AS status,
+  CASE WHEN job = 2 THEN 'Invalid input object keys'
+    WHEN job = 3 THEN 'erp_ledger.csv: tax_line_item is not a number: 0.00001'
+    WHEN job = 1 AND bool_or(k % 100 = 2) THEN 'erp_ledger.csv: amount is not a number: n/a'
+    ELSE '' END AS error_message, CAST(0 AS BIGINT) AS retry_count
+FROM (SELECT o_orderkey AS k, (o_orderkey // 2) % 4 AS job FROM orders) GROUP BY job
+"""
+
+
 def stream_intake_sql() -> str:
     """Each job is a run of its own over the orders that belong to it."""
     jobs = []
@@ -666,10 +711,37 @@ FROM judged
 """
 
 
+def _derived(built: dict[str, str]) -> dict[str, str]:
+    """Answers that are those of another query, or figures of several."""
+    evaluated = _evaluated()
+    shares = ("deterministic_match_percent", "llm_match_percent")
+    rounded = ", ".join(f"round({c}, 2) AS {c}" for c in shares)
+    figures = ", ".join(f"round(p.{c}, 2) AS overall_{c}" for c in ("precision", "recall", "f1", "accuracy"))
+    counts = ", ".join(f"p.{c} AS overall_{c}" for c in ("tp", "fp", "fn"))
+    return {
+        "evaluator_columns": built["evaluator_plugin"],
+        "evaluator_batches": built["evaluator_plugin"],
+        "report_roundtrip": built["matched_report"],
+        "log_roundtrip": built["decision_log"],
+        "exceptions_roundtrip": f"SELECT * FROM ({built['erp_exceptions']}) UNION ALL SELECT * FROM ({built['bank_exceptions']})",
+        "metrics_roundtrip": f"SELECT * REPLACE ({rounded}), TRUE AS timed FROM ({built['run_metrics']})",
+        "artifact_summary": _with(
+            evaluated,
+            f"SELECT {figures}, {counts}, round(e.f1, 2) AS exception_f1, n_exact AS exact_matches,"
+            " n_model AS llm_matches, TRUE AS timed, c.total AS confident,"
+            " (SELECT coalesce(bool_and(trim(reasoning) <> ''), FALSE) FROM matched) AS audit_trail_ok"
+            " FROM all_prf p, exc_prf e, totals, (SELECT total FROM calibration WHERE bucket = '0.8-1.0') c",
+        ),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
+    built = _build()
     return {
-        **_build(),
+        **built,
+        **_derived(built),
         "metric_comparison": metric_comparison_sql(),
         "stream_intake": stream_intake_sql(),
         "intake_gate": INTAKE_GATE,
+        "dead_letter": DEAD_LETTER,
     }

@@ -8,6 +8,7 @@ from __future__ import annotations
 import functools
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from ledgerlink.functions.scoring import (
 from ledgerlink.functions.text import name_tokens, zero_padded
 from ledgerlink.operators import audit, candidates, decide, evaluate, exact, metrics
 from ledgerlink.operators.assign import greedy_assignment
+from ledgerlink.plans.evaluation import evaluate_artifacts
 from ledgerlink.plans.reconcile import ReconResult, reconcile
 from ledgerlink.schemas import MONEY, TRUTH
 from ledgerlink.session import checkpoint_folder, cut_lineage
@@ -104,20 +106,48 @@ def fixture_truth(spark, sf_dir):
     return _truth(spark, sf_dir)
 
 
+_DATE_STYLES = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy/MM/dd", "MMM d yyyy")
+
+
+def _odd_text(text, k):
+    """Texts with quotes, commas and backslashes, by the key's remainder."""
+    return (
+        F.when(k % 4 == 0, F.concat(text, F.lit(' "GOLD", E1')))
+        .when(k % 4 == 1, F.concat(F.lit("a\\b "), text, F.lit("\\")))
+        .when(k % 4 == 2, F.concat(text, F.lit('"')))
+        .otherwise(text)
+    )
+
+
+def _odd_date(date, k):
+    shown = F.date_format(date, _DATE_STYLES[0])
+    for number in (1, 2, 3):
+        shown = F.when(k % 4 == number, F.date_format(date, _DATE_STYLES[number])).otherwise(shown)
+    return shown
+
+
+def _written_csv(rows: DataFrame, folder: str) -> None:
+    rows.write.option("header", True).option("escape", '"').csv(folder)
+
+
 @query
 def ledger_scan(spark, sf_dir):
-    """The ledger written as CSV and read back through the CSV reader."""
-    folder = _scratch(spark, "ledger")
-    rows = derived.derived_ledger(spark, sf_dir).drop("row_ord")
-    rows.write.option("header", True).csv(folder)
+    """The ledger, with quoted names and dates of four styles, written as CSV and read back."""
+    folder, k = _scratch(spark, "ledger"), F.col("row_ord")
+    rows = derived.derived_ledger(spark, sf_dir)
+    rows = rows.withColumns({"merchant_name": _odd_text(F.col("merchant_name"), k), "date": _odd_date(F.col("date"), k)})
+    _written_csv(rows.drop("row_ord"), folder)
     return files.read_ledger(spark, folder).drop("row_ord")
 
 
 @query
 def statement_scan(spark, sf_dir):
-    folder = _scratch(spark, "statement")
-    rows = derived.derived_statement(spark, sf_dir).drop("row_ord")
-    rows.write.option("header", True).csv(folder)
+    folder, k = _scratch(spark, "statement"), F.col("row_ord")
+    rows = derived.derived_statement(spark, sf_dir)
+    rows = rows.withColumns(
+        {"description": _odd_text(F.col("description"), k), "settlement_date": _odd_date(F.col("settlement_date"), k)}
+    )
+    _written_csv(rows.drop("row_ord"), folder)
     return files.read_statement(spark, folder).drop("row_ord")
 
 
@@ -143,10 +173,10 @@ def ledger_normalize(spark, sf_dir):
 
 @query
 def truth_explode(spark, sf_dir):
-    """The truth as nested documents of at most 500 matches, exploded to rows."""
-    number = F.expr("cast(substring(erp_id, 5) AS bigint)")
-    matches = _truth(spark, sf_dir).withColumn("part", F.floor(number / 500))
-    documents = matches.groupBy("part").agg(
+    """The truth as nested documents of at most 500 keys each, exploded to both kinds of rows."""
+    number = lambda name: F.regexp_extract(name, "([0-9]+)$", 1).cast("bigint")
+    part = lambda name: F.floor(number(name) / 500).alias("part")
+    matches = _truth(spark, sf_dir).groupBy(part("erp_id")).agg(
         F.collect_list(
             F.struct(
                 "erp_id",
@@ -156,10 +186,16 @@ def truth_explode(spark, sf_dir):
             )
         ).alias("matches")
     )
+    unmatched = derived.derived_truth_exceptions(spark, sf_dir)
+    side = lambda name: F.collect_list(F.when(F.col("dataset") == name, F.col("record_id")))
+    lists = unmatched.groupBy(part("record_id")).agg(
+        F.struct(side("erp").alias("erp_only"), side("bank").alias("bank_only")).alias("exceptions")
+    )
     folder = _scratch(spark, "truth")
-    documents.drop("part").write.json(folder)
-    pairs, _ = files.explode_truth(spark.read.schema(TRUTH).json(folder), F.lit("orders"))
-    return pairs
+    matches.join(lists, "part", "full").drop("part").write.json(folder)
+    pairs, open_records = files.explode_truth(spark.read.schema(TRUTH).json(folder), F.lit("orders"))
+    rows = pairs.unionByName(open_records, allowMissingColumns=True)
+    return rows.na.fill("").na.fill(0.0)
 
 
 # --- Text and exact stage -------------------------------------------------------
@@ -453,6 +489,41 @@ def evaluator_faults(spark, sf_dir):
     return _evaluated(spark, sf_dir, _failing)
 
 
+def _agreeing_totals():
+    """The sample evaluator as a column expression."""
+    same = F.col("amount") + F.col("tax_line_item") == F.col("net_amount") + F.col("fee_deducted")
+    matched = F.coalesce(same, F.lit(False))
+    return F.struct(
+        matched.alias("is_match"),
+        F.when(matched, 0.9).otherwise(0.3).alias("confidence_score"),
+        F.when(matched, "fuzzy_name_match").otherwise("no_match").alias("match_type"),
+        F.when(matched, "totals agree").otherwise("totals differ").alias("reasoning"),
+    )
+
+
+def _agreeing_frames(erp, bank):
+    """The sample evaluator for whole batches."""
+    matched = (erp["amount"] + erp["tax_line_item"]) == (bank["net_amount"] + bank["fee_deducted"])
+    return pd.DataFrame(
+        {
+            "is_match": matched,
+            "confidence_score": matched.map({True: 0.9, False: 0.3}),
+            "match_type": matched.map({True: "fuzzy_name_match", False: "no_match"}),
+            "reasoning": matched.map({True: "totals agree", False: "totals differ"}),
+        }
+    )
+
+
+@query
+def evaluator_columns(spark, sf_dir):
+    return _evaluated(spark, sf_dir, decide.ColumnEvaluator(_agreeing_totals))
+
+
+@query
+def evaluator_batches(spark, sf_dir):
+    return _evaluated(spark, sf_dir, decide.BatchEvaluator(_agreeing_frames))
+
+
 @query
 def greedy_assignment_(spark, sf_dir):
     """Assignment with every ranked candidate eligible."""
@@ -534,10 +605,12 @@ def throughput_fallback(spark, sf_dir):
 
 @query
 def job_summary(spark, sf_dir):
+    """The result record with the measured time, of which only its sign is comparable."""
     run = _pipeline(spark, sf_dir)
+    taken = int(run.measure()["total"] * 1000)
     return metrics.job_summary(
-        run.pairs, run.exceptions, "out/reconciled_report.csv", "out/exceptions_list.csv", 1500
-    )
+        run.pairs, run.exceptions, "out/reconciled_report.csv", "out/exceptions_list.csv", taken
+    ).withColumn("timed", F.col("duration_ms") > 0).drop("duration_ms")
 
 
 @query
@@ -612,6 +685,60 @@ def metric_comparison(spark, sf_dir):
     return evaluate.metric_comparison(both, "as_written", "folded")
 
 
+def _products(spark, sf_dir) -> str:
+    """All products of the run, written."""
+    folder = _scratch(spark, "products")
+    sinks.write_all(_pipeline(spark, sf_dir), folder, runs=[derived.DERIVED_RUN])
+    return folder
+
+
+@query
+def report_roundtrip(spark, sf_dir):
+    """The matched report written and read back."""
+    return files.read_matched_report(spark, f"{_products(spark, sf_dir)}/{sinks.REPORT}", None)
+
+
+@query
+def exceptions_roundtrip(spark, sf_dir):
+    rows = files.read_exceptions(spark, f"{_products(spark, sf_dir)}/{sinks.EXCEPTIONS}", None)
+    return rows.drop("details").na.fill("", ["related_record_id"])
+
+
+@query
+def log_roundtrip(spark, sf_dir):
+    """The decision log read back, with the order that tells first evidence."""
+    return files.read_decision_log(
+        spark, f"{_products(spark, sf_dir)}/{sinks.DECISIONS}", None, lines=True
+    ).drop("erp_ord")
+
+
+@query
+def metrics_roundtrip(spark, sf_dir):
+    """Rounded, timed metrics read back; of the times only their sign is comparable."""
+    rows = files.read_metrics(spark, f"{_products(spark, sf_dir)}/{sinks.METRICS}")
+    timed = F.least("deterministic_time_seconds", "llm_time_seconds", "total_time_seconds") > 0
+    return rows.withColumn("timed", timed).drop(
+        "deterministic_time_seconds", "llm_time_seconds", "total_time_seconds"
+    )
+
+
+@query
+def artifact_summary(spark, sf_dir):
+    """One call from written artifacts and truth to the evaluation summary, flattened."""
+    summary = evaluate_artifacts(
+        spark, _products(spark, sf_dir), _truth(spark, sf_dir), derived.derived_truth_exceptions(spark, sf_dir)
+    )
+    return summary.select(
+        *[F.col(f"overall.{c}").alias(f"overall_{c}") for c in ("precision", "recall", "f1", "accuracy", "tp", "fp", "fn")],
+        F.col("category_metrics")["true_exception"]["f1"].alias("exception_f1"),
+        F.col("throughput_breakdown.deterministic_matches_count").alias("exact_matches"),
+        F.col("throughput_breakdown.llm_matches_count").alias("llm_matches"),
+        (F.col("throughput_breakdown.total_time_seconds") > 0).alias("timed"),
+        F.col("confidence_calibration")["0.8-1.0"]["total"].alias("confident"),
+        "audit_trail_ok",
+    )
+
+
 # --- Audit, intake and streaming ------------------------------------------------
 
 
@@ -619,14 +746,19 @@ def metric_comparison(spark, sf_dir):
 def audit_rows(spark, sf_dir):
     run = _pipeline(spark, sf_dir)
     rows = audit.audit_rows(run.pairs, run.exceptions, 1500)
-    return rows.select("job_id", "transaction_hash", "stage", "duration_ms")
+    return rows.where("created_at is not null and error_message is null").drop(
+        "created_at", "error_message"
+    ).na.fill("", ["model_name"])
 
 
 @query
 def stage_timing_rows(spark, sf_dir):
-    return audit.stage_timing_rows(
-        _pipeline(spark, sf_dir).metrics, {"deterministic": 0.25, "llm": 1.5, "pipeline": 2.0}
-    )
+    """Three measured stages per run; of the times only their sign is comparable."""
+    run = _pipeline(spark, sf_dir)
+    seconds = run.measure()
+    stages = {"deterministic": seconds["deterministic"], "llm": seconds["llm"], "pipeline": seconds["total"]}
+    rows = audit.stage_timing_rows(run.metrics, stages)
+    return rows.select("job_id", "stage", "metadata", (F.col("duration_ms") > 0).alias("timed"))
 
 
 @query
@@ -680,17 +812,20 @@ def intake_gate(spark, sf_dir):
 def _streamed(spark, sf_dir, name: str, n_jobs: int, broken: bool = False) -> str:
     """Run jobs derived from the orders through the intake stream.
 
-    When ``broken``, job 1 has a bad amount and job 2 a wrong key.
+    When ``broken``, job 1 has a bad amount, job 2 a wrong key and job 3 taxes
+    and fees of more decimals than money has.
     """
     folder = _scratch(spark, name)
-    for file, rows, amount in (
-        (files.LEDGER_FILE, derived.derived_ledger(spark, sf_dir), "amount"),
-        (files.STATEMENT_FILE, derived.derived_statement(spark, sf_dir), "net_amount"),
+    for file, rows, amount, extra in (
+        (files.LEDGER_FILE, derived.derived_ledger(spark, sf_dir), "amount", "tax_line_item"),
+        (files.STATEMENT_FILE, derived.derived_statement(spark, sf_dir), "net_amount", "fee_deducted"),
     ):
         job = F.floor(F.col("row_ord") / 2) % n_jobs
         text = F.col(amount).cast("string")
         if broken:
             text = F.when((job == 1) & (F.col("row_ord") % 100 == 2), "n/a").otherwise(text)
+            fine = F.when(job == 3, "0.00001").otherwise(F.col(extra).cast("string"))
+            rows = rows.withColumn(extra, fine)
         rows = rows.withColumn("job", job).withColumn(amount, text)
         for number in range(n_jobs):
             part = rows.where(F.col("job") == number).orderBy("row_ord")
@@ -726,8 +861,8 @@ def stream_intake(spark, sf_dir):
 
 @query
 def dead_letter(spark, sf_dir):
-    """Failed jobs of a stream in which two of three jobs have bad input."""
-    out = _streamed(spark, sf_dir, "broken", 3, broken=True)
+    """The jobs of a stream in which three of four have bad input."""
+    out = _streamed(spark, sf_dir, "broken", 4, broken=True)
     letters = spark.read.schema(
         "job_id string, payload string, error_message string, retry_count int"
     ).parquet(f"{out}/failed_jobs")

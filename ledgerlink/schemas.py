@@ -142,6 +142,14 @@ DECISION_LOG = T.StructType(
         T.StructField("rank", T.IntegerType()),
     ]
 )
+# What is read back of the written metrics.
+METRICS = (
+    "run_id string, total_erp_records bigint, total_bank_records bigint,"
+    " deterministic_matches_count bigint, deterministic_match_percent double,"
+    " deterministic_time_seconds double, llm_matches_count bigint, llm_match_percent double,"
+    " llm_time_seconds double, llm_calls_made bigint, logged_decisions_count bigint,"
+    " unresolved_exceptions_count bigint, total_matched_pairs bigint, total_time_seconds double"
+)
 TRUTH = T.StructType(
     [
         T.StructField("seed", T.LongType()),

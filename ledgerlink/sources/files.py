@@ -12,6 +12,7 @@ from ledgerlink.schemas import (
     EXCEPTIONS,
     LEDGER_COLUMNS,
     MATCHED,
+    METRICS,
     MONEY,
     STATEMENT_COLUMNS,
     TRUTH,
@@ -255,7 +256,19 @@ def _or_empty(spark, read, schema: T.StructType, run_id: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], schema)
-    return rows.select(F.lit(run_id).alias("run_id"), "*")
+    if run_id is None:  # written by run: the folder names say whose rows they are
+        return rows if "run_id" in rows.columns else rows.select(F.lit(None).cast("string").alias("run_id"), "*")
+    return rows.drop("run_id").select(F.lit(run_id).alias("run_id"), "*")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame | None:
+    """The written metrics, one row per run, or None if there are none."""
+    try:
+        return spark.read.schema(METRICS).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def intake_gate(
