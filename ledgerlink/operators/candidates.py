@@ -99,13 +99,22 @@ def _keyed(
 
 
 def _hot_groups(erp_keys: DataFrame, bank_keys: DataFrame, limit: int) -> DataFrame:
-    """Keys held by many rows of both sides, whose pairing would explode."""
+    """Keys whose pairing would explode, with their number of statement rows.
 
-    def large(rows: DataFrame) -> DataFrame:
-        counted = rows.groupBy("run_id", "key").agg(F.count("*").alias("n"))
-        return counted.where(F.col("n") > limit)
+    What a ledger row meets is the statement's group, so that side must be
+    large; and there must be more pairs than a group of ``limit`` rows on either
+    side has, or searching would cost more than pairing.
+    """
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("run_id", "key").agg(F.count("*").alias(name))
 
-    return large(erp_keys).drop("n").join(large(bank_keys), ["run_id", "key"])
+    large = counted(bank_keys, "n").where(F.col("n") > limit)
+    pairs = F.col("n").cast("double") * F.col("n_erp")
+    return (
+        counted(erp_keys, "n_erp").join(large, ["run_id", "key"])
+        .where(pairs > float(limit) * limit).select("run_id", "key", "n")
+    )
 
 
 def _in_band() -> Column:
@@ -217,6 +226,9 @@ def _searched_groups(erp_keys: DataFrame, hot: DataFrame) -> DataFrame:
             F.sort_array(
                 F.transform(F.slice("by_size", 1, F.col("most")), lambda g: g.key)
             ).alias("keys"),
+            F.map_from_entries(
+                F.transform("by_size", lambda g: F.struct(g.key, g.n))
+            ).alias("sizes"),
         )
     )
 
@@ -243,18 +255,23 @@ def _nearest_by_tokens(
         .select("*", F.explode(subsets).alias("subset"))
         .withColumn("grp", F.array_join("subset", " "))
         .withColumn("base", name_part(F.size("subset"), F.size("erp_tokens")))
-        .select("run_id", "grp", "subset", "erp_ord", "base", "gross", "date")
+        .withColumn(
+            "key",
+            F.array_min(
+                F.transform("subset", lambda t: F.struct(F.try_element_at("sizes", t).alias("n"), t.alias("key")))
+            )["key"],
+        )
+        .select("run_id", "grp", "subset", "key", "erp_ord", "base", "gross", "date")
     )
-    # Statement rows of a set are found through its first token.
-    wanted = queries.select("run_id", "grp", "subset").distinct()
-    anchored = wanted.withColumn("key", F.get("subset", F.lit(0)))
+    # Statement rows of a set are found through its rarest token.
+    anchored = queries.select("run_id", "grp", "subset", "key").distinct()
     words = F.transform("bank_tokens", lambda word: F.concat(F.lit(TOKEN), word))
     members = (
         bank_keys.join(anchored, ["run_id", "key"])
         .where(F.size(F.array_except("subset", words)) == 0)
         .select("run_id", "grp", "bank_ord", "settled", "settlement_date")
     )
-    near = nearest_in_groups(queries.drop("subset"), members, config.max_candidates)
+    near = nearest_in_groups(queries.drop("subset", "key"), members, config.max_candidates)
     return _with_features(near, erp, bank)
 
 

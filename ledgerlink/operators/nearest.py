@@ -51,13 +51,21 @@ def nearest_in_groups(
             _day_number(F.col("date")).alias("day"),
         )
     )
+    # points of one group, amount and day score alike, so the first k are enough
+    alike = Window.partitionBy("run_id", "grp", "px", "pday").orderBy("bank_ord")
     known = cut_lineage(
         points.select(
             "run_id", "grp", "bank_ord",
             F.col("settled").alias("px"),
             _day_number(F.col("settlement_date")).alias("pday"),
         )
+        .withColumn("copy", F.row_number().over(alike))
+        .where(F.col("copy") <= k)
+        .drop("copy")
     )
+    group_days = known.where(F.col("pday") != _NO_DATE).select(
+        "run_id", "grp", F.col("pday").alias("list")
+    ).distinct()
     limit = None if max_delta is None else int(max_delta * MONEY_UNITS)
     span = _span(asked, known)
     if span is None:
@@ -75,7 +83,7 @@ def nearest_in_groups(
     farthest = max(span.day_spread, 0)
     rings = [d for d in _RING_DAYS if d < farthest] + [farthest]
     for step, outer in enumerate(rings):
-        hits = _ask_days(state, tree, levels, k, inner, outer, span, limit)
+        hits = _ask_days(state, tree, group_days, levels, k, inner, outer, span, limit)
         state = cut_lineage(_merge(state, hits, k))
         if outer == farthest:
             finished.append(state)
@@ -183,28 +191,36 @@ def _first(ends: Column, k: int) -> Column:
 
 
 def _ask_days(
-    state: DataFrame, tree: DataFrame, levels: int, k: int, inner: int, outer: int, span, limit
+    state: DataFrame, tree: DataFrame, group_days: DataFrame, levels: int, k: int, inner: int, outer: int, span, limit
 ) -> DataFrame:
-    """Nearest points in amount of every list between the two ring bounds."""
-    around = F.filter(
-        F.sequence(F.lit(-outer), F.lit(outer)), lambda step: F.abs(step) > inner
-    )
-    days = F.filter(
-        F.transform(around, lambda step: F.col("day") + step),
-        lambda day: (day >= span.first_point_day) & (day <= span.last_point_day),
-    )
-    if span.first_point_day is None:
-        days = F.array().cast("array<int>")
-    if inner < 0:
-        other = [_NO_DATE, _ANY_DATE] if span.undated_points else [_ANY_DATE]
-        days = F.concat(days, F.array(*[F.lit(day) for day in other]))
-        undated = F.array(F.lit(_ANY_DATE))
+    """Nearest points in amount of every list between the two ring bounds.
+
+    Up to the widest fixed ring the days are spelled out. Beyond it only days
+    that the query's own group has are asked, so one far date costs one day.
+    """
+    dated = F.col("day") != _NO_DATE
+    wanted = []
+    if outer in _RING_DAYS or outer <= _RING_DAYS[0]:
+        around = F.filter(
+            F.sequence(F.lit(-outer), F.lit(outer)), lambda step: F.abs(step) > inner
+        )
+        days = F.transform(around, lambda step: F.col("day") + step)
+        wanted.append(state.where(dated).select(*_QUERY, F.explode(days).alias("list")))
     else:
-        undated = F.array().cast("array<int>")
-    lists = F.when(F.col("day") == _NO_DATE, undated).otherwise(days)
+        gap = F.abs(F.col("list") - F.col("day"))
+        wanted.append(
+            state.where(dated).join(group_days, ["run_id", "grp"])
+            .where((gap > inner) & (gap <= outer)).select(*_QUERY, "list")
+        )
+    if inner < 0:
+        wanted.append(state.select(*_QUERY, F.lit(_ANY_DATE).alias("list")))
+        if span.undated_points:
+            wanted.append(state.where(dated).select(*_QUERY, F.lit(_NO_DATE).alias("list")))
+    lists = wanted[0]
+    for part in wanted[1:]:
+        lists = lists.unionByName(part)
     asked = (
-        state.select(*_QUERY, F.explode(lists).alias("list"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level"))
+        lists.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level"))
         .withColumn("own", F.expr(f"shiftright(x, {_DIGIT_BITS} * level)"))
         .withColumn("node", F.shiftright("own", _DIGIT_BITS))
     )
@@ -240,16 +256,33 @@ def _hit(delta: Column) -> Column:
 
 
 def _merge(state: DataFrame, hits: DataFrame, k: int) -> DataFrame:
-    """Fold new hits into the k best of each query; queries without hits stay."""
-    no_delta = F.lit(None).cast("bigint")
-    rows = state.select(
-        *_QUERY, "best", "kth_delta", no_delta.alias("any_delta")
-    ).unionByName(hits.select(*_QUERY, "best", no_delta.alias("kth_delta"), "any_delta"))
-    ranked = F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))))
-    by_amount = F.get(F.sort_array(F.collect_list("any_delta")), F.lit(k - 1))
-    return rows.groupBy(*_QUERY).agg(
-        F.slice(ranked, 1, k).alias("best"),
-        F.coalesce(F.max("kth_delta"), by_amount).alias("kth_delta"),
+    """Fold new hits into the k best of each query; queries without hits stay.
+
+    Hits are ranked and cut to k before they are collected, so no list grows
+    with the group. A hit found twice is one hit.
+    """
+    found = state.select(*_QUERY, F.explode("best").alias("hit")).unionByName(
+        hits.select(*_QUERY, F.explode("best").alias("hit"))
+    ).distinct()
+    order = Window.partitionBy(*_QUERY).orderBy("hit.neg_score", "hit.bank_ord")
+    best = (
+        found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+        .groupBy(*_QUERY).agg(F.sort_array(F.collect_list("hit")).alias("best"))
+    )
+    near = hits.where(F.col("any_delta").isNotNull()).select(*_QUERY, "any_delta")
+    by_amount = Window.partitionBy(*_QUERY).orderBy("any_delta")
+    kth = (
+        near.withColumn("place", F.row_number().over(by_amount)).where(F.col("place") == k)
+        .select(*_QUERY, F.col("any_delta").alias("new_kth"))
+    )
+    known = state.select("run_id", "grp", "erp_ord", "base", "x", "day", "kth_delta")
+    return (
+        known.join(best, _QUERY, "left").join(kth, _QUERY, "left")
+        .select(
+            *_QUERY,
+            F.coalesce("best", F.array().cast(_HITS)).alias("best"),
+            F.coalesce("kth_delta", "new_kth").alias("kth_delta"),
+        )
     )
 
 
