@@ -30,8 +30,6 @@ _LOW = np.uint64(0xFFFFFFFF)
 _CHUNK_BYTES = 2 << 20
 #: An anchor with more different pieces than this is compared window by window.
 HOT_PIECES = 4_000
-#: Symbols of the pieces that one task compares at a time, about.
-BUCKET_SYMBOLS = 1 << 20
 
 PIECES = "anchor long, content long, doc_id {id}, start int, n int"
 
@@ -42,13 +40,15 @@ class Windows:
 
     ``symbols`` turns texts into (hash of every symbol, symbols per text);
     ``across`` tells whether only earlier documents count or also earlier
-    places of the same document.
+    places of the same document. A task compares about ``bucket_symbols`` of
+    pieces at a time.
     """
 
     length: int
     gram: int
     symbols: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
     across: bool
+    bucket_symbols: int = 1 << 20
 
     @property
     def reach(self) -> int:
@@ -201,7 +201,7 @@ def repeated_runs(
         chosen = same_doc.join(variants, "anchor").select("anchor", "variants", place.alias("first"))
     chosen = saved(chosen.select("anchor", (F.col("variants") > hot_pieces).alias("hot"), "first.*"), "chosen")
     size = chosen.where("not hot").agg(F.sum(F.col("n") + windows.length)).first()[0] or 0
-    buckets = max(1, int(size // BUCKET_SYMBOLS))
+    buckets = max(1, int(size // windows.bucket_symbols))
     lists = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n", "hot")).alias("wanted"))
     cut_out = _cut_pieces(texts.join(lists, "doc_id", "left"), windows, cut, buckets)
     compared = compare(cut_out.where("bucket is not null"))

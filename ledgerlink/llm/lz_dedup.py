@@ -192,7 +192,8 @@ def _compare(rows: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, f"doc_id {kind}, start int, n int")
 
 
-WINDOWS = Windows(LENGTH, 8, word_symbols, across=True)
+#: Finding longest matches takes some 400 bytes a word, hence smaller buckets than for bytes.
+WINDOWS = Windows(LENGTH, 8, word_symbols, across=True, bucket_symbols=1 << 17)
 
 
 def repeated_words(texts: DataFrame, hot_pieces: int | None = None) -> DataFrame:
