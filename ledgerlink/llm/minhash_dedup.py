@@ -8,10 +8,11 @@ finds all pairs up to that distance, which documents of similarity 0.75 exceed
 about once in 10^5; those too are mostly found, as one good chunk is enough.
 
 Equal sets collapse first. Every member of a key's group is then compared with
-the group's first member only; what this links is one component. Only members
-of different components of a key are paired in a second round, so a large group
-of near copies costs its size, not its square, and no link is lost. Links are
-confirmed on the full shingle sets.
+the group's hub only, its member of most companions, which among near copies is
+the text that they were made from; what this links is one component. Only
+members of different components of a key are paired in a second round, so a
+large group of near copies costs its size, not its square, and no link is lost.
+Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.anchors import _M1, _mix
 from ledgerlink.llm.byte_bpe import small_batches
-from ledgerlink.llm.common import components, keyed_texts, saved
+from ledgerlink.llm.common import components, keyed_texts, partitions_for, saved
 from ledgerlink.llm.lz_dedup import word_hashes
 
 SHINGLE = 5
@@ -34,14 +35,16 @@ SHINGLE = 5
 PERCENT = 75
 SYMBOLS, CHUNK = 64, 4
 #: Distance up to which all pairs of signatures are found: each chunk may lose one symbol.
+#: Pairs beyond it are not compared in full. At similarity 0.75 a symbol differs with
+#: probability 1/4: more than 31 of 64 about once in 10^5.
 GUARANTEED = 2 * (SYMBOLS // CHUNK) - 1
-#: Pairs whose one-bit sketches differ in more bits are not compared in full. At
-#: similarity 0.75 a bit differs with probability 1/8: more than 24 of 64 about once in 10^7.
-SKETCH_BITS = 24
+#: Smallest shingle hashes kept of a document: the whole set of most short ones.
+BOTTOM = 256
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.int64).astype(np.uint64)
 _BLOCK = 4096
+_CELL = 512
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -80,32 +83,37 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame) -> DataFrame:
-    """(doc_id, n, digest, sketch, symbols) of every text with words."""
+    """(doc_id, n, digest, words, symbols, bottom) of every text.
+
+    ``words`` are the lower bytes of the symbols, eight to a number, for
+    distances between signatures inside joins; ``bottom`` the upper halves of
+    the smallest shingle hashes.
+    """
     kind = texts.schema["doc_id"].dataType.simpleString()
-    bit = np.uint64(1) << np.arange(SYMBOLS, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small_batches(batch, "text"):
                 sets = [shingle_set(t) for t in part.column("text").to_pylist()]
                 signs = np.stack([signature(s) for s in sets])
-                sketch = ((signs & 1).astype(np.uint64) * bit).sum(axis=1, dtype=np.uint64).view(np.int64)
+                words = signs.astype(np.uint8).view("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array(sketch),
+                        pa.array(list(words), pa.list_(pa.int64())),
                         pa.array([s.astype("<u2").tobytes() for s in signs], pa.binary()),
+                        pa.array([(s[:BOTTOM] >> np.uint64(32)).astype("<u4").tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "digest", "sketch", "symbols"],
+                    names=["doc_id", "n", "digest", "words", "symbols", "bottom"],
                 )
 
-    return texts.mapInArrow(run, f"doc_id {kind}, n long, digest binary, sketch long, symbols binary")
+    return texts.mapInArrow(run, f"doc_id {kind}, n long, digest binary, words array<bigint>, symbols binary, bottom binary")
 
 
 def _keys(reps: DataFrame) -> DataFrame:
-    """(key, id, n, sketch): one row per document and index key."""
+    """(key, id): one row per document and index key."""
     kind = reps.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,18 +124,27 @@ def _keys(reps: DataFrame) -> DataFrame:
             keys = index_keys(signs)
             which = pa.array(np.repeat(np.arange(len(signs)), keys.shape[1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), *[batch.column(c).take(which) for c in ("id", "n", "sketch")]],
-                names=["key", "id", "n", "sketch"],
+                [pa.array(keys.ravel()), batch.column("id").take(which)], names=["key", "id"]
             )
 
-    return reps.select("id", "n", "sketch", "symbols").mapInArrow(run, f"key long, id {kind}, n long, sketch long")
+    return reps.select("id", "symbols").mapInArrow(run, f"key long, id {kind}")
 
 
-def _near(n1: Column, n2: Column, s1: Column, s2: Column) -> Column:
-    """Whether sizes and sketches allow the similarity."""
-    return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * PERCENT) & (
-        F.bit_count(s1.bitwiseXOR(s2)) <= SKETCH_BITS
-    )
+def _distance(a: Column, b: Column) -> Column:
+    """In how many symbols two signatures differ, by their lower bytes (never more than in all bits)."""
+    total = F.lit(0)
+    for i in range(SYMBOLS // 8):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for shift in (4, 2, 1):  # the lowest bit of each byte becomes the or of its bits
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return total
+
+
+def _near(n1: Column, n2: Column, words1: Column, words2: Column) -> Column:
+    """Whether sizes and signatures allow the similarity."""
+    sizes = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * PERCENT
+    return sizes & (_distance(words1, words2) <= GUARANTEED)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -161,6 +178,84 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _allowed(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures allow."""
+    left = marks.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("words").alias("words1"))
+    right = marks.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("words").alias("words2"))
+    near = _near(F.col("n1"), F.col("n2"), F.col("words1"), F.col("words2"))
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+
+
+def may_link(a: np.ndarray, b: np.ndarray, n1: int, n2: int) -> bool:
+    """Whether the smallest hashes of two sets of ``n1`` and ``n2`` allow the similarity.
+
+    Whole sets decide exactly, but for one shared value of slack, as halved
+    hashes may collide. Otherwise the share of common values among the smallest
+    of the union must not lie 4.5 standard deviations below the threshold.
+    """
+    if n1 <= BOTTOM and n2 <= BOTTOM:
+        both = len(np.intersect1d(a, b)) + 1
+        return 100 * both >= PERCENT * (n1 + n2 - both)
+    union = np.union1d(a, b)[:BOTTOM]
+    both = np.isin(union, a) & np.isin(union, b)
+    least = PERCENT / 100
+    size = (n1 + n2) / (1 + least)  # of the union, at the threshold
+    spread = np.sqrt(least * (1 - least) / BOTTOM * max(0.0, size - BOTTOM) / max(1.0, size - 1))
+    return both.sum() + 1 >= BOTTOM * (least - 4.5 * spread)
+
+
+def _across_components(rows: DataFrame) -> DataFrame:
+    """Allowed pairs (a, b) of different components among (grp, id, n, component, symbols, bottom) rows.
+
+    A group holds the members of all keys with the same smallest component.
+    Groups are dealt to cells; one of more rows than a cell is cut into parts
+    by hash, and every two parts meet, so no task holds a whole hot group.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    total = rows.count()
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
+    groups = partitions_for(total, 2 * _CELL)
+    known = rows.join(sizes, "grp").withColumn("parts", F.ceil(F.col("rows") / _CELL).cast("int"))
+    dealt = (
+        known.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        .withColumn(
+            "cell",
+            F.when(F.col("parts") == 1, F.pmod(F.xxhash64("grp"), F.lit(groups))).otherwise(F.xxhash64("grp", "i", "j")),
+        )
+        .select("cell", "grp", "i", "j", "own", "id", "n", "component", "symbols", "bottom")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("grp", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        grp, i, j, own, ids, n, component = (
+            table.column(c).to_numpy() for c in ("grp", "i", "j", "own", "id", "n", "component")
+        )
+        signs = np.frombuffer(b"".join(table.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        bottom = [np.frombuffer(x, "<u4") for x in table.column("bottom").to_pylist()]
+        left, right = [], []
+        at = np.arange(len(ids))
+        for step in range(1, len(ids)):
+            at = at[at + step < len(ids)]
+            at = at[(grp[at] == grp[at + step]) & (i[at] == i[at + step]) & (j[at] == j[at + step])]
+            if not len(at):
+                break
+            to = at + step
+            fits = (component[at] != component[to]) & ((i[at] == j[at]) | (own[at] != own[to]))
+            fits &= np.minimum(n[at], n[to]) * 100 >= np.maximum(n[at], n[to]) * PERCENT
+            one, two = at[fits], to[fits]
+            near = (signs[one] != signs[two]).sum(axis=1) <= GUARANTEED
+            for x, y in zip(one[near].tolist(), two[near].tolist(), strict=True):
+                if may_link(bottom[x], bottom[y], n[x], n[y]):
+                    left.append(x)
+                    right.append(y)
+        a, b = ids[np.array(left, np.int64)], ids[np.array(right, np.int64)]
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return dealt.groupBy("cell").applyInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document.
 
@@ -172,39 +267,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = saved(_signatures(texts), "signatures")
     classes = (
         signed.where("n > 0").groupBy("n", "digest")
-        .agg(F.min(F.struct("doc_id", "sketch", "symbols")).alias("r"))
-        .select(F.col("r.doc_id").alias("id"), "n", "digest", "r.sketch", "r.symbols")
+        .agg(F.min(F.struct("doc_id", "words", "symbols")).alias("r"))
+        .select(F.col("r.doc_id").alias("id"), "n", "digest", "r.words", "r.symbols")
     )
     reps = saved(classes, "classes")
     keys = _keys(reps)
-    groups = (
-        keys.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n", "sketch")).alias("hub"))
-        .where("members > 1").drop("members")
-    )
+    groups = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = saved(keys.join(groups, "key"), "shared")
-    hubs = (
-        shared.where("hub.id <> id")
-        .where(_near(F.col("n"), F.col("hub.n"), F.col("sketch"), F.col("hub.sketch")))
-        .select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
+    companions = shared.groupBy("id").agg(F.sum("members").alias("companions"))
+    hub = F.min(F.struct((-F.col("companions")).alias("order"), "id")).alias("hub")
+    hubs = shared.select("key", "id").join(companions, "id").groupBy("key").agg(hub)
+    marks = reps.select("id", "n", "words")
+    meetings = (
+        shared.join(hubs, "key").where("hub.id <> id")
+        .select(F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct()
     )
-    tried = saved(hubs, "tried")
+    tried = saved(_allowed(meetings, marks), "tried")
     first = saved(_confirmed(tried, texts), "links")
-    named = shared.select("key", "id", "n", "sketch").join(
+    named = shared.select("key", "id").join(
         components(first).withColumnRenamed("node", "id"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))
     named = saved(named, "named")
-    split = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = named.join(split.select("key"), "key")
-    one = open_.select("key", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "sketch", "component")])
-    two = open_.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "sketch", "component")])
-    across = (
-        one.join(two, "key")
-        .where((F.col("component1") != F.col("component2")) & (F.col("id1") > F.col("id2")))
-        .where(_near(F.col("n1"), F.col("n2"), F.col("sketch1"), F.col("sketch2")))
-        .select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
+    split = named.groupBy("key").agg(F.min("component").alias("grp"), F.max("component").alias("hi")).where("grp <> hi")
+    members = saved(named.join(split, "key").select("grp", "id", "component").distinct(), "members")
+    sketches = signed.select(F.col("doc_id").alias("id"), "n", "symbols", "bottom")
+    across = _across_components(members.join(sketches, "id")).join(tried, ["a", "b"], "left_anti")
     second = saved(_confirmed(saved(across, "across"), texts), "links")
     merged = components(first.union(second))
     named_classes = reps.select("n", "digest", "id").join(
