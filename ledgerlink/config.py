@@ -27,11 +27,13 @@ MOST_ALIASES = 10_000
 
 def aliases_of(table) -> tuple[tuple[str, str], ...]:
     """The aliases of a table (alias, name); of a repeated alias the smallest name counts."""
-    rows = table.where("alias is not null and name is not null").groupBy("alias").agg({"name": "min"})
-    found = rows.limit(MOST_ALIASES + 1).collect()
+    pairs = table.where("alias is not null and name is not null").selectExpr(
+        "lower(alias) AS alias", "lower(name) AS name"
+    )
+    found = pairs.groupBy("alias").agg({"name": "min"}).limit(MOST_ALIASES + 1).collect()
     if len(found) > MOST_ALIASES:
         raise ValueError(f"more than {MOST_ALIASES} merchant aliases")
-    return tuple(sorted((alias.lower(), name.lower()) for alias, name in found))
+    return tuple(sorted((alias, name) for alias, name in found))
 
 
 @dataclass(frozen=True)

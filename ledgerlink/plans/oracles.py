@@ -718,7 +718,12 @@ def _derived(built: dict[str, str]) -> dict[str, str]:
     rounded = ", ".join(f"round({c}, 2) AS {c}" for c in shares)
     figures = ", ".join(f"round(p.{c}, 2) AS overall_{c}" for c in ("precision", "recall", "f1", "accuracy"))
     counts = ", ".join(f"p.{c} AS overall_{c}" for c in ("tp", "fp", "fn"))
+    a = _ORDERS.index("    CASE WHEN k % 8 = 7 THEN 'UNKNOWN MERCHANT '")
+    b = _ORDERS.index(" AS description,", a)
+    crowded = _ORDERS.replace(_ORDERS[a:b], "    'shop' || (k + k % 3) % 20 || ' x'")
+    crowded = crowded.replace("shop || ' Pvt Ltd' AS merchant", "'shop' || k % 20 AS merchant")
     return {
+        "top_k_candidates_hot": _with(_top().replace(_ORDERS, crowded), f"{_PAIR_COLUMNS} FROM top"),
         "evaluator_columns": built["evaluator_plugin"],
         "evaluator_batches": built["evaluator_plugin"],
         "report_roundtrip": built["matched_report"],

@@ -410,6 +410,17 @@ def top_k_candidates_folded(spark, sf_dir):
     return _pair_rows(_pipeline(spark, sf_dir, fold_case=True).candidates)
 
 
+@query
+def top_k_candidates_hot(spark, sf_dir):
+    """The best candidates when twenty names cover all orders, so every token is hot."""
+    k = F.col("row_ord")
+    named = lambda number, tail: F.concat(F.lit("shop"), (number % 20).cast("string"), F.lit(tail))
+    ledger = derived.derived_ledger(spark, sf_dir).withColumn("merchant_name", named(k, ""))
+    statement = derived.derived_statement(spark, sf_dir).withColumn("description", named(k + k % 3, " x"))
+    run = reconcile(ledger, statement, ReconConfig(hot_group_rows=200))
+    return _pair_rows(run.candidates)
+
+
 # --- Decisions and assignment ---------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerlink.config import ReconConfig
+from ledgerlink.operators import candidates
 from ledgerlink.operators.candidates import top_candidates
 
 STOP = {"pvt", "ltd", "settlement", "payout"}
@@ -148,3 +149,30 @@ def test_runs_do_not_mix(spark, ledger, statement):
         for run, e, b in (("a", erp, bank[:20]), ("b", erp[:15], bank)):
             got = {(r.erp_ord, r.bank_ord, r["rank"]) for r in found if r.run_id == run}
             assert got == brute_force(e, b, 2, False)
+
+
+def test_a_one_sided_hot_token_and_a_far_date(ledger, statement):
+    rng = random.Random(11)
+    erp = [(f"E{i}", f"2024-01-{1 + i % 28:02d}", "common name", rng.randrange(1, 500), "INR", 0) for i in range(3)]
+    bank = [(f"B{i}", f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", "common", rng.randrange(1, 500), 0) for i in range(80)]
+    bank.append(("B-far", "2099-12-31", "common", 250, 0))
+    check(ledger, statement, erp, bank, hot_group_rows=10)
+
+
+def test_hot_joins_are_equality_joins(spark, ledger, statement):
+    config = ReconConfig(hot_group_rows=2)
+    erp = candidates.ledger_features(ledger([(f"E{i}", "2024-01-01", "common name", i, "INR", 0) for i in range(9)]), config)
+    bank = candidates.statement_features(statement([(f"B{i}", "2024-01-01", "common", i, 0) for i in range(9)]), config)
+    ways = (candidates.TOKEN, candidates.BAND)
+    erp_keys = candidates._keyed(erp, "erp_tokens", "gross", 1, ways)
+    bank_keys = candidates._keyed(bank, "bank_tokens", "settled", 0, ways)
+    hot = candidates._hot_groups(erp_keys, bank_keys, 2)
+    searched = candidates._searched_groups(erp_keys, hot)
+    frames = (
+        candidates._paired(erp_keys, bank_keys),
+        candidates._nearest_by_tokens(erp, bank, bank_keys, searched, config),
+        candidates._nearest_in_band(erp_keys, bank_keys, searched, erp, bank, config),
+    )
+    for frame in frames:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

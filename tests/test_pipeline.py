@@ -1,10 +1,15 @@
 import json
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
-from ledgerlink.operators import audit, evaluate, metrics
+from ledgerlink.config import aliases_of
+from ledgerlink.operators import audit, decide, evaluate, metrics
 from ledgerlink.operators.decide import validated
+from ledgerlink.plans.evaluation import compare_summaries, evaluate_artifacts
+from ledgerlink.sources import sinks
 
 # A small ledger with every class of row.
 ERP = [
@@ -238,3 +243,62 @@ def test_job_status(spark):
     )
     row = audit.job_status_latest(events).first()
     assert (row.status, row.error_message, row.created_at, row.updated_at) == ("failed", "x", 1, 2)
+
+
+def test_batch_and_column_evaluators_agree_with_a_plain_one(spark, ledger, statement):
+    def plain(erp, bank):
+        if bank["bank_ref"] == "B3":
+            raise RuntimeError("no answer")
+        near = abs(erp["amount"] - bank["net_amount"]) < 1
+        return {"is_match": bool(near), "confidence_score": 0.9, "match_type": "fuzzy_name_match", "reasoning": "near"}
+
+    def frames(erp, bank):
+        if (bank["bank_ref"] == "B3").any():
+            raise RuntimeError("no answer")
+        near = (erp["amount"] - bank["net_amount"]).abs() < 1
+        return pd.DataFrame({"is_match": near, "confidence_score": 0.9, "match_type": "fuzzy_name_match", "reasoning": "near"})
+
+    def column():
+        failed = F.col("bank_ref") == "B3"
+        near = F.abs(F.col("amount") - F.col("net_amount")) < 1
+        return F.struct(
+            (~failed & near).alias("is_match"),
+            F.when(failed, 0.0).otherwise(0.9).alias("confidence_score"),
+            F.when(failed, "no_match").otherwise("fuzzy_name_match").alias("match_type"),
+            F.when(failed, decide.FAILURE_PREFIX + "no answer").otherwise("near").alias("reasoning"),
+        )
+
+    sides = ledger(ERP), statement(BANK)
+    made = []
+    for evaluator in (plain, decide.BatchEvaluator(frames), decide.ColumnEvaluator(column)):
+        rows = reconcile(*sides, evaluator=evaluator).decisions
+        made.append(sorted(map(tuple, rows.select("erp_id", "bank_ref", *decide.DECISION_FIELDS).collect())))
+    assert made[0] == made[1] == made[2] and len(made[0]) > 2
+
+
+def test_aliases_come_from_a_table(spark, ledger, statement):
+    table = spark.createDataFrame([("ACMEX", "acme"), ("zed", None), ("acmex", "zzz")], "alias string, name string")
+    aliases = aliases_of(table)
+    assert aliases == (("acmex", "acme"),)
+    rows = spark.createDataFrame([("acme shop", "ACMEX PAYOUT", "0.00")], "merchant_name string, description string, amount_delta string")
+    rows = rows.withColumn("amount_delta", F.col("amount_delta").cast("decimal(18,4)"))
+    known = decide.evaluate_candidates(rows, aliases=aliases).first()
+    unknown = decide.evaluate_candidates(rows, aliases=()).first()
+    assert known.is_match and not unknown.is_match
+
+
+def test_two_summaries_are_compared_whole(spark, tmp_path, ledger, statement):
+    truth = spark.createDataFrame(
+        [(r, "E1", "B1", "exact") for r in ("one", "two")], "run_id string, erp_id string, bank_ref string, match_type string"
+    )
+    open_ = spark.createDataFrame([("one", "erp", "E4")], "run_id string, dataset string, record_id string")
+    for run in ("one", "two"):
+        rows = ERP if run == "one" else ERP[:2]
+        sinks.write_all(reconcile(ledger(rows, run), statement(BANK, run)), str(tmp_path))
+    summaries = evaluate_artifacts(spark, str(tmp_path), truth, open_)
+    (both,) = compare_summaries(summaries, "one", "two").collect()
+    figures = {r.metric: r for r in both.comparison}
+    assert figures["total_time_seconds"].first_value > 0 and "overall_f1" in figures
+    assert both.first_summary.run_id == "one" and both.second_summary.overall.tp == 1
+    absent = evaluate_artifacts(spark, str(tmp_path / "nothing"), truth, open_, 3.0).collect()
+    assert {r.overall.fn for r in absent} == {1}
