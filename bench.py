@@ -18,7 +18,6 @@ HEADLINES = (
     "token_overlap_pairs",
     "amount_band_pairs",
     "top_k_candidates",
-    "top_k_candidates_hot",
     "rule_decisions",
     "greedy_assignment",
     "matched_report",
