@@ -153,9 +153,12 @@ def test_runs_do_not_mix(spark, ledger, statement):
 
 def test_a_one_sided_hot_token_and_a_far_date(ledger, statement):
     rng = random.Random(11)
-    erp = [(f"E{i}", f"2024-01-{1 + i % 28:02d}", "common name", rng.randrange(1, 500), "INR", 0) for i in range(3)]
-    bank = [(f"B{i}", f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", "common", rng.randrange(1, 500), 0) for i in range(80)]
-    bank.append(("B-far", "2099-12-31", "common", 250, 0))
+    start = date(2024, 1, 1)
+    erp = [(f"E{i}", start + timedelta(i), "common name", Decimal(rng.randrange(1, 500)), "INR", None) for i in range(3)]
+    bank = [
+        (f"B{i}", start + timedelta(rng.randrange(300)), "common", Decimal(rng.randrange(1, 500)), None) for i in range(80)
+    ]
+    bank.append(("B-far", date(2099, 12, 31), "common", Decimal("250"), None))
     check(ledger, statement, erp, bank, hot_group_rows=10)
 
 
