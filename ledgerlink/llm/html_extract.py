@@ -25,13 +25,28 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 HIDDEN = frozenset("head script style noscript template iframe textarea select option object svg math canvas audio video noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_PARTS = frozenset("caption colgroup thead tbody tfoot tr td th".split())  # of a table
+_SECTIONS = frozenset("thead tbody tfoot".split())
 CLOSED_BY = {
     "p": frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dt dd tr td th".split()),
-    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option", "optgroup"]),
-    "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
+    "option": frozenset(["option", "optgroup"]), "optgroup": frozenset(["optgroup"]), "rt": frozenset(["rt", "rp"]), "rp": frozenset(["rt", "rp"]),
+    "td": _PARTS, "th": _PARTS, "caption": _PARTS, "colgroup": _PARTS, "tr": _SECTIONS | {"tr"},
+    "thead": _SECTIONS, "tbody": _SECTIONS, "tfoot": _SECTIONS,
 }
 #: An end tag or an implied end never reaches beyond these.
-_FENCE = frozenset("html body table td th ul ol dl article aside section main nav header footer form div blockquote".split())
+_FENCE = frozenset("html body table caption td th ul ol dl article aside section main nav header footer form div blockquote button object select".split())
+_SCOPE = frozenset("html table caption td th object".split())
+_ITEMS = frozenset(["li", "dt", "dd"])
+#: Start tags and end tags that stop elsewhere; parts of a table stop at the table.
+_START_FENCE = {**dict.fromkeys(_ITEMS, _FENCE - {"div"}), **dict.fromkeys(_PARTS, frozenset(["table"]))}
+_END_FENCE = {**dict.fromkeys(CLOSED_BY, _FENCE), "li": _SCOPE | {"ul", "ol"}, "dt": _SCOPE, "dd": _SCOPE, **dict.fromkeys(_PARTS, frozenset(["table"]))}
+#: All else, and any text, ends a head whose end tag is left out.
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+#: HTML elements that end an open svg or math, unless inside one of its places for HTML.
+_BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_HTML_PLACES = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+_RAW_END = {t: re.compile(rf"</(?ai:{t})(?=[ \t\n\f\r/>])") for t in RAW}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -41,7 +56,7 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_GONE = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+_GONE = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 
 GOOD = frozenset("article articlebody body content contents entry main maincontent post story text prose page blog news paragraph read reading document".split())
 GROUPS = (
@@ -89,16 +104,18 @@ def parse(page: str) -> Tree:
     Inline elements vanish into the run around them, but links are remembered
     as spans of characters (their share is a feature). Elements that show
     nothing are dropped with all they hold. Implied end tags, unclosed elements
-    and stray end tags follow the usual recovery rules.
+    and stray end tags follow the usual recovery rules, which are the same for
+    shown and hidden elements. A closing slash counts on svg, math and what is
+    inside them; HTML elements ignore it.
     """
     tree = Tree()
     root = tree.add("#root", -1)
     stack = [(root, "#root")]
     run: list[str] = []
-    links = hidden = 0
-    linked = 0
+    spans: dict[str, int] = {}  # open inline elements that are shown
+    links = linked = 0
+    hidden = foreign = 0  # places in the stack of the outermost hidden element and of svg or math
     at = 0
-    lower = None
 
     def close_run() -> None:
         nonlocal linked
@@ -110,93 +127,116 @@ def parse(page: str) -> Tree:
                 tree.names[-1] = (min(linked, len(text)),)  # linked characters
             linked = 0
 
+    def cut(k: int) -> None:
+        """End the elements from place ``k`` of the stack on."""
+        nonlocal hidden, foreign
+        if not hidden or k < hidden:
+            close_run()
+        del stack[k:]
+        hidden = hidden if hidden < k else 0
+        foreign = foreign if foreign < k else 0
+
+    def imply(tag: str) -> None:
+        """End the elements whose end a start tag implies."""
+        fence = _START_FENCE.get(tag, _FENCE)
+        for k in range(len(stack) - 1, 0, -1):
+            open_tag = stack[k][1]
+            if tag in CLOSED_BY.get(open_tag, ()):
+                cut(k)
+                if open_tag in _ITEMS:
+                    break
+            elif open_tag in fence:
+                break
+
     end = len(page)
     search = _TOKEN.search
     while at < end:
         found = search(page, at)
-        if found is None:
-            rest = page[at:]
-            if not hidden:
-                run.append(rest)
-            break
-        start, stop = found.span()
-        if start > at and not hidden:
+        start, stop = found.span() if found else (end, end)
+        if start > at:
             text = page[at:start]
-            run.append(text)
-            if links:
-                linked += len(text)
+            if stack[-1][1] == "head" and not text.isspace():
+                cut(len(stack) - 1)
+            if not hidden:
+                run.append(text)
+                if links and found:
+                    linked += len(text)
         at = stop
-        tag = found.group(2)
-        if tag is None:
+        tag = found and found.group(2)
+        if not tag:
             continue
         tag = tag.lower()
         if not found.group(1):
             attributes = found.group(3)
+            if stack[-1][1] == "head":
+                if tag == "head" or tag == "html":
+                    continue
+                if tag not in _IN_HEAD:
+                    cut(len(stack) - 1)
+            if foreign and tag in _BREAKOUT and not any(t in _HTML_PLACES for _, t in stack[foreign:]):
+                cut(foreign)
+            if (foreign or tag == "svg" or tag == "math") and attributes.endswith("/"):
+                continue
             if tag == "br" or tag == "hr" or tag == "img":
                 if tag == "br" and not hidden:
                     run.append("\n")
                 elif tag == "hr":
-                    close_run()
+                    imply(tag)
+                    if not hidden:
+                        close_run()
                 continue
             if tag in VOID:
                 continue
-            if tag in RAW:
-                if lower is None:
-                    lower = page.lower()
-                close = lower.find("</" + tag, at)
-                if tag == "noscript" or tag == "template" or close >= 0:
-                    at = end if close < 0 else (page.find(">", close) + 1 or end)
-                else:
-                    at = end
+            if tag in RAW and not foreign:
+                close = _RAW_END[tag].search(page, at)
+                at = (page.find(">", close.end()) + 1 or end) if close else end
                 continue
             if tag in INLINE:
-                if tag == "a":
-                    links = 1
-                if _GONE.search(attributes) and not attributes.endswith("/"):
-                    hidden += 1
-                    stack.append((stack[-1][0], "!" + tag))
-                continue
-            if hidden:
-                if not attributes.endswith("/"):
-                    hidden += 1
-                    stack.append((stack[-1][0], "!" + tag))
-                continue
-            close_run()
-            links = 0
-            for k in range(len(stack) - 1, 0, -1):
-                open_tag = stack[k][1]
-                if tag in CLOSED_BY.get(open_tag, ()):
-                    del stack[k:]
-                    break
-                if open_tag in _FENCE:
-                    break
-            if tag in HIDDEN or _GONE.search(attributes):
-                hidden += 1
-                stack.append((stack[-1][0], "!" + tag))
+                if hidden or _GONE.search(attributes):
+                    hidden = hidden or len(stack)
+                    stack.append((stack[-1][0], tag))
+                else:
+                    spans[tag] = spans.get(tag, 0) + 1
+                    if tag == "a":
+                        links = 1
                 continue
-            stack.append((tree.add(tag, stack[-1][0], _name_words(attributes)), tag))
-        elif tag in INLINE and not hidden:
-            if tag == "a":
+            imply(tag)
+            if not hidden:
+                close_run()
                 links = 0
-        elif hidden:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][1][0] != "!":
-                    break
-                if stack[k][1] == "!" + tag:
-                    hidden -= len(stack) - k
-                    del stack[k:]
+                if tag in HIDDEN or _GONE.search(attributes):
+                    hidden = len(stack)
+                else:
+                    stack.append((tree.add(tag, stack[-1][0], _name_words(attributes)), tag))
+                    continue
+            if tag == "svg" or tag == "math":
+                foreign = foreign or len(stack)
+            stack.append((stack[-1][0], tag))
+        elif tag in INLINE:
+            for k in range(len(stack) - 1, hidden - 1 if hidden else len(stack), -1):
+                if stack[k][1] == tag:
+                    cut(k)
                     break
+            else:
+                if hidden and spans.get(tag) and stack[hidden][1] in INLINE:
+                    hide, hidden = hidden, 0  # the end of an inline element around hidden ones
+                    del stack[hide:]
+                    foreign = 0
+                if not hidden:
+                    spans[tag] = max(0, spans.get(tag, 0) - 1)
+                    if tag == "a":
+                        links = 0
         else:
+            fence = _END_FENCE.get(tag, ())
             for k in range(len(stack) - 1, 0, -1):
                 open_tag = stack[k][1]
                 if open_tag == tag:
-                    close_run()
-                    del stack[k:]
+                    cut(k)
                     break
-                if open_tag in _FENCE and tag in CLOSED_BY:
+                if open_tag in fence:
                     break
             else:
-                if tag == "p":
+                if tag == "p" and not hidden:
                     close_run()
     close_run()
     return tree

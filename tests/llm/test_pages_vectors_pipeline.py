@@ -64,6 +64,22 @@ def test_awkward_pages(spark, model):
     assert html_extract.extract_pages(pages.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("odd", [
+    '<svg class="i"/>', "<svg><title/><path d='z'/></svg>", "<svg/><svg><path d='z'></svg>", "<math/>", "<svg class='i'><path d='z'>",
+    "<p hidden>gone", "<ul><li>one<li style='display:none'>gone<li>two</ul>", "<ul><li hidden><p>gone<li>two</ul>", "<ul><li><div hidden>gone</li><li>two</ul>",
+    "<table><tr><td>one<td hidden>gone<tr><td>two</table>", "<table><tr><td>one<td hidden>gone</tr><tr><td>two</table>", "<table><tr hidden><td>gone<tr><td>two</table>",
+    "<table><thead hidden><tr><th>gone<tbody><tr><td>two</table>", "<dl><dt hidden>gone<dd>two</dl>", "<p hidden>gone<hr>two",
+    "<div><span hidden/>gone</div>", "<div><div hidden/>gone</div></div>", "<p><b>one <span hidden/>gone</b> two</p>", "<p>one <span hidden><span>gone</span> gone</span> two</p>",
+    "<script>'\u0130\u0130\u0130\u0130\u0130\u0130\u0130\u0130'</script>", "<style>\u0130</STYLE><style>gone</style>", "<script>'</scripts>gone'</script>",
+    "<select><option>gone<option>gone</select>", "<datalist><option>gone<option>gone</datalist>",
+])
+def test_hidden_elements_end_where_html_ends_them(odd):
+    for before, after in (("<body><article>", "</article>"), ("<head><title>gone</title><article>", "</article>"), ("<div>", "</div>")):
+        texts = [t for t in html_extract.parse(f"<html>{before}{odd}<p>the article</p>{after}<p>the end</p></html>").texts if t]
+        shown = [w for w in ("one", "two") if w in re.sub("<[^>]*>", " ", odd).split()]
+        assert " ".join(texts).split() == [*shown, "the", "article", "the", "end"]
+
+
 def plain_links(rows):
     ids, pairs, count = [r[0] for r in rows], [], {r[0]: 0 for r in rows}
     good = [r for r in rows if r[1] is not None and r[2] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1])]
