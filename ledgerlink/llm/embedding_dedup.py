@@ -1,10 +1,12 @@
 """Near-duplicate vectors by sorted projection passes.
 
-In every pass the vectors of a label are ordered by a 64-bit code of the signs
-of random projections, read as one number, and each is compared with the next
-``window`` ones. Pairs of the wanted cosine from all passes are united. The
-window bounds what a pass compares, not what is counted: the links of a vector
-are counted exactly among all vectors of its component.
+Equal vectors of a label collapse first. In every pass the distinct vectors of
+a label, less the label's mean direction, are ordered by a 64-bit code of the
+signs of random projections, read as one number, and each is compared with the
+next ``window`` ones. Pairs of the wanted cosine from all passes are united. The
+number of passes grows with the label's size and mean cosine. The window bounds
+what a pass compares, not what is counted: the links of a vector are counted
+exactly among all vectors of its component, copies by their number.
 """
 
 from __future__ import annotations
@@ -21,7 +23,14 @@ from ledgerlink.llm.common import components, partitions_for, saved
 
 COSINE = 0.98
 #: At cosine 0.98 two codes agree in the first b bits with probability 0.936**b.
+#: Passes are the least of a label; :func:`passes_for` has what larger labels take.
 PASSES, WINDOW = 12, 48
+#: Chance to miss a pair exactly at the cosine, by which passes are counted.
+MISSED = 1e-3
+#: Least cosine of such a pair, less the mean, that passes are counted for.
+_LEAST_COSINE = 0.8
+#: Means of labels up to this size travel to every task; above, they are joined.
+_BROADCAST_BYTES = 32 << 20
 _BLOCK = 4096
 _CELL = 1024
 _SORT_ROWS = 50_000
@@ -48,7 +57,7 @@ def usable_vectors(rows: DataFrame) -> DataFrame:
         for batch in batches:
             vectors = batch.column("embedding")
             sizes = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int32)
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f8")
+            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f8") + 0.0  # no negative zeros
             ends = np.cumsum(sizes)
             packed = [flat[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -74,8 +83,55 @@ def codes(vectors: np.ndarray, number: int) -> np.ndarray:
     return ((bits << shifts).sum(axis=1, dtype=np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def _coded(vectors: DataFrame, passes: int) -> DataFrame:
-    """Every vector once per pass with its code."""
+def passes_for(n: int, alike: float, cosine: float = COSINE, least: int = PASSES, window: int = WINDOW) -> int:
+    """Passes for ``n`` distinct vectors of a label whose mean cosine is ``alike``.
+
+    One pass compares all of a group that fits its window. Otherwise a pair is
+    sure to meet if its codes share the first log2(n / window) bits.
+    """
+    if n <= window + 1:
+        return 1
+    rest = max(_LEAST_COSINE, (cosine - alike) / (1 - alike)) if alike < cosine else _LEAST_COSINE
+    met = (1 - np.arccos(min(rest, 1.0)) / np.pi) ** np.log2(n / window)
+    return least if met >= 1 else max(least, int(np.ceil(np.log(MISSED) / np.log1p(-met))))
+
+
+def _groups(vectors: DataFrame, cosine: float, least: int, window: int) -> DataFrame:
+    """(label, size, n, passes, mean) of the distinct vectors of a label and length."""
+    kind = vectors.schema["label"].dataType.simpleString()
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                names = part.column("label").dictionary_encode()
+                which = names.indices.to_numpy()
+                sums = np.zeros((len(names.dictionary), size))
+                np.add.at(sums, which, _unit(part.column("packed").to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        names.dictionary, pa.array(np.full(len(sums), size, np.int32)),
+                        pa.array(np.bincount(which, minlength=len(sums))), pa.array(list(sums), pa.list_(pa.float64())),
+                    ],
+                    names=["label", "size", "n", "mean"],
+                )
+
+    def whole(table: pa.Table) -> pa.Table:
+        n = int(np.sum(table.column("n").to_numpy()))
+        mean = np.stack(table.column("mean").to_pylist()).sum(axis=0) / n
+        alike = max(0.0, (n * float(mean @ mean) - 1) / max(1, n - 1))
+        return pa.table({
+            "label": table.column("label").slice(0, 1), "size": table.column("size").slice(0, 1), "n": pa.array([n]),
+            "passes": pa.array([passes_for(n, alike, cosine, least, window)], pa.int32()), "mean": pa.array([mean.tolist()], pa.list_(pa.float64())),
+        })
+
+    parts = vectors.select("label", "size", "packed").mapInArrow(partial, f"label {kind}, size int, n long, mean array<double>")
+    return parts.groupBy("label", "size").applyInArrow(whole, f"label {kind}, size int, n long, passes int, mean array<double>")
+
+
+def _coded(vectors: DataFrame) -> DataFrame:
+    """Every vector once per pass with its code, from (vec_id, label, size, packed, passes, mean) rows."""
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,11 +139,16 @@ def _coded(vectors: DataFrame, passes: int) -> DataFrame:
             sizes = batch.column("size").to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                unit = _unit(part.column("packed").to_pylist())
-                for number in range(passes):
+                passes = part.column("passes").to_numpy()
+                mean = part.column("mean").flatten().to_numpy().reshape(len(part), -1)
+                unit = _unit(part.column("packed").to_pylist()) - mean
+                part = part.select(["vec_id", "label", "size", "packed"])
+                for number in range(passes.max()):
+                    on = passes > number
+                    rows = part.filter(pa.array(on))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), number, np.int32)), pa.array(codes(unit, number)), *part.columns],
-                        names=["pass", "code", *part.schema.names],
+                        [pa.array(np.full(len(rows), number, np.int32)), pa.array(codes(unit[on], number)), *rows.columns],
+                        names=["pass", "code", *rows.schema.names],
                     )
 
     return vectors.mapInArrow(
@@ -150,7 +211,9 @@ def _neighbours(ranked: DataFrame, window: int, cosine: float) -> DataFrame:
 
 
 def _link_counts(members: DataFrame, cosine: float) -> DataFrame:
-    """(vec_id, n_links) among (component, vec_id, packed) rows, by cells of bounded size.
+    """(vec_id, n_links) among (component, vec_id, packed, weight) rows, by cells of bounded size.
+
+    A link counts as often as the other vector's weight says.
 
     A component of up to one cell is compared in one piece, many such per group.
     A larger one is cut into parts by hash, and every two parts meet in a cell:
@@ -171,7 +234,7 @@ def _link_counts(members: DataFrame, cosine: float) -> DataFrame:
             F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(groups)))
             .otherwise(F.xxhash64("component", "i", "j")),
         )
-        .select("cell", "component", "i", "j", "own", "vec_id", "packed")
+        .select("cell", "component", "i", "j", "own", "vec_id", "packed", "weight")
     )
     kind = members.schema["vec_id"].dataType.simpleString()
 
@@ -179,19 +242,21 @@ def _link_counts(members: DataFrame, cosine: float) -> DataFrame:
         table = table.sort_by([("component", "ascending"), ("i", "ascending"), ("j", "ascending")])
         keys = np.stack([table.column(c).to_numpy() for c in ("component", "i", "j")])
         ids, packed = table.column("vec_id").to_numpy(), table.column("packed").to_pylist()
-        own = table.column("own").to_numpy()
+        own, weight = table.column("own").to_numpy(), table.column("weight").to_numpy()
         edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         counts = np.zeros(len(ids), np.int64)
         for lo, hi in zip([0, *edges], [*edges, len(ids)], strict=True):
             unit = _unit(packed[lo:hi])
             i, j = keys[1, lo], keys[2, lo]
             if i == j:
-                counts[lo:hi] = ((unit @ unit.T) >= cosine).sum(axis=1) - 1
+                near = (unit @ unit.T) >= cosine
+                np.fill_diagonal(near, False)
+                counts[lo:hi] = near @ weight[lo:hi]
             else:
                 first, second = np.flatnonzero(own[lo:hi] == i), np.flatnonzero(own[lo:hi] == j)
                 near = (unit[first] @ unit[second].T) >= cosine
-                counts[lo + first] = near.sum(axis=1)
-                counts[lo + second] = near.sum(axis=0)
+                counts[lo + first] = near @ weight[lo + second]
+                counts[lo + second] = weight[lo + first] @ near
         return pa.table({"vec_id": ids, "n": counts})
 
     counted = cells.groupBy("cell").applyInArrow(run, f"vec_id {kind}, n long")
@@ -206,13 +271,30 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, passes: int = PASSES,
     are kept. An empty table gives an empty result.
     """
     vectors = saved(usable_vectors(rows), "vectors")
-    n = vectors.count()
-    pairs = _neighbours(_ranked(_coded(vectors, passes), n * passes), window, cosine)
+    same = ["label", "size", "packed"]
+    distinct = saved(vectors.groupBy(*same).agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")), "distinct")
+    groups = saved(_groups(distinct, cosine, passes, window), "groups")
+    totals = groups.agg(F.sum(F.col("n") * F.col("passes")), F.sum(F.col("size").cast("long") * 8 + 64)).first()
+    known = groups.select("label", "size", "passes", "mean")
+    if (totals[1] or 0) <= _BROADCAST_BYTES:
+        known = F.broadcast(known)
+    coded = _coded(distinct.select("vec_id", *same).join(known, ["label", "size"]))
+    pairs = _neighbours(_ranked(coded, totals[0] or 0), window, cosine)
     named = saved(components(pairs).withColumnRenamed("node", "vec_id"), "components")
-    members = named.join(vectors.select("vec_id", "packed"), "vec_id")
+    members = named.join(distinct.select("vec_id", "packed", "weight"), "vec_id")
     counts = _link_counts(members, cosine)
+    answers = saved(
+        distinct.join(named, "vec_id", "left").join(counts, "vec_id", "left").select(
+            "vec_id", *same, "weight", F.coalesce("component", "vec_id").alias("component"),
+            (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+        ),
+        "answers",
+    )
+    copies = vectors.join(answers.where("weight > 1").drop("vec_id", "weight"), same)
+    columns = ["vec_id", "component", "n_links"]
+    linked = answers.where("weight = 1").select(*columns).union(copies.select(*columns))
     ids = rows.where("vec_id is not null").select("vec_id").distinct()
-    found = ids.join(named, "vec_id", "left").join(counts, "vec_id", "left").select(
+    found = ids.join(linked, "vec_id", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").cast("long").alias("component_id"),

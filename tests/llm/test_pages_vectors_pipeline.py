@@ -120,6 +120,46 @@ def test_a_component_larger_than_a_cell(spark, monkeypatch):
     assert got == plain_links(rows)
 
 
+def alike(seed, pairs, size):
+    """Twice as many unit vectors, of mean cosine 0.7; each links with one other at a cosine of just over 0.98."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    first = unit(np.sqrt(0.7) * np.eye(size)[0] + np.sqrt(0.3) * unit(rng.normal(size=(pairs, size))))
+    aside = rng.normal(size=first.shape)
+    aside = unit(aside - (aside * first).sum(axis=1, keepdims=True) * first)
+    return np.float32(np.stack([first, 0.981 * first + np.sqrt(1 - 0.981**2) * aside], axis=1).reshape(-1, size))
+
+
+def link_matrix(queries, vectors):
+    unit = [v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True) for v in (queries, vectors)]
+    return unit[0] @ unit[1].T >= 0.98
+
+
+def test_copies_of_vectors_do_not_fill_the_window(spark):
+    vectors = alike(6, 600, 24)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "i long, embedding array<float>")
+    rows = frame.crossJoin(spark.range(60).withColumnRenamed("id", "k")).selectExpr("i * 60 + k as vec_id", "embedding", "1 as label")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(rows).collect()}
+    links = link_matrix(vectors, vectors).sum(axis=1) * 60 - 1
+    assert len(got) == 60 * len(vectors) and all(got[i * 60 + k] == n for i, n in enumerate(links) for k in (0, 59))
+
+
+def test_recall_in_a_hot_label_of_like_vectors(spark):
+    vectors = alike(7, 15_000, 48)
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int").repartition(8)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(rows).collect()}
+    queries = range(0, len(vectors), 20)
+    links = link_matrix(vectors[::20], vectors).sum(axis=1) - 1
+    recall = sum(got[i] for i in queries) / links.sum()
+    print("recall", recall, "of", links.sum())
+    assert links.sum() >= len(queries) and recall > 0.995
+
+
+def test_passes_grow_with_the_label():
+    passes = [embedding_dedup.passes_for(n, 0.5) for n in (2, 49, 1000, 10**6, 10**8)]
+    assert passes[:2] == [1, 1] and 12 == passes[2] < passes[3] < passes[4]
+
+
 def test_pipeline_stages(spark):
     sf_dir = SF_DIR
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
