@@ -18,10 +18,8 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.byte_bpe import small_batches
 
-#: Training rows: those labelled documents whose hashed id is smallest.
+#: Training rows: those labelled documents whose hashed id is smallest, with all their lines.
 TRAINING_DOCUMENTS = 4_000
-#: Lines of one training document; scoring uses all lines.
-TRAINING_LINES = 200
 _SHARES = ("upper", "digit", "symbol", "pipe", "sentence", "high")
 _CUTS = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.4])
 _WORD_CUTS = np.array([0.2, 0.4, 0.6, 0.75, 0.9, 0.97])
@@ -80,9 +78,9 @@ def with_neighbours(own: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.
     return np.concatenate([own, before, after, edges], axis=1)
 
 
-def document_lines(texts: list[str], most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def document_lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, line bytes, lines per document); lines without words are skipped."""
-    split = [[line for line in t.split("\n") if line.strip()][:most] for t in texts]
+    split = [[line for line in t.split("\n") if line.strip()] for t in texts]
     counts = np.array([len(s) for s in split], np.int64)
     lines = [line for s in split for line in s]
     if not lines:
@@ -192,11 +190,11 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, documents: int = TRAINING_DOCUMENTS, lines: int = TRAINING_LINES) -> LineField:
+def train(docs: DataFrame, labels: DataFrame, documents: int = TRAINING_DOCUMENTS) -> LineField:
     """Fit on at most ``documents`` labelled rows that are not held out.
 
     Labels that are null or contradict each other are left out. Features, not
-    texts, reach the driver: at most ``documents`` * ``lines`` short vectors.
+    texts, reach the driver: a short vector for each line of the documents.
     """
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -209,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, documents: int = TRAINING_DOCUMENT
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small_batches(batch, "text"):
-                features, sizes, counts = document_lines(part.column("text").to_pylist(), lines)
+                features, sizes, counts = document_lines(part.column("text").to_pylist())
                 cuts, ends = np.cumsum(counts) - counts, np.cumsum(counts)
                 packed = np.packbits(features[:, 4:_BASE].astype(bool), axis=1)
                 yield pa.RecordBatch.from_arrays(

@@ -212,6 +212,22 @@ def test_quality_of_awkward_rows(spark, docs, texts, empty):
     assert {r["score"] for r in quality.score_quality(docs, quality.train(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_learns_from_all_lines_of_a_text(spark, monkeypatch):
+    import numpy as np
+
+    text = "\n".join([f"A good line number {i}." for i in range(250)] + ["## || 00 ||"] * 150)
+    docs = spark.createDataFrame([(i, text if i == 1 else "Short text.") for i in range(1, 9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 1)) for i in range(1, 9)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "held_out", lambda doc_id: doc_id < 0)
+    monkeypatch.setattr(quality, "fit", lambda features, sizes, counts, labels: seen.append((features, counts)))
+    quality.train(docs, labels)
+    features, counts = seen[0]
+    want, _, _ = quality.document_lines([text])
+    assert sorted(counts) == [1] * 7 + [400]
+    assert np.array_equal(features[:400], want)
+
+
 def test_line_marginals_against_enumeration():
     from itertools import product
 
