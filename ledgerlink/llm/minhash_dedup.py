@@ -4,8 +4,9 @@ A document is the set of its 5-word shingles, its signature 64 minima of
 independent hashes, of which 16 bits are kept. Signatures are cut into 16
 chunks of 4 symbols. If two signatures differ in at most 31 symbols, some chunk
 differs in at most one, so listing every chunk with each one symbol left out
-finds all pairs up to that distance, which documents of similarity 0.75 exceed
-about once in 10^5; those too are mostly found, as one good chunk is enough.
+finds all pairs up to that distance. Documents of similarity exactly 0.75 exceed
+it with probability 1.5e-5; such a pair is lost, also if a chunk agrees. The
+sketches of the second round lose about 3e-6 more (see :func:`may_link`).
 
 Equal sets collapse first. Every member of a key's group is then compared with
 the group's hub only, its member of most companions, which among near copies is
