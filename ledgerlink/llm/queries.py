@@ -10,6 +10,7 @@ from ledgerlink.llm import (
     byte_bpe,
     decontaminate,
     embedding_dedup,
+    fill_middle,
     html_extract,
     lz_dedup,
     minhash_dedup,
@@ -17,6 +18,8 @@ from ledgerlink.llm import (
     sharding,
     suffix_dedup,
     token_counts,
+    url_filter,
+    vector_codes,
 )
 from ledgerlink.llm.common import table, work_folder
 
@@ -89,3 +92,18 @@ def op9_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fim_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
