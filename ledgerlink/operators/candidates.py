@@ -29,9 +29,6 @@ from ledgerlink.session import cut_lineage
 
 # Kinds of join keys.
 TOKEN, BAND = "t", "b"
-# A name is searched by every set of its hot tokens, so their number is kept
-# small; hot tokens beyond it are paired directly.
-_MAX_SEARCHED_TOKENS = 6
 
 
 def ledger_features(ledger: DataFrame, config: ReconConfig) -> DataFrame:
@@ -99,7 +96,7 @@ def _keyed(
 
 
 def _hot_groups(erp_keys: DataFrame, bank_keys: DataFrame, limit: int) -> DataFrame:
-    """Keys whose pairing would explode, with their number of statement rows.
+    """Keys whose pairing would explode.
 
     What a ledger row meets is the statement's group, so that side must be
     large; and there must be more pairs than a group of ``limit`` rows on either
@@ -113,7 +110,7 @@ def _hot_groups(erp_keys: DataFrame, bank_keys: DataFrame, limit: int) -> DataFr
     pairs = F.col("n").cast("double") * F.col("n_erp")
     return (
         counted(erp_keys, "n_erp").join(large, ["run_id", "key"])
-        .where(pairs > float(limit) * limit).select("run_id", "key", "n")
+        .where(pairs > float(limit) * limit).select("run_id", "key")
     )
 
 
@@ -180,19 +177,15 @@ def plausible_pairs(
     erp_keys = _keyed(erp, "erp_tokens", "gross", 1, ways)
     bank_keys = _keyed(bank, "bank_tokens", "settled", 0, ways)
     hot = cut_lineage(_hot_groups(erp_keys, bank_keys, config.hot_group_rows))
-    if hot.isEmpty():
+    kinds = {row.kind for row in hot.select(F.substring("key", 1, 1).alias("kind")).distinct().collect()}
+    if not kinds:
         return score_pairs(_paired(erp_keys, bank_keys))
-    searched = cut_lineage(_searched_groups(erp_keys, hot))
-    rest = erp_keys.join(
-        searched.select("run_id", "erp_ord", F.explode("keys").alias("key")),
-        ["run_id", "erp_ord", "key"],
-        "left_anti",
-    )
+    rest = erp_keys.join(hot, ["run_id", "key"], "left_anti")
     parts = [_paired(rest, bank_keys)]
-    if TOKEN in ways:
-        parts.append(_nearest_by_tokens(erp, bank, bank_keys, searched, config))
-    if BAND in ways:
-        parts.append(_nearest_in_band(erp_keys, bank_keys, searched, erp, bank, config))
+    if TOKEN in kinds:
+        parts.append(_nearest_by_tokens(erp, bank, erp_keys, bank_keys, hot, config))
+    if BAND in kinds:
+        parts.append(_nearest_in_band(erp_keys, bank_keys, hot, erp, bank, config))
     scored = [score_pairs(part) for part in parts]
     pairs = scored[0]
     for part in scored[1:]:
@@ -206,97 +199,73 @@ def _paired(erp_keys: DataFrame, bank_keys: DataFrame) -> DataFrame:
     return erp_keys.join(bank_keys, ["run_id", "key"]).where(by_token | _in_band())
 
 
-def _searched_groups(erp_keys: DataFrame, hot: DataFrame) -> DataFrame:
-    """The hot keys of each ledger row that are searched rather than paired.
+def _hot_names(keys: DataFrame, hot: DataFrame, row: str) -> DataFrame:
+    """(run_id, row, name): the hot tokens of each row that has any, in order, as one text."""
+    tokens = hot.where(F.col("key").startswith(TOKEN))
+    return keys.join(tokens, ["run_id", "key"], "left_semi").groupBy("run_id", row).agg(
+        F.array_join(F.sort_array(F.collect_list("key")), " ").alias("name")
+    )
+
 
-    Of a name with very many hot tokens only the most frequent are searched;
-    the others are paired directly, which keeps the result whole.
+def _shared_tokens(erp_names: DataFrame, bank_names: DataFrame) -> DataFrame:
+    """(run_id, name, grp, shared): how many hot tokens a ledger and a statement name have in common.
+
+    Only the distinct names that occur meet, through their tokens.
     """
-    kind = F.substring("key", 1, 1)
-    by_size = F.sort_array(F.collect_list(F.struct("n", "key")), asc=False)
-    most = F.when(kind == TOKEN, _MAX_SEARCHED_TOKENS).otherwise(3)
-    return (
-        erp_keys.join(hot, ["run_id", "key"])
-        .groupBy("run_id", "erp_ord", kind.alias("kind"), most.alias("most"))
-        .agg(by_size.alias("by_size"))
-        .select(
-            "run_id",
-            "erp_ord",
-            "kind",
-            F.sort_array(
-                F.transform(F.slice("by_size", 1, F.col("most")), lambda g: g.key)
-            ).alias("keys"),
-            F.map_from_entries(
-                F.transform("by_size", lambda g: F.struct(g.key, g.n))
-            ).alias("sizes"),
-        )
+    word = F.explode(F.split("name", " ")).alias("word")
+    left = erp_names.select("run_id", "name").distinct().select("run_id", "name", word)
+    right = bank_names.select("run_id", "name").distinct().select("run_id", F.col("name").alias("grp"), word)
+    return left.join(right, ["run_id", "word"]).groupBy("run_id", "name", "grp").agg(
+        F.count(F.lit(1)).alias("shared")
     )
 
 
 def _nearest_by_tokens(
     erp: DataFrame,
     bank: DataFrame,
+    erp_keys: DataFrame,
     bank_keys: DataFrame,
-    searched: DataFrame,
+    hot: DataFrame,
     config: ReconConfig,
 ) -> DataFrame:
-    """Search every non-empty set of each ledger row's hot tokens as one group.
+    """Search the statement rows of each hot name, a set of hot tokens, as one group.
 
-    A best row that shares exactly such a set with the ledger row is also among
-    the closest, by amount and date, of all rows that hold the set: every closer
-    one shares at least as many tokens.
+    Rows of one hot name share equally many hot tokens with a ledger row. Any
+    number of hot tokens may meet: only sets that occur are groups, those that
+    share most are searched first and bound the others. Rows that share a
+    further, rarer token are paired by it, and score at least what they are
+    searched with.
     """
-    subsets = F.expr(
-        "transform(sequence(1, cast(pow(2, size(keys)) AS int) - 1),"
-        " m -> filter(keys, (t, i) -> (shiftright(m, i) & 1) = 1))"
-    )
-    queries = cut_lineage(
-        erp.join(searched.where(F.col("kind") == TOKEN), ["run_id", "erp_ord"])
-        .select("*", F.explode(subsets).alias("subset"))
-        .withColumn("grp", F.array_join("subset", " "))
-        .withColumn("base", name_part(F.size("subset"), F.size("erp_tokens")))
-        .withColumn(
-            "key",
-            F.array_min(
-                F.transform("subset", lambda t: F.struct(F.try_element_at("sizes", t).alias("n"), t.alias("key")))
-            )["key"],
+    erp_names = cut_lineage(_hot_names(erp_keys, hot, "erp_ord"))
+    bank_names = cut_lineage(_hot_names(bank_keys, hot, "bank_ord"))
+    queries = (
+        erp.join(erp_names, ["run_id", "erp_ord"])
+        .join(_shared_tokens(erp_names, bank_names), ["run_id", "name"])
+        .select(
+            "run_id", "grp", "erp_ord", name_part(F.col("shared"), F.size("erp_tokens")).alias("base"), "gross", "date"
         )
-        .select("run_id", "grp", "subset", "key", "erp_ord", "base", "gross", "date")
     )
-    # Statement rows of a set are found through its rarest token.
-    anchored = queries.select("run_id", "grp", "subset", "key").distinct()
-    words = F.transform("bank_tokens", lambda word: F.concat(F.lit(TOKEN), word))
-    members = (
-        bank_keys.join(anchored, ["run_id", "key"])
-        .where(F.size(F.array_except("subset", words)) == 0)
-        .select("run_id", "grp", "bank_ord", "settled", "settlement_date")
+    members = bank.join(bank_names, ["run_id", "bank_ord"]).select(
+        "run_id", F.col("name").alias("grp"), "bank_ord", "settled", "settlement_date"
     )
-    near = nearest_in_groups(queries.drop("subset", "key"), members, config.max_candidates)
+    near = nearest_in_groups(queries, members, config.max_candidates)
     return _with_features(near, erp, bank)
 
 
 def _nearest_in_band(
     erp_keys: DataFrame,
     bank_keys: DataFrame,
-    searched: DataFrame,
+    hot: DataFrame,
     erp: DataFrame,
     bank: DataFrame,
     config: ReconConfig,
 ) -> DataFrame:
     """Search the hot amount buckets, each as one group."""
-    hot = searched.where(F.col("kind") == BAND).select(
-        "run_id", "erp_ord", F.explode("keys").alias("key")
-    )
-    queries = erp_keys.join(hot, ["run_id", "erp_ord", "key"]).select(
-        "run_id",
-        F.col("key").alias("grp"),
-        "erp_ord",
-        F.lit(0.0).alias("base"),
-        "gross",
-        "date",
+    buckets = hot.where(F.col("key").startswith(BAND))
+    queries = erp_keys.join(buckets, ["run_id", "key"], "left_semi").select(
+        "run_id", F.col("key").alias("grp"), "erp_ord", F.lit(0.0).alias("base"), "gross", "date"
     )
-    groups = hot.select("run_id", "key").distinct()
-    members = bank_keys.join(groups, ["run_id", "key"]).select(
+    members = bank_keys.join(buckets, ["run_id", "key"], "left_semi").select(
         "run_id", F.col("key").alias("grp"), "bank_ord", "settled", "settlement_date"
     )
     near = nearest_in_groups(

@@ -1,23 +1,33 @@
 """Best rows by amount and date inside groups too large to pair.
 
 The value of a point for a query is ``base + amount_part(|dx|) + date_part(gap)``.
-For one settlement day the best points are simply the nearest in amount, so:
+A query may ask several groups, each with a ``base`` of its own; it wants its k
+best points of all of them. For one settlement day the best points are simply
+the nearest in amount, so:
 
-1. every day within a ring around the query's date is asked for its nearest
-   points, as is the group as a whole regardless of date;
+1. the groups of a query's highest base come first: every day within a ring
+   around its date is asked for its nearest points, as is the group as a whole;
 2. what lies outside the ring can only win if its amount is close enough to beat
    the worst point found so far; those few are fetched through amount cells;
-3. a query for which that reach is still too wide goes on to a wider ring.
-
-Nearest-in-amount is looked up in a digit tree: a node keeps, per child, only its
-first and last few points. A query meets the node of each of its own prefixes, so
-the cost per query is (days x tree levels), whatever the size of the group.
+3. a query for which that reach is still too wide goes on to a wider ring;
+4. the other groups follow. The k-th best value found so far bounds them: a group
+   whose base cannot reach it is skipped, one that needs a close amount is only
+   asked through cells, the rest take the same way.
+
+Nearest-in-amount is looked up by sorting: the points and the questions of all
+days lie in one order of (group, day, amount), cut into ranges of equal size.
+A range knows the k points before and after it, its halo, and so answers its
+own questions, whichever groups it cuts through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,32 +35,35 @@ from ledgerlink.config import AMOUNT_WEIGHT, DATE_WEIGHT, MISSING_DATE_DAYS
 from ledgerlink.functions.scoring import MONEY_UNITS, amount_part, date_part, from_units
 from ledgerlink.session import cut_lineage
 
-_DIGIT_BITS = 4
+_CELL_BITS = 4
 _NO_DATE = -(2**31)
 _ANY_DATE = 2**31 - 1
 _RING_DAYS = (2, 16, 128)
 _WIDEST_REACH = (32, 256, 2048)  # amount reach accepted after each ring
-_QUERY = ["run_id", "grp", "erp_ord", "base", "x", "day"]
+_ROW = ["run_id", "erp_ord"]
+_QUERY = [*_ROW, "grp", "base", "x", "day"]
 _HITS = "array<struct<neg_score:double,bank_ord:bigint>>"
+#: Points and questions that one range holds, in memory of its task.
+RANGE_ROWS = 150_000
+_SORTED = ["run_id", "grp", "list", "x", "ord"]
 
 
 def nearest_in_groups(
     queries: DataFrame, points: DataFrame, k: int, max_delta: Decimal | None = None
 ) -> DataFrame:
-    """The k best points of the query's group, as (run_id, erp_ord, bank_ord).
+    """The k best points of each ledger row's groups, as (run_id, erp_ord, bank_ord).
 
-    ``queries``: run_id, grp, erp_ord, base, gross, date.
-    ``points``: run_id, grp, bank_ord, settled, settlement_date.
-    ``gross`` and ``settled`` are in money units.
-    Ties go to the lower ``bank_ord``. ``max_delta`` excludes points further away.
+    ``queries``: run_id, erp_ord, grp, base, gross, date; one row per group asked.
+    ``points``: run_id, grp, bank_ord, settled, settlement_date; of the groups that
+    one row asks, a point is in one only. ``gross`` and ``settled`` are in money
+    units. Ties go to the lower ``bank_ord``. ``max_delta`` excludes points
+    further away. No points or no queries give no rows.
     """
-    asked = cut_lineage(
-        queries.select(
-            "run_id", "grp", "erp_ord", "base",
-            F.col("gross").alias("x"),
-            _day_number(F.col("date")).alias("day"),
-        )
+    asked = queries.select(
+        *_ROW, "grp", "base", F.col("gross").alias("x"), _day_number(F.col("date")).alias("day")
     )
+    top = F.max("base").over(Window.partitionBy(*_ROW))
+    asked = cut_lineage(asked.withColumn("leads", F.col("base") == top))
     # points of one group, amount and day score alike, so the first k are enough
     alike = Window.partitionBy("run_id", "grp", "px", "pday").orderBy("bank_ord")
     known = cut_lineage(
@@ -63,47 +76,15 @@ def nearest_in_groups(
         .where(F.col("copy") <= k)
         .drop("copy")
     )
-    group_days = known.where(F.col("pday") != _NO_DATE).select(
-        "run_id", "grp", F.col("pday").alias("list")
-    ).distinct()
     limit = None if max_delta is None else int(max_delta * MONEY_UNITS)
-    span = _span(asked, known)
-    if span is None:
-        return asked.select("run_id", "erp_ord", F.lit(0).cast("bigint").alias("bank_ord")).limit(0)
-    asked = asked.withColumn("x", F.col("x") - span.lowest)
-    known = known.withColumn("px", F.col("px") - span.lowest)
-    levels = max(1, -(-int(span.highest - span.lowest).bit_length() // _DIGIT_BITS))
-    tree = cut_lineage(_digit_tree(known, k, levels))
-
-    state = asked.withColumn("best", F.array().cast(_HITS)).withColumn(
-        "kth_delta", F.lit(None).cast("bigint")
-    )
-    finished = []
-    inner = -1
-    farthest = max(span.day_spread, 0)
-    rings = [d for d in _RING_DAYS if d < farthest] + [farthest]
-    for step, outer in enumerate(rings):
-        hits = _ask_days(state, tree, group_days, levels, k, inner, outer, span, limit)
-        state = cut_lineage(_merge(state, hits, k))
-        if outer == farthest:
-            finished.append(state)
-            break
-        judged = _judge(state, k, outer, _WIDEST_REACH[step], limit)
-        judged = cut_lineage(judged)
-        finished.append(judged.where("verdict = 'done'"))
-        near = judged.where("verdict = 'reach'")
-        finished.append(_merge(near, _within_reach(near, known, outer), k))
-        state = judged.where("verdict = 'open'").select(*_QUERY, "best", "kth_delta")
-        if state.isEmpty():
-            break
-        inner = outer
-    found = None
-    for part in finished:
-        rows = part.select(
-            "run_id", "erp_ord", F.explode(F.col("best").getField("bank_ord")).alias("bank_ord")
-        )
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    search = _Search(known, k, limit, _span(asked, known))
+    if search.span is None:
+        return asked.select(*_ROW, F.lit(0).cast("bigint").alias("bank_ord")).limit(0)
+    best = asked.select(*_ROW).distinct().withColumn("best", F.array().cast(_HITS))
+    best = search.rings(asked.where("leads").select(*_QUERY), best)
+    if search.span.followers:
+        best = search.bounded(asked.where("not leads").select(*_QUERY), best)
+    return best.select(*_ROW, F.explode(F.col("best").getField("bank_ord")).alias("bank_ord"))
 
 
 def _day_number(date: Column) -> Column:
@@ -120,220 +101,300 @@ def _score(delta_units: Column, gap: Column) -> Column:
 
 
 def _span(asked: DataFrame, known: DataFrame):
-    """Bounds of amounts and days (one row), or None when a side is empty."""
+    """Numbers of rows, groups and days, and whether points lack dates; None when a side is empty."""
     dated = lambda day: F.when(F.col(day) != _NO_DATE, F.col(day))
-    q = asked.agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"),
-        F.min(dated("day")).alias("first"), F.max(dated("day")).alias("last"),
-        F.bool_or(F.col("day") == _NO_DATE).alias("undated"),
+    q = asked.select(F.lit(True).alias("asks"), "day", "leads", F.lit(None).cast("bigint").alias("group"))
+    p = known.select(
+        F.lit(False).alias("asks"), F.col("pday").alias("day"), F.lit(True).alias("leads"),
+        F.xxhash64("run_id", "grp").alias("group"),
     )
-    p = known.agg(
-        F.min("px").alias("lo"), F.max("px").alias("hi"),
-        F.min(dated("pday")).alias("first"), F.max(dated("pday")).alias("last"),
-        F.bool_or(F.col("pday") == _NO_DATE).alias("undated"),
-    )
-    both = q.withColumn("asks", F.lit(True)).unionByName(p.withColumn("asks", F.lit(False)))
-    row = both.agg(
-        F.count("lo").alias("sides"),
-        F.min("lo").alias("lowest"), F.max("hi").alias("highest"),
-        F.coalesce(F.max("last") - F.min("first"), F.lit(0)).alias("day_spread"),
-        F.min(F.when(~F.col("asks"), F.col("first"))).alias("first_point_day"),
-        F.max(F.when(~F.col("asks"), F.col("last"))).alias("last_point_day"),
-        F.bool_or(~F.col("asks") & F.col("undated")).alias("undated_points"),
+    row = q.unionByName(p).agg(
+        F.count_if("asks").alias("queries"), F.count_if(~F.col("leads")).alias("followers"),
+        F.count_if(~F.col("asks")).alias("points"), F.approx_count_distinct("group").alias("groups"),
+        F.coalesce(F.max(dated("day")) - F.min(dated("day")), F.lit(0)).alias("days"),
+        F.coalesce(F.bool_or(~F.col("asks") & (F.col("day") == _NO_DATE)), F.lit(False)).alias("undated_points"),
     ).first()
-    return row if row.sides == 2 else None
-
+    return row if row.queries and row.points else None
 
-def _digit_tree(known: DataFrame, k: int, levels: int) -> DataFrame:
-    """Nodes (run_id, grp, list, level, node) -> per child the k first and last points.
 
-    A list is one settlement day of a group, or the group regardless of date.
-    Built from the leaves up; a node collects at most one row per digit value.
-    """
-    lists = known.select("*", F.explode(F.array("pday", F.lit(_ANY_DATE))).alias("list"))
-    same = Window.partitionBy("run_id", "grp", "list", "px").orderBy("bank_ord")
-    leaves = (
-        lists.withColumn("copy", F.row_number().over(same))
-        .where(F.col("copy") <= k)
-        .groupBy("run_id", "grp", "list", "px")
-        .agg(F.sort_array(F.collect_list(F.struct("bank_ord", "pday"))).alias("ends"))
-    )
+class _Search:
+    """The points of all groups, listed by day and regardless of it."""
 
-    def end(at: Column) -> Column:
-        return F.transform(
-            "ends",
-            lambda e: F.struct(
-                at.alias("at"), e.bank_ord.alias("bank_ord"), e.pday.alias("pday")
-            ),
+    def __init__(self, known: DataFrame, k: int, limit: int | None, span) -> None:
+        self.known, self.k, self.limit, self.span = known, k, limit, span
+        self.days = known.where(F.col("pday") != _NO_DATE).select(
+            "run_id", "grp", F.col("pday").alias("list")
+        ).distinct()
+        same = Window.partitionBy("run_id", "grp", "px").orderBy("bank_ord")
+        anywhere = known.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k)
+        self.listed = known.withColumn("list", F.col("pday")).unionByName(
+            anywhere.drop("copy").withColumn("list", F.lit(_ANY_DATE))
         )
 
-    below = leaves.select(
-        "run_id", "grp", "list", F.col("px").alias("child"),
-        end(F.col("px")).alias("low"), end(-F.col("px")).alias("high"),
-    )
-    nodes = None
-    for level in range(levels):
-        kids = below.groupBy(
-            "run_id", "grp", "list", F.shiftright("child", _DIGIT_BITS).alias("node")
-        ).agg(F.collect_list(F.struct("child", "low", "high")).alias("kids"))
-        layer = kids.withColumn("level", F.lit(level))
-        nodes = layer if nodes is None else nodes.unionByName(layer)
-        below = kids.select(
-            "run_id", "grp", "list", F.col("node").alias("child"),
-            _first(F.transform("kids", lambda kid: kid.low), k).alias("low"),
-            _first(F.transform("kids", lambda kid: kid.high), k).alias("high"),
+    def _ring_days(self) -> list[int]:
+        """Ring bounds, from the first that holds a few points of an average group."""
+        farthest = max(self.span.days, 0)
+        a_day = self.span.points / max(1, self.span.groups) / (farthest + 1)
+        rings = [d for d in _RING_DAYS if d < farthest and (2 * d + 1) * a_day >= 2 * self.k]
+        return rings + [farthest]
+
+    def rings(self, groups: DataFrame, best: DataFrame) -> DataFrame:
+        """``best`` (run_id, erp_ord, best) with the best of ``groups``, ring by ring."""
+        groups = groups.withColumn("kth_delta", F.lit(None).cast("bigint"))
+        inner, near = -1, []
+        for outer in self._ring_days():
+            hits = cut_lineage(self._ask(groups, inner, outer))
+            best = cut_lineage(_merge(best, hits, self.k))
+            if outer >= self.span.days:
+                break
+            if inner < 0:
+                groups = self._with_kth(groups, hits)
+            open_, reached = self._split(groups, best, outer, _WIDEST_REACH[_RING_DAYS.index(outer)])
+            near += reached
+            if open_ is None:
+                break
+            groups, inner = open_.select(*_QUERY, "kth_delta"), outer
+        for hits in near:
+            best = _merge(best, hits, self.k)
+        return cut_lineage(best) if near else best
+
+    def bounded(self, groups: DataFrame, best: DataFrame) -> DataFrame:
+        """``best`` with the best of further groups, as far as its k-th values let them matter."""
+        groups = groups.withColumn("kth_delta", F.lit(None).cast("bigint"))
+        open_, reached = self._split(groups, best, -1, _WIDEST_REACH[0])
+        for hits in reached:
+            best = cut_lineage(_merge(best, hits, self.k))
+        return best if open_ is None else self.rings(open_.select(*_QUERY), best)
+
+    def _split(self, groups: DataFrame, best: DataFrame, outer: int, widest: int):
+        """(groups still open or None, hits of those that a bounded reach completes: none or one frame)."""
+        judged = cut_lineage(self._judged(groups, best, outer, widest).where("verdict <> 'done'"))
+        kinds = judged.select("verdict", "digits").distinct().collect()  # at most 2 x 9
+        used = sorted({r.digits for r in kinds if r.verdict == "reach"})
+        reached = [self._within_reach(judged.where("verdict = 'reach'"), outer, used)] if used else []
+        return judged.where("verdict = 'open'") if any(r.verdict == "open" for r in kinds) else None, reached
+
+    def _ask(self, groups: DataFrame, inner: int, outer: int) -> DataFrame:
+        """Nearest points in amount of every list between the two ring bounds.
+
+        Up to the widest fixed ring the days are spelled out. Beyond it only days
+        that the query's own group has are asked, so one far date costs one day.
+        """
+        asked = groups.select(*_QUERY)
+        dated = F.col("day") != _NO_DATE
+        if outer in _RING_DAYS or outer <= _RING_DAYS[0]:
+            around = F.filter(
+                F.sequence(F.lit(-outer), F.lit(outer)), lambda step: F.abs(step) > inner
+            )
+            days = F.transform(around, lambda step: F.col("day") + step)
+            lists = asked.where(dated).select(*_QUERY, F.explode(days).alias("list")).join(
+                self.days, ["run_id", "grp", "list"], "left_semi"
+            ).select(*_QUERY, "list")
+        else:
+            gap = F.abs(F.col("list") - F.col("day"))
+            lists = (
+                asked.where(dated).join(self.days, ["run_id", "grp"])
+                .where((gap > inner) & (gap <= outer)).select(*_QUERY, "list")
+            )
+        listed = self.listed
+        if inner < 0:
+            lists = lists.unionByName(asked.withColumn("list", F.lit(_ANY_DATE)))
+            if self.span.undated_points:
+                lists = lists.unionByName(asked.where(dated).withColumn("list", F.lit(_NO_DATE)))
+        else:
+            listed = listed.where(F.col("list") != _ANY_DATE)
+        hits = neighbours(lists, listed, self.k)
+        delta = F.abs(F.col("x") - F.col("px"))
+        if self.limit is not None:
+            hits = hits.where(delta <= self.limit)
+        any_delta = F.when(F.col("list") == _ANY_DATE, delta)
+        return hits.select(*_QUERY, _hit(delta).alias("hit"), any_delta.alias("any_delta"))
+
+    def _with_kth(self, groups: DataFrame, hits: DataFrame) -> DataFrame:
+        """The distance of the k-th nearest point of the whole group; null if it has fewer."""
+        near = hits.where("any_delta is not null").groupBy(*_ROW, "grp").agg(
+            F.sort_array(F.collect_list("any_delta")).alias("deltas")  # at most 2 k
+        )
+        kth = F.get("deltas", F.lit(self.k - 1))
+        return groups.drop("kth_delta").join(near, [*_ROW, "grp"], "left").select(
+            *_QUERY, kth.alias("kth_delta")
         )
-    return nodes
-
-
-def _first(ends: Column, k: int) -> Column:
-    return F.slice(F.sort_array(F.flatten(ends)), 1, k)
-
 
-def _ask_days(
-    state: DataFrame, tree: DataFrame, group_days: DataFrame, levels: int, k: int, inner: int, outer: int, span, limit
-) -> DataFrame:
-    """Nearest points in amount of every list between the two ring bounds.
+    def _judged(self, groups: DataFrame, best: DataFrame, outer: int, widest: int) -> DataFrame:
+        """Tell which groups are done, which need a bounded reach, which a wider ring.
+
+        With ``outer`` -1 nothing of a group has been asked yet.
+        """
+        slack = 1e-9
+        outside = DATE_WEIGHT / (2.0 + outer)
+        worst = -F.get(F.col("best").getField("neg_score"), F.lit(self.k - 1))
+        room = worst - F.col("base") - F.lit(outside)
+        done = room > AMOUNT_WEIGHT + slack
+        if outer >= 0:
+            kth = from_units(F.col("kth_delta"))
+            done = (
+                done | (F.col("day") == _NO_DATE) | F.col("kth_delta").isNull()
+                | (amount_part(kth) + F.lit(slack) < room)
+            )
+        reach = F.when(room > slack, F.lit(AMOUNT_WEIGHT) / room - 1.0)
+        units = F.ceil(reach * (MONEY_UNITS * (1 + slack))) + 1
+        if self.limit is not None:
+            units = F.least(units, F.lit(self.limit))
+        width = F.lit(0)
+        for digits in range(1, 9):
+            width = F.when(F.col("reach") > 2 ** (_CELL_BITS * (digits - 1)), digits).otherwise(width)
+        verdict = F.when(done, "done").when(units <= widest * MONEY_UNITS, "reach").otherwise("open")
+        return (
+            groups.join(best, _ROW)
+            .select(*_QUERY, "kth_delta", worst.alias("worst"), units.alias("reach"), verdict.alias("verdict"))
+            .withColumn("digits", F.when(F.col("verdict") == "reach", width))
+        )
 
-    Up to the widest fixed ring the days are spelled out. Beyond it only days
-    that the query's own group has are asked, so one far date costs one day.
-    """
-    dated = F.col("day") != _NO_DATE
-    wanted = []
-    if outer in _RING_DAYS or outer <= _RING_DAYS[0]:
-        around = F.filter(
-            F.sequence(F.lit(-outer), F.lit(outer)), lambda step: F.abs(step) > inner
+    def _within_reach(self, near: DataFrame, outer: int, used: list[int]) -> DataFrame:
+        """Points outside the ring whose amount is close enough to matter, by cells of the ``used`` sizes."""
+        own = F.expr(f"shiftright(x, {_CELL_BITS} * digits)")
+        asked = near.select(
+            *_QUERY, "reach", "worst", "digits", F.explode(F.array(own - 1, own, own + 1)).alias("cell")
         )
-        days = F.transform(around, lambda step: F.col("day") + step)
-        wanted.append(state.where(dated).select(*_QUERY, F.explode(days).alias("list")))
-    else:
-        gap = F.abs(F.col("list") - F.col("day"))
-        wanted.append(
-            state.where(dated).join(group_days, ["run_id", "grp"])
-            .where((gap > inner) & (gap <= outer)).select(*_QUERY, "list")
+        sizes = F.array(*[F.lit(d) for d in used]).cast("array<int>")
+        points = self.known if outer < 0 else self.known.where(F.col("pday") != _NO_DATE)
+        cells = points.select("*", F.explode(sizes).alias("digits")).withColumn(
+            "cell", F.expr(f"shiftright(px, {_CELL_BITS} * digits)")
+        )
+        delta = F.abs(F.col("x") - F.col("px"))
+        gap = _gap(F.col("day"), F.col("pday"))
+        return (
+            asked.join(cells, ["run_id", "grp", "digits", "cell"])
+            .where((delta <= F.col("reach")) & (gap > outer) & (_score(delta, gap) >= F.col("worst")))
+            .select(*_QUERY, _hit(delta).alias("hit"))
         )
-    if inner < 0:
-        wanted.append(state.select(*_QUERY, F.lit(_ANY_DATE).alias("list")))
-        if span.undated_points:
-            wanted.append(state.where(dated).select(*_QUERY, F.lit(_NO_DATE).alias("list")))
-    lists = wanted[0]
-    for part in wanted[1:]:
-        lists = lists.unionByName(part)
-    asked = (
-        lists.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level"))
-        .withColumn("own", F.expr(f"shiftright(x, {_DIGIT_BITS} * level)"))
-        .withColumn("node", F.shiftright("own", _DIGIT_BITS))
-    )
-
-    def side(end: str, beyond) -> Column:
-        kids = F.filter("kids", beyond)
-        return _first(F.transform(kids, lambda kid: kid[end]), k)
-
-    left = side("high", lambda kid: kid.child < F.col("own"))
-    right = side("low", lambda kid: kid.child > F.col("own"))
-    equal = side("low", lambda kid: (kid.child == F.col("own")) & (F.col("level") == 0))
-    near = F.concat(
-        F.transform(left, lambda e: F.struct((-e["at"]).alias("px"), e.bank_ord, e.pday)),
-        F.transform(right, lambda e: F.struct(e["at"].alias("px"), e.bank_ord, e.pday)),
-        F.transform(equal, lambda e: F.struct(e["at"].alias("px"), e.bank_ord, e.pday)),
-    )
-    hits = asked.join(tree, ["run_id", "grp", "list", "level", "node"]).select(
-        *_QUERY, "list", F.inline(near).alias("px", "bank_ord", "pday")
-    )
-    delta = F.abs(F.col("x") - F.col("px"))
-    if limit is not None:
-        hits = hits.where(delta <= limit)
-    return hits.select(
-        *_QUERY,
-        _hit(delta).alias("best"),
-        F.when(F.col("list") == _ANY_DATE, delta).alias("any_delta"),
-    )
 
 
 def _hit(delta: Column) -> Column:
     score = _score(delta, _gap(F.col("day"), F.col("pday")))
-    return F.array(F.struct((-score).alias("neg_score"), F.col("bank_ord")))
+    return F.struct((-score).alias("neg_score"), F.col("bank_ord"))
 
 
-def _merge(state: DataFrame, hits: DataFrame, k: int) -> DataFrame:
-    """Fold new hits into the k best of each query; queries without hits stay.
+def _merge(best: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """Fold new hits into the k best of each ledger row; rows without hits stay.
 
     Hits are ranked and cut to k before they are collected, so no list grows
     with the group. A hit found twice is one hit.
     """
-    found = state.select(*_QUERY, F.explode("best").alias("hit")).unionByName(
-        hits.select(*_QUERY, F.explode("best").alias("hit"))
-    ).distinct()
-    order = Window.partitionBy(*_QUERY).orderBy("hit.neg_score", "hit.bank_ord")
-    best = (
-        found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-        .groupBy(*_QUERY).agg(F.sort_array(F.collect_list("hit")).alias("best"))
-    )
-    near = hits.where(F.col("any_delta").isNotNull()).select(*_QUERY, "any_delta")
-    by_amount = Window.partitionBy(*_QUERY).orderBy("any_delta")
-    kth = (
-        near.withColumn("place", F.row_number().over(by_amount)).where(F.col("place") == k)
-        .select(*_QUERY, F.col("any_delta").alias("new_kth"))
-    )
-    known = state.select("run_id", "grp", "erp_ord", "base", "x", "day", "kth_delta")
+    found = best.select(*_ROW, F.explode_outer("best").alias("hit")).unionByName(
+        hits.select(*_ROW, "hit")
+    ).repartition(*_ROW).distinct()  # the one shuffle: all that follows is by the same key
+    order = Window.partitionBy(*_ROW).orderBy(F.col("hit").asc_nulls_last())
     return (
-        known.join(best, _QUERY, "left").join(kth, _QUERY, "left")
-        .select(
-            *_QUERY,
-            F.coalesce("best", F.array().cast(_HITS)).alias("best"),
-            F.coalesce("kth_delta", "new_kth").alias("kth_delta"),
-        )
+        found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+        .groupBy(*_ROW).agg(F.sort_array(F.collect_list("hit")).alias("best"))
     )
 
 
-def _judge(state: DataFrame, k: int, outer: int, widest: int, limit) -> DataFrame:
-    """Tell which queries are done, which need a bounded reach, which a wider ring."""
-    slack = 1e-9
-    outside = DATE_WEIGHT / (2.0 + outer)
-    worst = -F.get(F.col("best").getField("neg_score"), F.lit(k - 1))
-    room = worst - F.col("base") - F.lit(outside)
-    kth = from_units(F.col("kth_delta"))
-    done = (
-        (F.col("day") == _NO_DATE)
-        | F.col("kth_delta").isNull()
-        | (amount_part(kth) + F.lit(slack) < room)
-        | (room > AMOUNT_WEIGHT + slack)
+def neighbours(asked: DataFrame, listed: DataFrame, k: int) -> DataFrame:
+    """``asked`` rows beside the k points before and the k after them in their list.
+
+    ``asked``: the query columns and ``list``; ``listed``: run_id, grp, list, px,
+    bank_ord, pday. Adds bank_ord, px and pday. Both are sorted by
+    (list, amount) into ranges of about :data:`RANGE_ROWS`; questions of equal
+    amount differ in their row number, so that no key is too hot to be cut.
+    """
+    points = listed.select(
+        "run_id", "grp", "list", F.col("px").alias("x"), F.col("bank_ord").alias("ord"), F.col("pday").alias("day"),
+        F.lit(None).cast("double").alias("base"),
     )
-    reach = F.when(room > slack, F.lit(AMOUNT_WEIGHT) / room - 1.0)
-    units = F.ceil(reach * (MONEY_UNITS * (1 + slack))) + 1
-    if limit is not None:
-        units = F.least(units, F.lit(limit))
-    return state.withColumn("worst", worst).withColumn("reach", units).withColumn(
-        "verdict",
-        F.when(done, "done")
-        .when(F.col("reach") <= widest * MONEY_UNITS, "reach")
-        .otherwise("open"),
+    events = points.unionByName(asked.select(
+        "run_id", "grp", "list", "x", F.col("erp_ord").alias("ord"), "day", "base"
+    ))
+    ranges = _sorted_ranges(cut_lineage(events))
+    halos = _halos(ranges, k)
+    found = ranges.mapInArrow(
+        lambda batches: _answers(batches, halos, k),
+        "run_id string, erp_ord bigint, grp string, base double, x bigint, day int, list int,"
+        " bank_ord bigint, px bigint, pday int",
     )
+    return found
 
 
-def _within_reach(near: DataFrame, known: DataFrame, outer: int) -> DataFrame:
-    """Points outside the ring whose amount is close enough to matter."""
-    width = F.lit(0)
-    for digits in range(1, 9):
-        wider = F.col("reach") > 2 ** (_DIGIT_BITS * (digits - 1))
-        width = F.when(wider, digits).otherwise(width)
-    sized = near.withColumn("digits", width)
-    used = [row.digits for row in sized.select("digits").distinct().collect()]
-    own = F.expr(f"shiftright(x, {_DIGIT_BITS} * digits)")
-    asked = sized.select(
-        *_QUERY, "reach", "worst", "digits",
-        F.explode(F.array(own - 1, own, own + 1)).alias("cell"),
-    )
-    sizes = F.array(*[F.lit(d) for d in used]).cast("array<int>")
-    cells = (
-        known.where(F.col("pday") != _NO_DATE)
-        .select("*", F.explode(sizes).alias("digits"))
-        .withColumn("cell", F.expr(f"shiftright(px, {_DIGIT_BITS} * digits)"))
-    )
-    delta = F.abs(F.col("x") - F.col("px"))
-    gap = _gap(F.col("day"), F.col("pday"))
-    return (
-        asked.join(cells, ["run_id", "grp", "digits", "cell"])
-        .where((delta <= F.col("reach")) & (gap > outer) & (_score(delta, gap) >= F.col("worst")))
-        .select(*_QUERY, _hit(delta).alias("best"), F.lit(None).cast("bigint").alias("any_delta"))
-    )
+def _sorted_ranges(events: DataFrame) -> DataFrame:
+    """``events`` in one order, cut into ranges of equal size and written once."""
+    spark = events.sparkSession
+    rows = events.count()
+    n = max(spark.sparkContext.defaultParallelism, -(-rows // RANGE_ROWS))
+    return cut_lineage(events.repartitionByRange(n, *_SORTED).sortWithinPartitions(*_SORTED))
+
+
+def _points_of(table: pa.Table) -> np.ndarray:
+    return np.flatnonzero(table.column("base").is_null().to_numpy())
+
+
+def _halos(ranges: DataFrame, k: int) -> list[tuple[list, list]]:
+    """The k points before and after every range; 2 k rows a range are all the driver sees."""
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _whole(batches)
+        at = _points_of(table)
+        for side, picked in enumerate((at[:k], at[max(0, len(at) - k):])):
+            rows = table.take(picked)
+            number = pa.array([TaskContext.get().partitionId()] * len(picked), pa.int32())
+            rows = rows.append_column("range", number).append_column("side", pa.array([side] * len(picked), pa.int32()))
+            yield from rows.to_batches()
+
+    shape = "run_id string, grp string, list int, x bigint, ord bigint, day int, base double, range int, side int"
+    first, last = {}, {}
+    for row in ranges.mapInArrow(ends, shape).collect():
+        (last if row.side else first).setdefault(row.range, []).append(tuple(row)[:7])
+    n = ranges.rdd.getNumPartitions()
+    before, after = [[]], [[]]
+    for i in range(n - 1):
+        before.append((before[-1] + last.get(i, []))[-k:])
+        after.append((first.get(n - 1 - i, []) + after[-1])[:k])
+    return list(zip(before, reversed(after)))
+
+
+_EVENTS = pa.schema([
+    ("run_id", pa.string()), ("grp", pa.string()), ("list", pa.int32()), ("x", pa.int64()), ("ord", pa.int64()),
+    ("day", pa.int32()), ("base", pa.float64()),
+])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table:
+    """The rows of a range, whose size is bounded by :data:`RANGE_ROWS`."""
+    parts = list(batches)
+    return pa.Table.from_batches(parts).cast(_EVENTS) if parts else _EVENTS.empty_table()
+
+
+def _answers(batches: Iterator[pa.RecordBatch], halos: list, k: int) -> Iterator[pa.RecordBatch]:
+    """The neighbours of the questions of one range, halo points beside its own."""
+    before, after = halos[TaskContext.get().partitionId()]
+    table = _whole(batches)
+    if not len(table):
+        return
+    halo = [
+        pa.table([list(c) for c in zip(*rows)] if rows else [[]] * len(_EVENTS), schema=_EVENTS) for rows in (before, after)
+    ]
+    table = pa.concat_tables([halo[0], table, halo[1]]).combine_chunks()
+    starts = np.zeros(len(table), bool)
+    for name in ("run_id", "grp", "list"):
+        column = table.column(name).combine_chunks()
+        starts[1:] |= pa.compute.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    lists = np.cumsum(starts)
+    points = _points_of(table)
+    is_point = np.zeros(len(table), bool)
+    is_point[points] = True
+    asks = np.flatnonzero(~is_point)
+    seen = np.cumsum(is_point)[asks]
+    rows, hits = [], []
+    for j in range(k):
+        for at in (seen - 1 - j, seen + j):
+            inside = (at >= 0) & (at < len(points))
+            hit = points[at[inside]]
+            same = lists[hit] == lists[asks[inside]]
+            rows.append(asks[inside][same])
+            hits.append(hit[same])
+    q, p = table.take(np.concatenate(rows)), table.take(np.concatenate(hits))
+    out = pa.table({
+        "run_id": q["run_id"], "erp_ord": q["ord"], "grp": q["grp"], "base": q["base"], "x": q["x"], "day": q["day"],
+        "list": q["list"], "bank_ord": p["ord"], "px": p["x"], "pday": p["day"],
+    })
+    yield from out.to_batches(max_chunksize=50_000)

@@ -170,11 +170,10 @@ def test_hot_joins_are_equality_joins(spark, ledger, statement):
     erp_keys = candidates._keyed(erp, "erp_tokens", "gross", 1, ways)
     bank_keys = candidates._keyed(bank, "bank_tokens", "settled", 0, ways)
     hot = candidates._hot_groups(erp_keys, bank_keys, 2)
-    searched = candidates._searched_groups(erp_keys, hot)
     frames = (
         candidates._paired(erp_keys, bank_keys),
-        candidates._nearest_by_tokens(erp, bank, bank_keys, searched, config),
-        candidates._nearest_in_band(erp_keys, bank_keys, searched, erp, bank, config),
+        candidates._nearest_by_tokens(erp, bank, erp_keys, bank_keys, hot, config),
+        candidates._nearest_in_band(erp_keys, bank_keys, hot, erp, bank, config),
     )
     for frame in frames:
         plan = frame._jdf.queryExecution().executedPlan().toString()
