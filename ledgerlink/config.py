@@ -42,9 +42,10 @@ class ReconConfig:
 
     ``hot_group_rows`` bounds how many statement rows of one token or amount
     bucket are paired directly; larger groups go through the nearest-neighbour
-    search. It changes the plan only, never the result. ``tail_edges`` bounds
-    what the assignment may finish in a single task. ``merchant_aliases`` are
-    (alias, name) tokens; :func:`aliases_of` reads them from a table.
+    search. ``assignment_rounds`` are the rounds of proposals before chains of
+    displacement are followed by doubling. Both change the plan only, never the
+    result. ``merchant_aliases`` are (alias, name) tokens; :func:`aliases_of`
+    reads them from a table.
     """
 
     confidence_threshold: float = CONFIDENCE_THRESHOLD
@@ -52,7 +53,6 @@ class ReconConfig:
     fold_case: bool = False
     hot_group_rows: int = 1000
     assignment_rounds: int = 8
-    tail_edges: int = 20_000
     merchant_aliases: tuple[tuple[str, str], ...] = MERCHANT_ALIASES
 
     def __post_init__(self) -> None:
@@ -63,5 +63,3 @@ class ReconConfig:
         for knob in ("max_candidates", "hot_group_rows", "assignment_rounds"):
             if getattr(self, knob) < 1:
                 raise ValueError(f"{knob} must be at least 1")
-        if self.tail_edges < 0:
-            raise ValueError("tail_edges must not be negative")

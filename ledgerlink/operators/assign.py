@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +21,11 @@ def greedy_assignment(edges: DataFrame, config: ReconConfig | None = None) -> Da
     proposals are the assignment. Both steps are aggregations with map-side
     combine, so a statement row wanted by a third of the ledger is no hot spot.
 
-    Chains of displacement can need many rounds. After ``assignment_rounds``
-    the settled pairs leave the iteration, and only a rest of proven size (at
-    most ``tail_edges`` rows) is finished in one task; a larger one goes on.
+    Chains of displacement can need many such rounds. After
+    ``assignment_rounds`` of them the pairs that nothing precedes are accepted,
+    and with them every pair whose fate hangs on one other pair each: such a
+    chain is followed by pointer doubling, in as many steps as its length has
+    binary digits. What is left goes on. No step gathers the rest in one task.
     """
     config = config or ReconConfig()
     open_pairs = cut_lineage(edges.select(*_EDGE))
@@ -42,8 +43,6 @@ def greedy_assignment(edges: DataFrame, config: ReconConfig | None = None) -> Da
         accepted.append(settled)
         open_pairs = cut_lineage(_untouched(open_pairs, settled))
         n_open = open_pairs.count()
-        if n_open <= config.tail_edges:
-            return _union(accepted, _finish_in_one_task(open_pairs))
 
 
 def _union(parts: list[DataFrame], last: DataFrame) -> DataFrame:
@@ -74,14 +73,68 @@ def _close_later_pairs(open_pairs: DataFrame) -> DataFrame:
     )
 
 
+def _first_two(pairs: DataFrame, side: str) -> DataFrame:
+    """The first and second open pair of each record of a side; null where there is no second."""
+    key = ["run_id", side]
+    order = F.struct("erp_ord", "rank")
+    first = pairs.groupBy(*key).agg(F.min(order).alias(f"{side}_1"))
+    second = (
+        pairs.join(first, key).where(order > F.col(f"{side}_1")).groupBy(*key).agg(F.min(order).alias(f"{side}_2"))
+    )
+    return first.join(second, key, "left")
+
+
 def _settled(open_pairs: DataFrame) -> DataFrame:
-    """Proposals that no open pair of the same statement record precedes."""
-    return (
-        _proposals(open_pairs)
-        .join(_held(open_pairs), ["run_id", "bank_ref"])
-        .where(F.struct("erp_ord", "rank") == F.col("held"))
-        .select(*_EDGE)
+    """Open pairs that are certain: those without an earlier rival, and all that follow from them.
+
+    A pair that is first at one of its records and second at the other has one
+    rival, the first there, and is accepted if and only if that one is not.
+    """
+    order = F.struct("erp_ord", "rank")
+    placed = open_pairs
+    for side in ("erp_id", "bank_ref"):
+        placed = placed.join(_first_two(open_pairs, side), ["run_id", side])
+    leads = {side: order == F.col(f"{side}_1") for side in ("erp_id", "bank_ref")}
+    follows = {side: order == F.col(f"{side}_2") for side in ("erp_id", "bank_ref")}
+    rival = (
+        F.when(leads["erp_id"] & follows["bank_ref"], F.col("bank_ref_1"))
+        .when(leads["bank_ref"] & follows["erp_id"], F.col("erp_id_1"))
+    )
+    placed = cut_lineage(placed.select(*_EDGE, (leads["erp_id"] & leads["bank_ref"]).alias("sure"), rival.alias("rival")))
+    sure = placed.where("sure").select(*_EDGE)
+    linked = placed.where("rival is not null").select("run_id", order.alias("at"), "rival")
+    chained = _end_of_chains(linked)
+    if chained is None:
+        return sure
+    ends = sure.select("run_id", order.alias("end"))
+    won = chained.where("not odd").join(ends, ["run_id", "end"]).select("run_id", F.col("at.erp_ord"), F.col("at.rank"))
+    return sure.unionByName(placed.select(*_EDGE).join(won, ["run_id", "erp_ord", "rank"]).select(*_EDGE))
+
+
+def _end_of_chains(linked: DataFrame) -> DataFrame | None:
+    """(run_id, at, end, odd): where the chain of rivals of each pair ends, and if its length is odd.
+
+    ``linked`` (run_id, at, rival) has one row per pair with a single rival. Each
+    step doubles the distance covered, and only pairs still on their way move.
+    """
+    known = linked.select("run_id", F.col("at").alias("end"), F.lit(True).alias("on"))
+    paths = cut_lineage(
+        linked.select("run_id", "at", F.col("rival").alias("end"), F.lit(True).alias("odd"))
+        .join(known, ["run_id", "end"], "left").withColumn("on", F.coalesce("on", F.lit(False)))
     )
+    if paths.isEmpty():
+        return None
+    while not paths.where("on").isEmpty():
+        ahead = paths.select(
+            "run_id", F.col("at").alias("end"), F.col("end").alias("next"),
+            F.col("odd").alias("more"), F.col("on").alias("further"),
+        )
+        moved = paths.where("on").join(ahead, ["run_id", "end"]).select(
+            "run_id", "at", F.col("next").alias("end"), (F.col("odd") != F.col("more")).alias("odd"),
+            F.col("further").alias("on"),
+        )
+        paths = cut_lineage(paths.where("not on").select("run_id", "at", "end", "odd", "on").unionByName(moved))
+    return paths
 
 
 def _untouched(open_pairs: DataFrame, settled: DataFrame) -> DataFrame:
@@ -92,21 +145,6 @@ def _untouched(open_pairs: DataFrame, settled: DataFrame) -> DataFrame:
     return open_pairs.select(*_EDGE)
 
 
-def _finish_in_one_task(open_pairs: DataFrame) -> DataFrame:
-    def scan(rest: pd.DataFrame) -> pd.DataFrame:
-        taken_erp, taken_bank, keep = set(), set(), []
-        rest = rest.sort_values(["run_id", "erp_ord", "rank"], ignore_index=True)
-        for i, (run, erp, bank) in enumerate(zip(*(rest[c] for c in PAIR))):
-            if (run, erp) not in taken_erp and (run, bank) not in taken_bank:
-                taken_erp.add((run, erp))
-                taken_bank.add((run, bank))
-                keep.append(i)
-        return rest.iloc[keep]
-
-    schema = open_pairs.select(*_EDGE).schema
-    return open_pairs.select(*_EDGE).groupBy().applyInPandas(scan, schema)
-
-
 def logged_decisions(decisions: DataFrame, assigned: DataFrame) -> DataFrame:
     """Decisions whose two records were both still open when their turn came."""
     order = F.struct("erp_ord", "rank")

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from ledgerlink.config import ReconConfig
+from ledgerlink.operators import assign
 from ledgerlink.operators.assign import greedy_assignment, logged_decisions
 
 SCHEMA = "run_id string, erp_id string, bank_ref string, erp_ord bigint, rank int"
@@ -38,7 +39,7 @@ def random_edges(seed, n, banks, k, ids=None):
     "seed, n, banks, k, ids",
     [(1, 40, 40, 2, None), (2, 60, 10, 3, None), (3, 60, 3, 2, None), (4, 50, 25, 2, 20)],
 )
-@pytest.mark.parametrize("knobs", [{"tail_edges": 0}, {"assignment_rounds": 1, "tail_edges": 10}])
+@pytest.mark.parametrize("knobs", [{}, {"assignment_rounds": 1}])
 def test_equals_the_sequential_scan(spark, seed, n, banks, k, ids, knobs):
     edges = random_edges(seed, n, banks, k, ids)
     assert assigned(spark, edges, **knobs) == in_sequence(edges)[0]
@@ -51,14 +52,26 @@ def chain(length):
     return edges
 
 
-def test_chain_longer_than_the_rounds(spark):
-    edges = chain(60)
-    assert assigned(spark, edges, assignment_rounds=2, tail_edges=20) == in_sequence(edges)[0]
+def ladder(length):
+    """Chains that share statement records: many pairs have two rivals."""
+    edges = []
+    for i in range(length):
+        edges += [("r", f"e{i}", f"b{max(0, i - 2)}", i, 1), ("r", f"e{i}", f"b{max(0, i - 1)}", i, 2), ("r", f"e{i}", f"b{i}", i, 3)]
+    return [e for n, e in enumerate(edges) if all(e[1:3] != f[1:3] for f in edges[max(0, n - 3):n])]
 
 
-def test_chain_without_a_tail(spark):
-    edges = chain(12)
-    assert assigned(spark, edges, assignment_rounds=3, tail_edges=0) == in_sequence(edges)[0]
+@pytest.mark.parametrize("edges", [chain(60), ladder(30), chain(9) + [("r", f"x{i}", "b4", 100 + i, 1) for i in range(40)]])
+def test_chains_longer_than_the_rounds(spark, edges):
+    assert assigned(spark, edges, assignment_rounds=1) == in_sequence(edges)[0]
+
+
+def test_a_long_chain_takes_few_steps(spark, monkeypatch):
+    written = []
+    cut = assign.cut_lineage
+    monkeypatch.setattr(assign, "cut_lineage", lambda df: written.append(1) or cut(df))
+    edges = chain(50_000)  # 99,999 pairs, each of which waits for the one before
+    assert assigned(spark, edges, assignment_rounds=1) == in_sequence(edges)[0]
+    assert len(written) < 30
 
 
 def test_no_edges(spark):

@@ -6,9 +6,10 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlink.config import ReconConfig
-from ledgerlink.operators import candidates
+from ledgerlink.operators import candidates, nearest
 from ledgerlink.operators.candidates import top_candidates
 
 STOP = {"pvt", "ltd", "settlement", "payout"}
@@ -109,19 +110,52 @@ def test_copies_of_one_row(ledger, statement):
     check(ledger, statement, erp, bank)
 
 
-def test_more_hot_tokens_than_are_searched(ledger, statement):
-    words = [f"word{i}" for i in range(9)]
+@pytest.mark.parametrize("worn, k", [(8, 2), (10, 3)])
+def test_names_of_many_hot_tokens(ledger, statement, worn, k):
+    words = [f"word{i}" for i in range(11)]
     rng = random.Random(8)
     start = date(2024, 1, 1)
 
     def text():
-        return " ".join(rng.sample(words, 8))
+        return " ".join(rng.sample(words, worn))
 
     erp = [(f"E{i}", start + timedelta(i % 9), text(), Decimal(rng.randrange(9000)), "INR", None) for i in range(40)]
     bank = [(f"B{i}", start + timedelta(i % 7), text(), Decimal(rng.randrange(9000)), None) for i in range(40)]
+    check(ledger, statement, erp, bank, k=k, hot_group_rows=3)
+
+
+def test_a_name_whose_tokens_are_hot_in_other_numbers(ledger, statement):
+    """Ten hot tokens asked for, statement rows hold any number of them."""
+    words = [f"word{i}" for i in range(10)]
+    rng = random.Random(18)
+    start = date(2024, 1, 1)
+    some = lambda: " ".join(rng.sample(words, rng.randrange(11)))
+    erp = [(f"E{i}", start + timedelta(i % 40), " ".join(words) if i % 2 else some(), Decimal(rng.randrange(90)), "INR", None) for i in range(50)]
+    bank = [(f"B{i}", start + timedelta(i % 37), some(), Decimal(rng.randrange(90)), None) for i in range(90)]
     check(ledger, statement, erp, bank, hot_group_rows=3)
 
 
+def test_ranges_of_one_group_are_even(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "RANGE_ROWS", 2_000)
+    points = spark.range(20_000).selectExpr(
+        "'r' AS run_id", "'one' AS grp", "int(id % 3) AS list", "id * id % 977 AS px", "id AS bank_ord", "int(id % 3) AS pday"
+    )
+    asked = spark.range(20_000).selectExpr(
+        "'r' AS run_id", "id AS erp_ord", "'one' AS grp", "0D AS base", "5L AS x", "int(id % 3) AS day", "int(id % 3) AS list"
+    )
+    sizes = []
+    ranges = nearest._sorted_ranges
+    monkeypatch.setattr(nearest, "_sorted_ranges", lambda e: sizes.append(ranges(e)) or sizes[-1])
+    found = nearest.neighbours(asked, points, 2)
+    of = {day: sorted(x * x % 977 for x in range(20_000) if x % 3 == day) for day in range(3)}
+    for day, near in found.groupBy("day").agg(F.collect_set("px")).collect():
+        below, above = [x for x in of[day] if x <= 5], [x for x in of[day] if x > 5]
+        assert set(near) <= set(below[-2:] + above[:2] + [5])
+    assert found.groupBy("erp_ord").count().where("count <> 4").isEmpty()
+    rows = sorted(r[0] for r in sizes[0].groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect())
+    assert len(rows) >= 20 and rows[-1] < 2 * rows[len(rows) // 2]
+
+
 def test_band_edge_is_included(ledger, statement):
     erp = [("E", date(2024, 1, 1), "aaa", Decimal("100"), "INR", Decimal("0"))]
     bank = [

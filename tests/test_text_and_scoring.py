@@ -61,7 +61,7 @@ def test_settings_are_checked():
         {"confidence_threshold": 0.7},
         {"max_candidates": 0},
         {"hot_group_rows": 0},
-        {"tail_edges": -1},
+        {"assignment_rounds": 0},
     ):
         with pytest.raises(ValueError):
             ReconConfig(**knobs)
