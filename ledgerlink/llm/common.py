@@ -49,6 +49,24 @@ def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return rows.groupBy(key).agg(F.min(text).alias(text))
 
 
+def one_row_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row per key, the one that :func:`keyed_texts` takes the text of; all rows without key.
+
+    Among rows of equal text the smallest hash of the other columns decides.
+    Only if a key repeats are the rows shuffled, combined before that.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return docs
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    order = F.struct(F.col(text).isNull(), F.col(text), F.xxhash64(*plain))
+    one = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
+        F.min_by(F.struct(*columns), order).alias("row")
+    )
+    return one.select("row.*").unionByName(docs.where(F.col(key).isNull()))
+
+
 def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
     """How many partitions hold ``rows``; grows with the data."""
     return max(least, -(-rows // per_partition))

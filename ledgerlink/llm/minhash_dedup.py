@@ -4,16 +4,19 @@ A document is the set of its 5-word shingles, its signature 64 minima of
 independent hashes, of which 16 bits are kept. Signatures are cut into 16
 chunks of 4 symbols. If two signatures differ in at most 31 symbols, some chunk
 differs in at most one, so listing every chunk with each one symbol left out
-finds all pairs up to that distance. Documents of similarity exactly 0.75 exceed
-it with probability 1.5e-5; such a pair is lost, also if a chunk agrees. The
-sketches of the second round lose about 3e-6 more (see :func:`may_link`).
+finds all pairs up to that distance, and most beyond it. Whatever pair shares a
+key is judged by its sizes and full shingle sets alone, however far its
+signatures are apart: a pair of similarity exactly 0.75 is lost only if it is
+beyond the distance (once in 70,000) and no chunk agrees either.
 
 Equal sets collapse first. Every member of a key's group is then compared with
 the group's hub only, its member of most companions, which among near copies is
 the text that they were made from; what this links is one component. Only
 members of different components of a key are paired in a second round, so a
 large group of near copies costs its size, not its square, and no link is lost.
-Links are confirmed on the full shingle sets.
+Before the full sets of such a pair are fetched, counts of its shingles by hash
+bucket bound their intersection from above (see :func:`most_common`); a bound
+cannot reject a link. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -23,24 +26,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.anchors import _M1, _mix
 from ledgerlink.llm.byte_bpe import small_batches
-from ledgerlink.llm.common import components, keyed_texts, partitions_for, saved
+from ledgerlink.llm.common import components, keyed_texts, one_row_each, partitions_for, saved
 from ledgerlink.llm.lz_dedup import word_hashes
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SYMBOLS, CHUNK = 64, 4
-#: Distance up to which all pairs of signatures are found: each chunk may lose one symbol.
-#: Pairs beyond it are not compared in full. At similarity 0.75 a symbol differs with
-#: probability 1/4: more than 31 of 64 about once in 10^5.
+#: Distance up to which all pairs of signatures share a key: each chunk may lose one symbol.
 GUARANTEED = 2 * (SYMBOLS // CHUNK) - 1
-#: Smallest shingle hashes kept of a document: the whole set of most short ones.
-BOTTOM = 256
+#: Least and most buckets that a document's shingles are counted in; about one a shingle.
+LEAST_BUCKETS, MOST_BUCKETS = 256, 4096
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.int64).astype(np.uint64)
@@ -84,12 +85,7 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame) -> DataFrame:
-    """(doc_id, n, digest, words, symbols, bottom) of every text.
-
-    ``words`` are the lower bytes of the symbols, eight to a number, for
-    distances between signatures inside joins; ``bottom`` the upper halves of
-    the smallest shingle hashes.
-    """
+    """(doc_id, n, digest, symbols, counts) of every text; ``counts`` as :func:`bucket_counts`."""
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,20 +93,18 @@ def _signatures(texts: DataFrame) -> DataFrame:
             for part in small_batches(batch, "text"):
                 sets = [shingle_set(t) for t in part.column("text").to_pylist()]
                 signs = np.stack([signature(s) for s in sets])
-                words = signs.astype(np.uint8).view("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array(list(words), pa.list_(pa.int64())),
                         pa.array([s.astype("<u2").tobytes() for s in signs], pa.binary()),
-                        pa.array([(s[:BOTTOM] >> np.uint64(32)).astype("<u4").tobytes() for s in sets], pa.binary()),
+                        pa.array([bucket_counts(s).tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "digest", "words", "symbols", "bottom"],
+                    names=["doc_id", "n", "digest", "symbols", "counts"],
                 )
 
-    return texts.mapInArrow(run, f"doc_id {kind}, n long, digest binary, words array<bigint>, symbols binary, bottom binary")
+    return texts.mapInArrow(run, f"doc_id {kind}, n long, digest binary, symbols binary, counts binary")
 
 
 def _keys(reps: DataFrame) -> DataFrame:
@@ -131,21 +125,27 @@ def _keys(reps: DataFrame) -> DataFrame:
     return reps.select("id", "symbols").mapInArrow(run, f"key long, id {kind}")
 
 
-def _distance(a: Column, b: Column) -> Column:
-    """In how many symbols two signatures differ, by their lower bytes (never more than in all bits)."""
-    total = F.lit(0)
-    for i in range(SYMBOLS // 8):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (4, 2, 1):  # the lowest bit of each byte becomes the or of its bits
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-    return total
+def bucket_counts(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each hash bucket, 255 meaning that or more; a power of two of buckets."""
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (max(1, len(shingles)) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8)
 
 
-def _near(n1: Column, n2: Column, words1: Column, words2: Column) -> Column:
-    """Whether sizes and signatures allow the similarity."""
-    sizes = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * PERCENT
-    return sizes & (_distance(words1, words2) <= GUARANTEED)
+def _folded(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """The counts in fewer buckets."""
+    return counts.reshape(-1, buckets).sum(axis=0, dtype=np.int32)
+
+
+def most_common(a: np.ndarray, b: np.ndarray) -> int | None:
+    """A bound that the intersection cannot exceed: in each bucket at most the smaller count.
+
+    None if a count is full, when nothing can be said.
+    """
+    if a.max() == 255 or b.max() == 255:
+        return None
+    buckets = min(len(a), len(b))
+    return int(np.minimum(_folded(a, buckets), _folded(b, buckets)).sum())
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -179,38 +179,21 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _allowed(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and signatures allow."""
-    left = marks.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("words").alias("words1"))
-    right = marks.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("words").alias("words2"))
-    near = _near(F.col("n1"), F.col("n2"), F.col("words1"), F.col("words2"))
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
-
-
-def may_link(a: np.ndarray, b: np.ndarray, n1: int, n2: int) -> bool:
-    """Whether the smallest hashes of two sets of ``n1`` and ``n2`` allow the similarity.
-
-    Whole sets decide exactly, but for one shared value of slack, as halved
-    hashes may collide. Otherwise the share of common values among the smallest
-    of the union must not lie 4.5 standard deviations below the threshold.
-    """
-    if n1 <= BOTTOM and n2 <= BOTTOM:
-        both = len(np.intersect1d(a, b)) + 1
-        return 100 * both >= PERCENT * (n1 + n2 - both)
-    union = np.union1d(a, b)[:BOTTOM]
-    both = np.isin(union, a) & np.isin(union, b)
-    least = PERCENT / 100
-    size = (n1 + n2) / (1 + least)  # of the union, at the threshold
-    spread = np.sqrt(least * (1 - least) / BOTTOM * max(0.0, size - BOTTOM) / max(1.0, size - 1))
-    return both.sum() + 1 >= BOTTOM * (least - 4.5 * spread)
+def _allowed(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes allow the similarity."""
+    left = reps.select(F.col("id").alias("a"), F.col("n").alias("n1"))
+    right = reps.select(F.col("id").alias("b"), F.col("n").alias("n2"))
+    sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * PERCENT
+    return pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b")
 
 
 def _across_components(rows: DataFrame) -> DataFrame:
-    """Allowed pairs (a, b) of different components among (grp, id, n, component, symbols, bottom) rows.
+    """Pairs (a, b) that may link and have different components, among (grp, id, n, component, counts) rows.
 
     A group holds the members of all keys with the same smallest component.
     Groups are dealt to cells; one of more rows than a cell is cut into parts
     by hash, and every two parts meet, so no task holds a whole hot group.
+    Cells are many to a task, in a number of tasks that follows their number.
     """
     kind = rows.schema["id"].dataType.simpleString()
     total = rows.count()
@@ -225,16 +208,18 @@ def _across_components(rows: DataFrame) -> DataFrame:
             "cell",
             F.when(F.col("parts") == 1, F.pmod(F.xxhash64("grp"), F.lit(groups))).otherwise(F.xxhash64("grp", "i", "j")),
         )
-        .select("cell", "grp", "i", "j", "own", "id", "n", "component", "symbols", "bottom")
+        .select("cell", "grp", "i", "j", "own", "id", "n", "component", "counts")
     )
+    tasks = partitions_for(total, 2 * _CELL, rows.sparkSession.sparkContext.defaultParallelism)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("grp", "ascending"), ("i", "ascending"), ("j", "ascending")])
         grp, i, j, own, ids, n, component = (
             table.column(c).to_numpy() for c in ("grp", "i", "j", "own", "id", "n", "component")
         )
-        signs = np.frombuffer(b"".join(table.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-        bottom = [np.frombuffer(x, "<u4") for x in table.column("bottom").to_pylist()]
+        counts = [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]
+        coarse = np.stack([_folded(c, LEAST_BUCKETS) for c in counts])
+        full = np.array([c.max() == 255 for c in counts])
         left, right = [], []
         at = np.arange(len(ids))
         for step in range(1, len(ids)):
@@ -246,15 +231,21 @@ def _across_components(rows: DataFrame) -> DataFrame:
             fits = (component[at] != component[to]) & ((i[at] == j[at]) | (own[at] != own[to]))
             fits &= np.minimum(n[at], n[to]) * 100 >= np.maximum(n[at], n[to]) * PERCENT
             one, two = at[fits], to[fits]
-            near = (signs[one] != signs[two]).sum(axis=1) <= GUARANTEED
+            near = may_link(np.minimum(coarse[one], coarse[two]).sum(axis=1), n[one], n[two]) | full[one] | full[two]
             for x, y in zip(one[near].tolist(), two[near].tolist(), strict=True):
-                if may_link(bottom[x], bottom[y], n[x], n[y]):
+                most = most_common(counts[x], counts[y])
+                if most is None or may_link(most, n[x], n[y]):
                     left.append(x)
                     right.append(y)
         a, b = ids[np.array(left, np.int64)], ids[np.array(right, np.int64)]
         return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
-    return dealt.groupBy("cell").applyInArrow(run, f"a {kind}, b {kind}").distinct()
+    return dealt.repartition(tasks, "cell").groupBy("cell").applyInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def may_link(most, n1, n2):
+    """Whether an intersection of at most ``most`` can make sets of these sizes similar enough."""
+    return (100 + PERCENT) * most >= PERCENT * (n1 + n2)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -268,8 +259,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = saved(_signatures(texts), "signatures")
     classes = (
         signed.where("n > 0").groupBy("n", "digest")
-        .agg(F.min(F.struct("doc_id", "words", "symbols")).alias("r"))
-        .select(F.col("r.doc_id").alias("id"), "n", "digest", "r.words", "r.symbols")
+        .agg(F.min(F.struct("doc_id", "symbols")).alias("r"))
+        .select(F.col("r.doc_id").alias("id"), "n", "digest", "r.symbols")
     )
     reps = saved(classes, "classes")
     keys = _keys(reps)
@@ -278,12 +269,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     companions = shared.groupBy("id").agg(F.sum("members").alias("companions"))
     hub = F.min(F.struct((-F.col("companions")).alias("order"), "id")).alias("hub")
     hubs = shared.select("key", "id").join(companions, "id").groupBy("key").agg(hub)
-    marks = reps.select("id", "n", "words")
     meetings = (
         shared.join(hubs, "key").where("hub.id <> id")
         .select(F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct()
     )
-    tried = saved(_allowed(meetings, marks), "tried")
+    tried = saved(_allowed(meetings, reps), "tried")
     first = saved(_confirmed(tried, texts), "links")
     named = shared.select("key", "id").join(
         components(first).withColumnRenamed("node", "id"), "id", "left"
@@ -291,7 +281,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = saved(named, "named")
     split = named.groupBy("key").agg(F.min("component").alias("grp"), F.max("component").alias("hi")).where("grp <> hi")
     members = saved(named.join(split, "key").select("grp", "id", "component").distinct(), "members")
-    sketches = signed.select(F.col("doc_id").alias("id"), "n", "symbols", "bottom")
+    sketches = signed.select(F.col("doc_id").alias("id"), "n", "counts")
     across = _across_components(members.join(sketches, "id")).join(tried, ["a", "b"], "left_anti")
     second = saved(_confirmed(saved(across, "across"), texts), "links")
     merged = components(first.union(second))
@@ -312,6 +302,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that represent their group, and all without id, unchanged."""
+    """The rows of ``docs`` that represent their group, and all without id, unchanged.
+
+    Of rows that repeat an id, which are one document, only that with the
+    smallest text stays (see :func:`ledgerlink.llm.common.one_row_each`).
+    """
+    docs = one_row_each(docs)
     gone = near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

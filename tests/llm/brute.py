@@ -27,7 +27,8 @@ def groups(ids, pairs):
     return {i: find(i) for i in ids}
 
 
-def repeated_bytes(texts, length=100):
+def repeated_bytes(texts, length=100, kept_texts=None):
+    """Digests by id; the texts themselves go into ``kept_texts``."""
     seen, out = set(), {}
     for i in sorted(texts):
         data = (texts[i] or "").encode()
@@ -39,6 +40,8 @@ def repeated_bytes(texts, length=100):
             seen.add(window)
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone))
+        if kept_texts is not None:
+            kept_texts[i] = None if texts[i] is None else kept.decode(errors="ignore")
         out[i] = (len(data), sum(gone), spans, sha(kept))
     return out
 

@@ -5,6 +5,7 @@ import random
 
 import brute
 import duckdb
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -72,6 +73,41 @@ def by_id(frame, *columns):
     return dict(rows)
 
 
+def far_pair(seed):
+    """Two texts of similarity 12 / 16; the seeds were picked by the distance of their signatures."""
+    rng = random.Random(seed)
+    w = [f"w{rng.randrange(10**6)}" for _ in range(20)]
+    return " ".join(w[:18]), " ".join(w[:16] + w[18:])
+
+
+def test_links_of_far_signatures(spark):
+    """Pairs at exactly the threshold whose signatures differ in more symbols than are guaranteed."""
+    rows = []
+    for n, seed in enumerate((10673, 67064, 100808, 100876)):
+        a, b = far_pair(seed)
+        signs = np.stack([minhash_dedup.signature(minhash_dedup.shingle_set(t)) for t in (a, b)])
+        keys = minhash_dedup.index_keys(signs)
+        assert (signs[0] != signs[1]).sum() > minhash_dedup.GUARANTEED and np.isin(keys[0], keys[1]).any()
+        rows += [(2 * n, a), (2 * n + 1, b)]
+    got = by_id(minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "component_id")
+    assert got == {i: (i - i % 2,) for i in range(8)}
+
+
+def test_bucket_counts_never_reject_a_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 60, 300, 2000, 9000):
+        for share in (0.75, 0.8, 0.5):
+            union = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            both = int(np.ceil(share * len(union)))
+            middle = both + (len(union) - both) // 2
+            a, b = union[:middle], np.concatenate([union[:both], union[middle:]])
+            most = minhash_dedup.most_common(minhash_dedup.bucket_counts(a), minhash_dedup.bucket_counts(b))
+            assert most >= both
+            assert not minhash_dedup.linked(np.sort(a), np.sort(b)) or minhash_dedup.may_link(most, len(a), len(b))
+    full = np.arange(0, 300 * 4096, 4096, dtype=np.uint64)  # all in one bucket
+    assert minhash_dedup.most_common(minhash_dedup.bucket_counts(full), minhash_dedup.bucket_counts(full[:9])) is None
+
+
 def test_components(spark):
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(500, 560)]
