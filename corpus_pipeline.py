@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import byte_bpe, decontaminate, minhash_dedup, quality, suffix_dedup
-from ledgerlink.llm.common import saved, table
+from ledgerlink.llm.common import one_row_each, saved, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,25 +21,31 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id.
+
+    Rows that repeat an id are one document, that of the smallest text, and one
+    row of it stays. Rows without id all stay.
+    """
     return minhash_dedup.one_of_each(docs)
 
 
 def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated 100-byte strings; texts that held nothing else go.
 
-    ``n_chars`` follows the text, as every row states its own length.
+    ``n_chars``, if there is such a column, follows the text, as every row states
+    its own length. Empty and null texts stay as they are, as do rows without
+    id; of rows that repeat an id the one with the smallest text stays.
     """
-    kept = suffix_dedup.kept_texts(docs).withColumnRenamed("text", "_kept")
-    columns = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast(docs.schema["n_chars"].dataType)}
-    emptied = (F.col("_was") > 0) & (F.length("_kept") == 0)
-    was = F.coalesce(F.length("text"), F.lit(0)).alias("_was")
-    narrow = docs.where("doc_id is not null").select(*[c for c in docs.columns if c not in columns], was)
-    return (
-        narrow.join(kept.where("doc_id is not null"), "doc_id").where(~emptied)
-        .withColumns(columns).select(*docs.columns)
-        .unionByName(docs.where("doc_id is null"))
-    )
+    docs = one_row_each(docs)
+    rows = docs.where("doc_id is not null").select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = suffix_dedup.kept_texts(docs).where("doc_id is not null").select("doc_id", F.col("text").alias("kept"))
+    changed = {"text": F.when(F.col("row.text").isNotNull(), F.col("kept"))}
+    if "n_chars" in docs.columns:
+        length = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("row.text").eqNullSafe(F.col("kept")), F.col("row.n_chars")).otherwise(length)
+    emptied = (F.coalesce(F.length("row.text"), F.lit(0)) > 0) & (F.length("kept") == 0)
+    columns = [changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return rows.join(kept, "doc_id").where(~emptied).select(*columns).unionByName(docs.where("doc_id is null"))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
