@@ -48,12 +48,16 @@ _BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embe
 _HTML_PLACES = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 _RAW_END = {t: re.compile(rf"</(?ai:{t})(?=[ \t\n\f\r/>])") for t in RAW}
 
+# Quotes open a value only right after "="; one without quotes ends at white space or ">".
+# Of a comment "-->" and "--!>" are the ends, "<!-->" and "<!--->" are whole ones.
+_VALUE = r"""=[ \t\n\f\r]*(?:"[^"]*(?:"|$)|'[^']*(?:'|$)|(?!["'])[^ \t\n\f\r>]*)"""
+_ATTRIBUTE = rf"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*(?:[ \t\n\f\r]*{_VALUE})?"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
+    r"<!--(?:-?>|.*?(?:--!?>|$))|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
+    rf"|<(/?)([a-zA-Z][^ \t\n\f\r/>]*)((?:[ \t\n\f\r/]+|{_ATTRIBUTE})*+)(?:>|$)",
     re.S,
 )
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_NAMES = re.compile(r"(?:^|[\s/\"'])(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _GONE = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
@@ -242,11 +246,15 @@ def parse(page: str) -> Tree:
     return tree
 
 
-N_FEATURES = 20 + len(TAGS) + 2 * (len(GROUPS) + 1) + 4
+N_FEATURES = 20 + len(TAGS) + 2 * (len(GROUPS) + 1) + 5
 
 
 def features(tree: Tree) -> np.ndarray:
-    """One row per node: size, density, links, depth, siblings, tag, attribute tokens of node and ancestors."""
+    """One row per node: size, density, links, depth, siblings, tag, attribute tokens of node and ancestors.
+
+    The last tells nodes beside the page's main or article element (-1) from
+    those inside or around it (1); 0 on pages without one.
+    """
     n = len(tree.tags)
     parents = np.array(tree.parents, np.int64)
     own = np.zeros((n, 6))  # characters, linked characters, words, sentence ends, runs, elements
@@ -306,6 +314,11 @@ def features(tree: Tree) -> np.ndarray:
     out[:, a : a + marks.shape[1]] = marks
     out[:, a + marks.shape[1] : a + 2 * marks.shape[1]] = above
     a += 2 * marks.shape[1]
+    related = under[:, _TAG_NUMBER["article"]] | under[:, _TAG_NUMBER["main"]]
+    if related.any():
+        for i in range(n - 1, 0, -1):
+            related[parents[i]] |= related[i]
+        out[:, a + 4] = np.where(related, 1, -1)
     out[:, a] = tag
     out[:, a + 1] = tag[up]
     out[:, a + 2] = marks[:, 1:].any(axis=1)
@@ -346,47 +359,55 @@ def _sentences(rng: random.Random, words: int, stop: bool = True) -> str:
     return " ".join(out)
 
 
-def _named(rng: random.Random, tags: list[str], words: list[str]) -> tuple[str, str]:
-    """An opening and closing tag that carries its meaning in tag, class or id, or some of them."""
+def _named(rng: random.Random, tags: list[str], words: list[str], bare: float = 0.0) -> tuple[str, str]:
+    """An opening and closing tag that carries its meaning in tag, class or id, or some of them.
+
+    A share ``bare`` carries no name, and half as many an invented one that says nothing.
+    """
     tag = rng.choice(tags)
     word = rng.choice(words)
     style = rng.random()
     if tag not in ("div", "section", "ul", "p", "table", "span") and style < 0.45:
         return f"<{tag}>", f"</{tag}>"
+    said = rng.random()
+    if said < bare:
+        return f"<{tag}>", f"</{tag}>"
+    if said < 1.5 * bare:
+        word = "".join(rng.choice("bcdfgklmnpqrstvwxz") for _ in range(rng.randrange(2, 7)))
     name = rng.choice([word, f"{word}-box", f"site-{word}", f"{word}_{rng.randrange(99)}", f"x{rng.randrange(9)} {word}", f"{word} block"])
     return f'<{tag} {rng.choice(["class", "id", "class"])}="{name}">', f"</{tag}>"
 
 
-def _boilerplate(rng: random.Random) -> str:
+def _boilerplate(rng: random.Random, bare: float = 0.0) -> str:
     kind = rng.randrange(8)
     short = lambda: _sentences(rng, rng.randrange(1, 5), False)
     if kind == 0 or kind == 1:
-        a, b = _named(rng, ["nav", "div", "ul", "nav"], ["nav", "menu", "navigation", "breadcrumb", "links", "topbar"])
+        a, b = _named(rng, ["nav", "div", "ul", "nav"], ["nav", "menu", "navigation", "breadcrumb", "links", "topbar"], bare)
         items = "".join(f'<li><a href="#">{short()}</a></li>' for _ in range(rng.randrange(1, 12)))
         return f"{a}<ul>{items}</ul>{b}" if rng.random() < 0.7 else a + " | ".join(f'<a href="/x">{short()}</a>' for _ in range(rng.randrange(2, 7))) + b
     if kind == 2:
-        a, b = _named(rng, ["div", "section", "aside", "p"], ["ad", "ads", "advert", "banner", "promo", "sponsored", "advertisement"])
+        a, b = _named(rng, ["div", "section", "aside", "p"], ["ad", "ads", "advert", "banner", "promo", "sponsored", "advertisement"], bare)
         inner = _sentences(rng, rng.randrange(2, 40))
         return a + (f"<p>{inner}</p>" if rng.random() < 0.4 and "<p" not in a else inner) + b
     if kind == 3:
-        a, b = _named(rng, ["aside", "div", "aside", "section"], ["sidebar", "related", "widget", "aside", "rail", "popular", "trending", "recommended"])
+        a, b = _named(rng, ["aside", "div", "aside", "section"], ["sidebar", "related", "widget", "aside", "rail", "popular", "trending", "recommended"], bare)
         parts = "".join(rng.choice([f"<p>{_sentences(rng, rng.randrange(3, 40))}</p>", f'<ul><li><a href="#">{_sentences(rng, 6, False)}</a></li></ul>', f"<h3>{short()}</h3>"]) for _ in range(rng.randrange(1, 6)))
         return a + parts + b
     if kind == 4:
-        a, b = _named(rng, ["div", "section", "dialog", "p"], ["cookie", "consent", "notice", "popup", "alert", "gdpr", "modal", "privacy", "cookies"])
+        a, b = _named(rng, ["div", "section", "dialog", "p"], ["cookie", "consent", "notice", "popup", "alert", "gdpr", "modal", "privacy", "cookies"], bare)
         inner = _sentences(rng, rng.randrange(3, 40))
         return a + (inner if a.startswith("<p") else f"<p>{inner}</p>" + ("<button>Ok</button>" if rng.random() < 0.5 else "")) + b
     if kind == 5:
-        a, b = _named(rng, ["section", "div", "ol"], ["comments", "comment", "discussion", "replies", "responses", "disqus"])
+        a, b = _named(rng, ["section", "div", "ol"], ["comments", "comment", "discussion", "replies", "responses", "disqus"], bare)
         one = lambda: f'<div class="comment"><b>{short()}</b><p>{_sentences(rng, rng.randrange(3, 60))}</p></div>'
         plain = lambda: f"<p>{_sentences(rng, rng.randrange(3, 60))}</p>"
         make = one if rng.random() < 0.6 else plain
         return a + (f"<h3>{short()}</h3>" if rng.random() < 0.5 else "") + "".join(make() for _ in range(rng.randrange(1, 6))) + b
     if kind == 6:
         form = f"<form><label>{short()}</label><input name=q><p>{_sentences(rng, rng.randrange(1, 15))}</p><button>{short()}</button></form>"
-        a, b = _named(rng, ["div", "section"], ["subscribe", "newsletter", "search", "signup", "login", "contact"])
+        a, b = _named(rng, ["div", "section"], ["subscribe", "newsletter", "search", "signup", "login", "contact"], bare)
         return form if rng.random() < 0.5 else a + rng.choice([form, f"<p>{_sentences(rng, rng.randrange(3, 25))}</p>"]) + b
-    a, b = _named(rng, ["div", "ul"], ["share", "social", "tags", "pagination", "buttons", "follow"])
+    a, b = _named(rng, ["div", "ul"], ["share", "social", "tags", "pagination", "buttons", "follow"], bare)
     return a + "".join(f'<a href="#">{short()}</a> ' for _ in range(rng.randrange(1, 6))) + b
 
 
@@ -422,14 +443,15 @@ def training_page(rng: random.Random) -> str:
         ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
         _named(rng, ["div", "section"], ["content", "article", "post", "entry", "story", "main", "text"]),
         _named(rng, ["article", "main"], ["content", "article", "post", "entry", "story"]),
-        ("<div>", "</div>"), ('<div role="main">', "</div>"),
+        *[("<div>", "</div>")] * 4, ('<div role="main">', "</div>"),
     ])
     head = ""
     if rng.random() < 0.5:
         h, t = _named(rng, ["header", "div"], ["header", "masthead", "logo", "top"])
         head = h + rng.choice([f"<h1>{_sentences(rng, 3, False)}</h1>", f"<p>{_sentences(rng, rng.randrange(1, 15))}</p>", f"<a href='/'>{_sentences(rng, 2, False)}</a>", f"<div>{_sentences(rng, 4, False)}</div>"]) + t
-    before = [head] + [_boilerplate(rng) for _ in range(rng.randrange(0, 4))]
-    after = [_boilerplate(rng) for _ in range(rng.randrange(0, 4))]
+    bare = 0.4 if a.startswith(("<article", "<main")) else 0.0  # only beside such an element can it be told without names
+    before = [head] + [_boilerplate(rng, bare) for _ in range(rng.randrange(0, 4))]
+    after = [_boilerplate(rng, bare) for _ in range(rng.randrange(0, 4))]
     if rng.random() < 0.85:
         h, t = _named(rng, ["footer", "div", "footer"], ["footer", "copyright", "bottom", "legal"])
         after.append(h + rng.choice(["&copy; ", "", "<p>"]) + _sentences(rng, rng.randrange(1, 40)) + t)
@@ -466,7 +488,13 @@ def extract(pages: list[str | None], model: BoostedTrees) -> list[str]:
 
 
 def extract_pages(pages: DataFrame, model: BoostedTrees | None = None) -> DataFrame:
-    """(page_id, url, text, n_chars), one row per input row, in one pass without a shuffle."""
+    """(page_id, url, text, n_chars), one row per input row, in one pass without a shuffle.
+
+    A null page is empty; an empty page, or one without main text, has the empty
+    text and 0 characters. Null ids and URLs stay as they are, repeated rows give
+    repeated results, other columns are ignored, an empty table gives an empty
+    result.
+    """
     shared = pages.sparkSession.sparkContext.broadcast(model or train())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -155,12 +155,41 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def _beside(pairs: DataFrame, rows: DataFrame, values: list[str]) -> DataFrame:
+    """The saved ``pairs`` (a, b) with the ``values`` of both: of a by their names, of b with a 2 added.
+
+    Only rows that occur as b are shuffled: their ids are few pairs' worth, and
+    the engine broadcasts them, or the pairs, if they are small enough.
+    """
+    left = rows.select(F.col("id").alias("a"), *values)
+    right = rows.select(F.col("id").alias("b"), *[F.col(v).alias(f"{v}2") for v in values])
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", *values, *[f"{v}2" for v in values])
+
+
+def _unrejected(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sizes and bucket counts allow to link."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    sizes = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * PERCENT
+    rows = _beside(pairs, signed.withColumnRenamed("doc_id", "id"), ["n", "counts"]).where(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n1, c1, n2, c2 = (batch.column(c) for c in ("a", "b", "n", "counts", "n2", "counts2"))
+            keep = []
+            for i in range(len(batch)):
+                most = most_common(*(np.frombuffer(c[i].as_buffer(), np.uint8) for c in (c1, c2)))
+                keep.append(most is None or may_link(most, n1[i].as_py(), n2[i].as_py()))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     kind = texts.schema["doc_id"].dataType.simpleString()
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text", "other")
+    rows = _beside(pairs, texts.withColumnRenamed("doc_id", "id"), ["text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, of_last = object(), None
@@ -170,7 +199,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 ids = part.column("b").to_pylist()
                 for i, text in enumerate(part.column("text").to_pylist()):
                     if ids[i] != last:  # rows arrive by b, so its set is made once
-                        last, of_last = ids[i], shingle_set(part.column("other")[i].as_py())
+                        last, of_last = ids[i], shingle_set(part.column("text2")[i].as_py())
                     keep.append(linked(shingle_set(text), of_last))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"]
@@ -179,14 +208,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _allowed(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes allow the similarity."""
-    left = reps.select(F.col("id").alias("a"), F.col("n").alias("n1"))
-    right = reps.select(F.col("id").alias("b"), F.col("n").alias("n2"))
-    sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * PERCENT
-    return pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b")
-
-
 def _across_components(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) that may link and have different components, among (grp, id, n, component, counts) rows.
 
@@ -273,8 +294,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         shared.join(hubs, "key").where("hub.id <> id")
         .select(F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct()
     )
-    tried = saved(_allowed(meetings, reps), "tried")
-    first = saved(_confirmed(tried, texts), "links")
+    tried = saved(meetings, "tried")
+    first = saved(_confirmed(saved(_unrejected(tried, signed), "allowed"), texts), "links")
     named = shared.select("key", "id").join(
         components(first).withColumnRenamed("node", "id"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))

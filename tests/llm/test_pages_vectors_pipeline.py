@@ -80,6 +80,23 @@ def test_hidden_elements_end_where_html_ends_them(odd):
         assert " ".join(texts).split() == [*shown, "the", "article", "the", "end"]
 
 
+@pytest.mark.parametrize("odd", [
+    "<p title=it's>", "<a href=/it's>", '<div class="a"">', "<!-->", "<!--->", "<!-- x --!>", "<!-- a -- > b -->", "<p x= \"a>b\" y>",
+    "<p a=\"1\"b='2'/c>", "<p =x>", "<p x=>", "<p x==y>", '<p "q>', "<i a=b/>", "<p a = >", '<p a=`x"y`>', '<p a\n=\n"b>c">', "<p a=b'c d='e>f'>",
+])
+def test_tags_end_where_html_ends_them(odd):
+    tree = html_extract.parse(f"<html><body>{odd}the article</p><p>the end \"it's\" > here</p></html>")
+    assert [t for t in tree.texts if t] == ["the article", "the end \"it's\" > here"]
+
+
+@pytest.mark.parametrize("old, new", [
+    (' class="ad"', ""), ('class="ad"', 'class="zq7"'), ("article>", "div>"), ("article>", "main>"),
+])
+def test_pages_of_the_table_with_other_names(model, old, new):
+    pages = pd.read_parquet(f"{SF_DIR.replace('sf0.001', 'sf0.01')}/pages.parquet").html
+    assert html_extract.extract([p.replace(old, new) for p in pages], model) == html_extract.extract(list(pages), model)
+
+
 def plain_links(rows):
     ids, pairs, count = [r[0] for r in rows], [], {r[0]: 0 for r in rows}
     good = [r for r in rows if r[1] is not None and r[2] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1])]
