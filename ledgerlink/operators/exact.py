@@ -8,63 +8,43 @@ from pyspark.sql import functions as F
 from ledgerlink.functions.text import ID_CHAR, id_pieces, id_runs
 
 
+_CARRIED = ["run_id", "row_ord", "bank_ref", "net_amount"]
+
+
 def _spelled_ids(ledger: DataFrame) -> DataFrame:
     """Identifiers in upper case, since text is searched without case.
 
-    Blank ones never match.
+    Blank ones never match. ``n_pieces`` and ``first`` say where they can be in
+    a text: so many pieces that begin with that one. One run of identifier
+    characters is one piece; any other identifier is ``odd``.
     """
     plain = F.col("erp_id").rlike(f"^{ID_CHAR}+$")
+    pieces = id_pieces(F.col("erp_id"))
     return ledger.where(F.length("erp_id") > 0).select(
         "run_id",
         "row_ord",
         F.upper("erp_id").alias("id_key"),
-        F.when(plain, 1).otherwise(F.size(id_pieces(F.col("erp_id")))).alias("n_pieces"),
+        (~plain).alias("odd"),
+        F.when(plain, 1).otherwise(F.size(pieces)).alias("n_pieces"),
+        F.upper(F.when(plain, F.col("erp_id")).otherwise(F.get(pieces, F.lit(0)))).alias("first"),
     )
 
 
 def _id_shape(spelled: DataFrame):
-    """One row of bounds that every identifier satisfies (cheap text prefilter)."""
+    """One row of bounds that every plain identifier satisfies (cheap text prefilter)."""
+    plain = F.when(~F.col("odd"), F.col("id_key"))
     return spelled.agg(
-        F.sort_array(F.collect_set("n_pieces")).alias("sizes"),
-        F.min(F.length("id_key")).alias("shortest"),
-        F.max(F.length("id_key")).alias("longest"),
-        F.bool_and(F.col("id_key").rlike("[0-9]")).alias("has_digit"),
+        F.coalesce(F.bool_or("odd"), F.lit(False)).alias("any_odd"),
+        F.min(F.length(plain)).alias("shortest"),
+        F.max(F.length(plain)).alias("longest"),
+        F.bool_and(plain.rlike("[0-9]")).alias("has_digit"),
     ).first()
 
 
-def _text_spans(statement: DataFrame, sizes: list[int]) -> DataFrame:
-    """Every span of the text that could be an identifier, with its position.
-
-    Identifiers made of identifier characters only are single runs. Any other
-    identifier is a fixed number of consecutive pieces, so spans of just those
-    lengths cover it and the search stays an equality join.
-    """
-    carried = ["run_id", "row_ord", "bank_ref", "net_amount"]
-    text = F.coalesce("description", F.lit(""))
-    if sizes == [1]:
-        return statement.select(*carried, F.posexplode(id_runs(text)).alias("start", "text"))
-    pieces = statement.select(*carried, id_pieces(text).alias("pieces"))
-    spans = None
-    for size in sizes:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size("pieces")),
-            lambda i: i + size <= F.size("pieces"),
-        )
-        part = (
-            pieces.select(*carried, "pieces", F.explode(starts).alias("start"))
-            .withColumn("end", F.col("start") + size)
-            .select(
-                *carried,
-                "start",
-                "end",
-                F.array_join(F.slice("pieces", F.col("start") + 1, size), "").alias("text"),
-                _is_run(F.get("pieces", F.col("start") - 1)).alias("run_before"),
-                _is_run(F.get("pieces", F.col("end"))).alias("run_after"),
-                F.lit(size).alias("n_pieces"),
-            )
-        )
-        spans = part if spans is None else spans.unionByName(part)
-    return spans
+def _plausible(piece: Column, shape) -> Column:
+    """Whether a run of a text can be one of the plain identifiers."""
+    fits = F.length(piece).between(F.lit(shape.shortest or 0), F.lit(shape.longest or 0))
+    return fits & piece.rlike("[0-9]") if shape.has_digit else fits
 
 
 def _is_run(piece: Column) -> Column:
@@ -72,34 +52,55 @@ def _is_run(piece: Column) -> Column:
 
 
 def found_ids(ledger: DataFrame, statement: DataFrame) -> DataFrame:
-    """All identifier occurrences per statement row, compared without case."""
+    """All identifier occurrences per statement row, compared without case.
+
+    Texts are cut once. In a run of plain identifiers every text run is looked
+    up as it is. In a run that has others, a piece is looked up among the first
+    pieces of identifiers, and only the lengths that go on from there are
+    spelled out and compared: a tree of two levels, spread by first piece.
+    """
     spelled = _spelled_ids(ledger)
     shape = _id_shape(spelled)
-    sizes = list(shape.sizes)
-    if not sizes:
-        sizes = [1]
-    spans = _text_spans(statement, sizes).withColumn("id_key", F.upper("text"))
-    plausible = F.length("id_key").between(
-        F.lit(shape.shortest), F.lit(shape.longest)
+    text = F.coalesce("description", F.lit(""))
+    known = spelled.groupBy("run_id", "id_key", "n_pieces").agg(F.min("row_ord").alias("id_ord"))
+    if not shape.any_odd:
+        runs = statement.select(*_CARRIED, F.posexplode(id_runs(text)).alias("start", "text"))
+        return (
+            runs.withColumn("id_key", F.upper("text")).where(_plausible(F.col("id_key"), shape))
+            .join(known, ["run_id", "id_key"]).select(*_CARRIED, "start", "id_key", "text")
+        )
+    odd_runs = spelled.where("odd").select("run_id", F.lit(True).alias("odd")).distinct()
+    marked = statement.join(odd_runs, "run_id", "left").select(
+        *_CARRIED, F.coalesce("odd", F.lit(False)).alias("odd"), text.alias("whole")
+    )
+    parts = F.when(F.col("odd"), id_pieces(F.col("whole"))).otherwise(id_runs(F.col("whole")))
+    starts = (
+        marked.select(*_CARRIED, "odd", parts.alias("parts"))
+        .select(*_CARRIED, "odd", F.when(F.col("odd"), F.col("parts")).alias("pieces"), F.posexplode("parts").alias("start", "piece"))
+        .withColumn("first", F.upper("piece"))
+        .where(F.col("odd") | _plausible(F.col("first"), shape))
     )
-    if shape.has_digit:
-        plausible &= F.col("id_key").rlike("[0-9]")
-    spans = spans.where(plausible)
-    carried = ["run_id", "row_ord", "bank_ref", "net_amount"]
-    if sizes == [1]:
-        known = spelled.select("run_id", "id_key").distinct()
-        return spans.join(known, ["run_id", "id_key"]).select(
-            *carried, "start", "id_key", "text"
+    branches = spelled.groupBy("run_id", "first").agg(F.collect_set("n_pieces").alias("sizes"))
+    end = F.col("start") + F.col("n_pieces")
+    spans = (
+        starts.join(branches, ["run_id", "first"])
+        .select("*", F.explode("sizes").alias("n_pieces"))
+        .where(~F.col("odd") | (end <= F.size("pieces")))
+        .select(
+            *_CARRIED, "odd", "start", "n_pieces", end.alias("end"),
+            F.when(F.col("odd"), F.array_join(F.slice("pieces", F.col("start") + 1, F.col("n_pieces")), ""))
+            .otherwise(F.col("piece")).alias("text"),
+            _is_run(F.get("pieces", F.col("start") - 1)).alias("run_before"),
+            _is_run(F.get("pieces", end)).alias("run_after"),
         )
-    known = spelled.groupBy("run_id", "id_key", "n_pieces").agg(
-        F.min("row_ord").alias("id_ord")
+        .withColumn("id_key", F.upper("text"))
     )
     hits = (
         spans.join(known, ["run_id", "id_key", "n_pieces"])
         .where(~(F.col("run_before") & ~F.col("id_key").rlike(f"^{ID_CHAR}")))
         .where(~(F.col("run_after") & ~F.col("id_key").rlike(f"{ID_CHAR}$")))
     )
-    return _without_overlaps(hits, carried)
+    return _without_overlaps(hits, _CARRIED)
 
 
 def _without_overlaps(hits: DataFrame, carried: list[str]) -> DataFrame:

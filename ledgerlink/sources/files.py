@@ -29,8 +29,12 @@ def _paths(path: str | list[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-# Date styles that are read besides ISO dates and timestamps, tried in this order.
-DATE_STYLES = ("yyyy/M/d", "M/d/yyyy", "MMM d, yyyy", "MMM d yyyy", "d MMM yyyy", "d-MMM-yyyy")
+# Date styles that are read besides ISO dates and timestamps, tried in this order:
+# the month comes first where both orders make a date, the day where only that one does.
+DATE_STYLES = (
+    "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "M.d.yyyy", "d.M.yyyy", "yyyy.M.d", "MMM d, yyyy",
+    "MMM d yyyy", "d MMM yyyy", "d-MMM-yyyy", "MMMM d, yyyy", "MMMM d yyyy", "d MMMM yyyy",
+)
 _CORRUPT = "_malformed"
 
 

@@ -5,6 +5,7 @@ from ledgerlink.operators.exact import (
     exact_false_positives,
     exact_matches,
     extracted_ids,
+    found_ids,
     unresolved_ledger,
     unresolved_statement,
 )
@@ -114,3 +115,28 @@ def test_false_positives_and_duplicates(spark, ledger, statement):
     assert [(r.erp_id, r.bank_ref, r.description) for r in wrong] == [("A-2", "B1", "A-2")]
     twice = duplicate_keys(led, st).collect()
     assert [(r.dataset, r.record_id, r.n_rows) for r in twice] == [("erp", "A-2", 2)]
+
+
+def test_ids_of_many_sizes_take_one_scan(spark, ledger, statement):
+    """Fifty numbers of pieces, beside a run of plain identifiers only."""
+    known = ["/".join(f"p{n}x{k}" for k in range(n)) for n in range(1, 51)]
+    texts = [f"for {k}, paid" for k in known] + [f"{k}/" for k in known[:3]] + ["p50x0/p50x1", "X" + known[4], "//"]
+    led = ledger([(k, DAY, "m", 10, "INR", 0) for k in [*known, "//"]], "odd").unionByName(
+        ledger([(f"A-{i}", DAY, "m", 10, "INR", 0) for i in range(9)], "plain")
+    )
+    bank = statement([(f"B{n}", DAY, t, 10, 0) for n, t in enumerate(texts)], "odd").unionByName(
+        statement([(f"C{i}", DAY, f"a-{i} and / p1x0", 10, 0) for i in range(12)], "plain")
+    )
+    rows = extracted_ids(led, bank)
+    got = {(r.run_id, r.row_ord): r.id_text for r in rows.collect()}
+    want = {("odd", n): k for n, k in enumerate(known)} | {("odd", 50 + n): known[n] for n in range(3)}
+    want |= {("odd", 55): "//"} | {("plain", i): f"a-{i}" for i in range(9)}
+    assert got == want
+    plan = found_ids(led, spark.createDataFrame(bank.collect(), bank.schema).repartition(3))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") + plan.count("Repartition ") == 1
+
+
+def test_hot_first_piece(ledger, statement):
+    known = [f"INV/{i}" for i in range(40)] + ["INV", "INV/7/x"]
+    found = ids(ledger, statement, known, [f"INV/{i}" for i in range(40)] + ["INV/7/x", "INV 9"])
+    assert found == {**{i: f"INV/{i}" for i in range(40)}, 40: "INV/7", 41: "INV"}

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
 from ledgerlink.operators import audit, evaluate, metrics
@@ -360,3 +361,13 @@ def test_bad_jobs_do_not_stop_a_good_one(spark, tmp_path):
     assert good.user_id == "u-good" and good.erp_key.endswith(files.LEDGER_FILE)
     assert record["matched_count"] == 3 and record["duration_ms"] > 0 and record["report_uri"].endswith("run_id=good")
     assert files.read_matched_report(spark, record["report_uri"]).count() == 3
+
+
+@pytest.mark.parametrize("text, found", [
+    ("15/01/2024", "2024-01-15"), ("01/15/2024", "2024-01-15"), ("02/03/2024", "2024-02-03"), ("31-12-2023", "2023-12-31"),
+    ("15.1.2024", "2024-01-15"), ("2024.1.15", "2024-01-15"), ("15 January 2024", "2024-01-15"), ("March 3, 2024", "2024-03-03"),
+    ("32/01/2024", None), ("13/13/2024", None), ("", None), (None, None),
+])
+def test_days_and_months_in_either_order(spark, text, found):
+    row = spark.createDataFrame([(text,)], "t string").select(files.day(F.col("t")).cast("string")).first()
+    assert row[0] == found
