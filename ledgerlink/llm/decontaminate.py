@@ -99,42 +99,64 @@ def _scanned_by_join(words: DataFrame, grams: DataFrame, lengths: list[int]) ->
     return words.select("doc_id", F.size("words").alias("n_words")).join(hits, "doc_id", "left")
 
 
+def _scanned(
+    docs: DataFrame, benchmark: DataFrame, window: int, broadcast_windows: int
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_words, hits) of every document with the hits by hash, and the benchmark's windows."""
+    grams = saved(item_windows(benchmark, window), "grams")
+    sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.countDistinct("hash").alias("n")).collect()}
+    words = keyed_texts(docs).select("doc_id", contract_words(F.col("text")).alias("words"))
+    hashed = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    if sum(sizes.values()) <= broadcast_windows:
+        sets: dict[int, list[int]] = {n: [] for n in sizes or [window]}
+        for row in grams.select("length", "hash").distinct().collect():
+            sets[row["length"]].append(row["hash"])
+        return saved(_scanned_by_set(hashed, sets), "scanned"), grams
+    return saved(_scanned_by_join(hashed, grams, sorted(sizes)), "scanned"), grams
+
+
+def _confirmed(scanned: DataFrame, grams: DataFrame) -> DataFrame:
+    """(doc_id, pos, length, gram) of the hits whose words are the benchmark's, however many items hold them."""
+    return (
+        scanned.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.pos", "h.length", "h.gram")
+        .join(grams.select("length", "gram").distinct(), ["length", "gram"], "left_semi")
+    )
+
+
+def _with_positions(scanned: DataFrame, confirmed: DataFrame) -> DataFrame:
+    hits = confirmed.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "length")).alias("hits"))
+    return scanned.select("doc_id", "n_words").join(hits, "doc_id", "left")
+
+
 def hit_spans(
     docs: DataFrame,
     benchmark: DataFrame,
     window: int = WINDOW,
     broadcast_windows: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
-    """(doc_id, n_words, hits) of every document; hits are (pos, length, item_ids), perhaps null.
+    """(doc_id, n_words, hits) of every document; hits are (pos, length), null if there are none.
 
     Every hit of the hash set is compared with the benchmark's words before it
-    counts. Documents without id are left out here; repeated ids are one document.
+    counts. A document's hits are at most its words times the window's length, as
+    no item ids travel with them. Documents without id are left out here; repeated ids
+    are one document.
     """
-    grams = saved(item_windows(benchmark, window), "grams")
-    sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.countDistinct("hash").alias("n")).collect()}
-    texts = keyed_texts(docs)
-    words = texts.select("doc_id", contract_words(F.col("text")).alias("words"))
-    hashed = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    if not sizes:
-        return words.select(
-            "doc_id", F.size("words").alias("n_words"),
-            F.lit(None).cast("array<struct<pos:int,length:int,item_ids:array<bigint>>>").alias("hits"),
-        )
-    if sum(sizes.values()) <= broadcast_windows:
-        sets: dict[int, list[int]] = {}
-        for row in grams.select("length", "hash").distinct().collect():
-            sets.setdefault(row["length"], []).append(row["hash"])
-        scanned = saved(_scanned_by_set(hashed, sets), "scanned")
-    else:
-        scanned = saved(_scanned_by_join(hashed, grams, sorted(sizes)), "scanned")
-    items = grams.groupBy("length", "gram").agg(F.collect_set("item_id").alias("item_ids"))
-    confirmed = (
-        scanned.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
-        .join(items, ["length", "gram"])
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("pos", "length", "item_ids")).alias("hits"))
+    scanned, grams = _scanned(docs, benchmark, window, broadcast_windows)
+    return _with_positions(scanned, _confirmed(scanned, grams))
+
+
+def hit_items(confirmed: DataFrame, grams: DataFrame) -> DataFrame:
+    """(doc_id, item_ids): the sorted ids, as text, of the items that a document holds windows of.
+
+    Windows meet items as rows, each window of a document once; only the
+    distinct ids of one document are listed.
+    """
+    return (
+        confirmed.select("doc_id", "length", "gram").distinct()
+        .join(grams.select("length", "gram", F.col("item_id").cast("string").alias("item_id")), ["length", "gram"])
+        .select("doc_id", "item_id").distinct()
+        .groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"))
     )
-    return scanned.select("doc_id", "n_words").join(confirmed, "doc_id", "left")
 
 
 def covered_positions(hits: Column) -> Column:
@@ -144,22 +166,27 @@ def covered_positions(hits: Column) -> Column:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    broadcast_windows: int = BROADCAST_WINDOWS,
+) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated.
 
     Null and empty texts have no words; a document without id is returned as
     uncontaminated, with its words counted. An empty benchmark hits nothing.
     """
-    spans = hit_spans(docs, benchmark, **how)
-    items = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["item_ids"])))
-    names = F.array_sort(F.transform(items, lambda i: i.cast("string")))
+    scanned, grams = _scanned(docs, benchmark, window, broadcast_windows)
+    confirmed = _confirmed(scanned, grams)
+    spans = _with_positions(scanned, confirmed).join(hit_items(confirmed, grams), "doc_id", "left")
     none = F.col("hits").isNull()
     result = spans.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
         F.when(none, 0).otherwise(F.size(covered_positions(F.col("hits")))).cast("long").alias("n_hit"),
-        F.when(none, 0).otherwise(F.size(items)).cast("long").alias("n_items"),
-        F.sha2(F.when(none, "").otherwise(F.array_join(names, ",")), 256).alias("items_sha256"),
+        F.when(none, 0).otherwise(F.size("item_ids")).cast("long").alias("n_items"),
+        F.sha2(F.when(none, "").otherwise(F.array_join("item_ids", ",")), 256).alias("items_sha256"),
         (~none).alias("contaminated"),
     )
     without_id = docs.where(F.col("doc_id").isNull()).select(
