@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from ledgerlink.llm.byte_bpe import LARGEST_FILE, REMEMBERED, small_batches
 
@@ -34,12 +35,14 @@ class TokenCounter:
 
     def __init__(self, file: bytes, pattern: str):
         self._tokenizer = Tokenizer.from_str(file.decode())
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
         self._known: dict[str, int] = {}
         added = list(self._tokenizer.get_added_tokens_decoder().values())
         plain = all(not (a.lstrip or a.rstrip or a.single_word or a.normalized) for a in added)
-        described = self._tokenizer.to_str()
-        byte_level = re.search(r'"pre_tokenizer":\s*\{"type":"ByteLevel","add_prefix_space":false,[^}]*"use_regex":true', re.sub(r'\s*([:{},])\s*', r"\1", described[:4000]))
-        self._by_parts = bool(plain and byte_level and '"normalizer":null' in re.sub(r"\s", "", described[:4000]))
+        cut = self._tokenizer.pre_tokenizer
+        byte_level = isinstance(cut, ByteLevel) and not cut.add_prefix_space and cut.use_regex
+        self._by_parts = bool(plain and byte_level and self._tokenizer.normalizer is None)
         self._split = regex.compile(pattern).findall
         names = sorted((a.content for a in added), key=len, reverse=True)
         self._cut = re.compile("|".join(map(re.escape, names))).split if names else lambda text: [text]
