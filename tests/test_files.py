@@ -220,6 +220,25 @@ def test_intake_stream(spark, tmp_path):
     assert [r.retry_count for r in retries] == [0, 1]
 
 
+def test_broken_compressed_file_and_failing_job_beside_a_good_one(spark, tmp_path):
+    requests, out = tmp_path / "requests", str(tmp_path / "out")
+    good, torn = tmp_path / "good", tmp_path / "torn"
+    for folder in (good, torn):
+        write(folder / files.LEDGER_FILE, LEDGER_HEADER, text(ERP))
+        write(folder / files.STATEMENT_FILE, BANK_HEADER, text(BANK))
+    (torn / files.LEDGER_FILE).unlink()
+    (torn / files.LEDGER_FILE).mkdir()
+    (torn / files.LEDGER_FILE / "part-0.csv.gz").write_bytes(b"\x1f\x8b\x08\x00 no stream at all" * 9)
+    request(good, requests, "j-good")
+    request(torn, requests, "j-torn")
+    request(good, requests, "j-scheme", erp=f"nosuch://host/{files.LEDGER_FILE}")
+    start_intake(spark, str(requests), out, str(tmp_path / "checkpoint")).awaitTermination()
+    latest = {r.job_id: r.status for r in audit.job_status_latest(spark.read.parquet(f"{out}/job_status")).collect()}
+    assert latest == {"j-good": "success", "j-torn": "failed", "j-scheme": "failed"}
+    letters = {r.job_id: r.error_message for r in spark.read.parquet(f"{out}/failed_jobs").collect()}
+    assert set(letters) == {"j-torn", "j-scheme"} and all(letters.values())
+
+
 def test_intake_gate(spark):
     listed = spark.createDataFrame(
         [("s3://b/x/erp_ledger.csv", 5), ("/y/erp_ledger.csv", 50), ("/y/ledger.csv", 5)],
