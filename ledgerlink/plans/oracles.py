@@ -695,6 +695,15 @@ def stream_intake_sql() -> str:
     return " UNION ALL ".join(jobs)
 
 
+def comparison_roundtrip_sql() -> str:
+    """As the comparison of figures, of rounded summaries."""
+    sides = [f"({_with(_evaluated(fold), 'SELECT metric, round(value, 2) AS value FROM figures')})" for fold in (False, True)]
+    return (
+        "SELECT metric, a.value AS first_value, b.value AS second_value, b.value - a.value AS difference"
+        f" FROM {sides[0]} a JOIN {sides[1]} b USING (metric)"
+    )
+
+
 INTAKE_GATE = """
 WITH named AS (
   SELECT page_id, strlen(html) AS n, CASE WHEN contains(url, '.html') THEN 'erp_ledger.csv'
@@ -722,7 +731,20 @@ def _derived(built: dict[str, str]) -> dict[str, str]:
     b = _ORDERS.index(" AS description,", a)
     crowded = _ORDERS.replace(_ORDERS[a:b], "    'shop' || (k + k % 3) % 20 || ' x'")
     crowded = crowded.replace("shop || ' Pvt Ltd' AS merchant", "'shop' || k % 20 AS merchant")
+    ratios = ", ".join(f"round({c}, 2) AS {c}" for c in ("precision", "recall", "f1"))
     return {
+        "log_array_roundtrip": built["decision_log"],
+        "summary_roundtrip": _with(
+            evaluated,
+            f"SELECT category, {ratios}, tp, fp, fn FROM cat_prf"
+            f" UNION ALL SELECT 'true_exception', {ratios}, tp, fp, fn FROM exc_prf",
+        ),
+        "report_or_none": _with(
+            evaluated,
+            "SELECT 'written' AS source, 'reconciled_report' AS product, n_matched AS n_rows FROM totals"
+            " UNION ALL SELECT 'written', 'exceptions_list', n_exc FROM totals"
+            " UNION ALL VALUES ('absent', 'reconciled_report', 0), ('absent', 'exceptions_list', 0)",
+        ),
         "top_k_candidates_hot": _with(_top().replace(_ORDERS, crowded), f"{_PAIR_COLUMNS} FROM top"),
         "evaluator_columns": built["evaluator_plugin"],
         "evaluator_batches": built["evaluator_plugin"],
@@ -740,13 +762,26 @@ def _derived(built: dict[str, str]) -> dict[str, str]:
     }
 
 
+def missing_columns_sql() -> str:
+    """Of three jobs the first is a run over its orders; the others are refused."""
+    ctes = _final().replace("FROM orders)", "FROM orders WHERE (o_orderkey // 2) % 3 = 0)")
+    whole = _with(ctes, "SELECT 'job-0' AS job_id, 'success' AS status, '' AS error_message, count(*) AS n_pairs FROM matched")
+    return (
+        f"SELECT * FROM ({whole}) UNION ALL VALUES"
+        " ('job-1', 'failed', 'Dataset A is missing required columns: amount, erp_id', 0),"
+        " ('job-2', 'failed', 'Dataset B is missing required columns: net_amount', 0)"
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     built = _build()
     return {
         **built,
         **_derived(built),
         "metric_comparison": metric_comparison_sql(),
+        "comparison_roundtrip": comparison_roundtrip_sql(),
         "stream_intake": stream_intake_sql(),
+        "missing_columns": missing_columns_sql(),
         "intake_gate": INTAKE_GATE,
         "dead_letter": DEAD_LETTER,
     }

@@ -23,9 +23,9 @@ from ledgerlink.functions.scoring import (
 from ledgerlink.functions.text import name_tokens, zero_padded
 from ledgerlink.operators import audit, candidates, decide, evaluate, exact, metrics
 from ledgerlink.operators.assign import greedy_assignment
-from ledgerlink.plans.evaluation import evaluate_artifacts
+from ledgerlink.plans.evaluation import compare_summaries, evaluate_artifacts
 from ledgerlink.plans.reconcile import ReconResult, reconcile
-from ledgerlink.schemas import MONEY, TRUTH
+from ledgerlink.schemas import DECISION_LOG, MONEY, TRUTH
 from ledgerlink.session import checkpoint_folder, cut_lineage
 from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming.intake import REQUEST_SCHEMA, start_intake
@@ -696,13 +696,21 @@ def metric_comparison(spark, sf_dir):
     return evaluate.metric_comparison(both, "as_written", "folded")
 
 
-def _products(spark, sf_dir) -> str:
+def _products(spark, sf_dir, fold_case: bool = False) -> str:
     """All products of the run, written."""
     folder = _scratch(spark, "products")
-    sinks.write_all(_pipeline(spark, sf_dir), folder, runs=[derived.DERIVED_RUN])
+    sinks.write_all(_pipeline(spark, sf_dir, fold_case), folder, runs=[derived.DERIVED_RUN])
     return folder
 
 
+def _summary(spark, sf_dir, fold_case: bool = False) -> DataFrame:
+    """The evaluation summary of the written products."""
+    return evaluate_artifacts(
+        spark, _products(spark, sf_dir, fold_case), _truth(spark, sf_dir),
+        derived.derived_truth_exceptions(spark, sf_dir),
+    )
+
+
 @query
 def report_roundtrip(spark, sf_dir):
     """The matched report written and read back."""
@@ -736,10 +744,7 @@ def metrics_roundtrip(spark, sf_dir):
 @query
 def artifact_summary(spark, sf_dir):
     """One call from written artifacts and truth to the evaluation summary, flattened."""
-    summary = evaluate_artifacts(
-        spark, _products(spark, sf_dir), _truth(spark, sf_dir), derived.derived_truth_exceptions(spark, sf_dir)
-    )
-    return summary.select(
+    return _summary(spark, sf_dir).select(
         *[F.col(f"overall.{c}").alias(f"overall_{c}") for c in ("precision", "recall", "f1", "accuracy", "tp", "fp", "fn")],
         F.col("category_metrics")["true_exception"]["f1"].alias("exception_f1"),
         F.col("throughput_breakdown.deterministic_matches_count").alias("exact_matches"),
@@ -750,6 +755,55 @@ def artifact_summary(spark, sf_dir):
     )
 
 
+@query
+def summary_roundtrip(spark, sf_dir):
+    """The categories of the evaluation summary, written and read back."""
+    summary, folder = _summary(spark, sf_dir), _scratch(spark, "summary")
+    sinks.write_summary(summary, folder, [derived.DERIVED_RUN])
+    stored = spark.read.schema(summary.schema).json(f"{folder}/{sinks.SUMMARY}")
+    rows = stored.select("run_id", F.explode("category_metrics").alias("category", "m"))
+    return rows.select("run_id", "category", "m.*")
+
+
+@query
+def comparison_roundtrip(spark, sf_dir):
+    """Two runs' summaries compared, written and read back; all figures but the time."""
+    folder = _scratch(spark, "comparison")
+    named = [
+        _summary(spark, sf_dir, fold).withColumn("run_id", F.lit(name))
+        for fold, name in ((False, "as_written"), (True, "folded"))
+    ]
+    compared = compare_summaries(named[0].unionByName(named[1]), "as_written", "folded")
+    sinks.write_comparison(compared, folder)
+    stored = spark.read.schema(compared.schema).json(f"{folder}/{sinks.COMPARISON}")
+    return stored.select(F.inline("comparison")).where("metric <> 'total_time_seconds'")
+
+
+@query
+def report_or_none(spark, sf_dir):
+    """Rows of the report and exceptions of a run, and of a folder that no run wrote."""
+    parts = []
+    for source, folder in (("written", _products(spark, sf_dir)), ("absent", _scratch(spark, "nothing"))):
+        for product, read in ((sinks.REPORT, files.read_matched_report), (sinks.EXCEPTIONS, files.read_exceptions)):
+            rows = read(spark, f"{folder}/{product}", None)
+            parts.append(rows.agg(F.count("*").alias("n_rows")).select(
+                F.lit(source).alias("source"), F.lit(product).alias("product"), "n_rows"
+            ))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query
+def log_array_roundtrip(spark, sf_dir):
+    """The decision log as JSON arrays of 5000 ledger rows each, read back."""
+    folder, log = _scratch(spark, "arrays"), _pipeline(spark, sf_dir).log
+    fields = [F.col(c) for c in DECISION_LOG.fieldNames()]
+    arrays = log.groupBy(F.floor(F.col("erp_ord") / 5000).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*fields))).alias("value")
+    )
+    arrays.write.partitionBy("part").text(folder)
+    return files.read_decision_log(spark, folder, None).drop("part", "erp_ord")
+
+
 # --- Audit, intake and streaming ------------------------------------------------
 
 
@@ -820,11 +874,14 @@ def intake_gate(spark, sf_dir):
     return files.intake_gate(pages, (files.LEDGER_FILE, files.STATEMENT_FILE), 2000)
 
 
-def _streamed(spark, sf_dir, name: str, n_jobs: int, broken: bool = False) -> str:
+def _streamed(
+    spark, sf_dir, name: str, n_jobs: int, broken: bool = False, lacking: dict[int, tuple[str, ...]] | None = None
+) -> str:
     """Run jobs derived from the orders through the intake stream.
 
     When ``broken``, job 1 has a bad amount, job 2 a wrong key and job 3 taxes
-    and fees of more decimals than money has.
+    and fees of more decimals than money has. ``lacking`` names columns that the
+    files of a job do without.
     """
     folder = _scratch(spark, name)
     for file, rows, amount, extra in (
@@ -840,7 +897,7 @@ def _streamed(spark, sf_dir, name: str, n_jobs: int, broken: bool = False) -> st
         rows = rows.withColumn("job", job).withColumn(amount, text)
         for number in range(n_jobs):
             part = rows.where(F.col("job") == number).orderBy("row_ord")
-            part = part.drop("job", "run_id", "row_ord")
+            part = part.drop("job", "run_id", "row_ord", *(lacking or {}).get(number, ()))
             part.write.option("header", True).csv(f"{folder}/job-{number}/{file}")
     wrong = "/ledger.csv" if broken else f"/{files.LEDGER_FILE}"
     requests = [
@@ -870,6 +927,25 @@ def stream_intake(spark, sf_dir):
     )
 
 
+def _latest_status(spark, out: str) -> DataFrame:
+    events = spark.read.schema(
+        "job_id string, ts timestamp, seq int, status string, error_message string"
+    ).parquet(f"{out}/job_status")
+    return audit.job_status_latest(events)
+
+
+@query
+def missing_columns(spark, sf_dir):
+    """Jobs of a stream of which two lack columns, with what each job matched."""
+    out = _streamed(spark, sf_dir, "columns", 3, lacking={1: ("erp_id", "amount"), 2: ("net_amount",)})
+    report = spark.read.option("header", True).csv(f"{out}/{sinks.REPORT}")
+    pairs = report.groupBy(F.col("run_id").alias("job_id")).agg(F.count("*").alias("n_pairs"))
+    return _latest_status(spark, out).join(pairs, "job_id", "left").select(
+        "job_id", "status", F.coalesce("error_message", F.lit("")).alias("error_message"),
+        F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"),
+    )
+
+
 @query
 def dead_letter(spark, sf_dir):
     """The jobs of a stream in which three of four have bad input."""
@@ -877,10 +953,7 @@ def dead_letter(spark, sf_dir):
     letters = spark.read.schema(
         "job_id string, payload string, error_message string, retry_count int"
     ).parquet(f"{out}/failed_jobs")
-    events = spark.read.schema(
-        "job_id string, ts timestamp, seq int, status string, error_message string"
-    ).parquet(f"{out}/job_status")
-    latest = audit.job_status_latest(events).select("job_id", "status")
+    latest = _latest_status(spark, out).select("job_id", "status")
     return latest.join(letters.select("job_id", "error_message", "retry_count"), "job_id", "left").select(
         "job_id",
         "status",
