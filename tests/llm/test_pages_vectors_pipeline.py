@@ -137,11 +137,11 @@ def test_a_component_larger_than_a_cell(spark, monkeypatch):
     assert got == plain_links(rows)
 
 
-def alike(seed, pairs, size):
-    """Twice as many unit vectors, of mean cosine 0.7; each links with one other at a cosine of just over 0.98."""
+def alike(seed, pairs, size, mean=0.7):
+    """Twice as many unit vectors, of that mean cosine; each links with one other at a cosine of just over 0.98."""
     rng = np.random.default_rng(seed)
     unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
-    first = unit(np.sqrt(0.7) * np.eye(size)[0] + np.sqrt(0.3) * unit(rng.normal(size=(pairs, size))))
+    first = unit(np.sqrt(mean) * np.eye(size)[0] + np.sqrt(1 - mean) * unit(rng.normal(size=(pairs, size))))
     aside = rng.normal(size=first.shape)
     aside = unit(aside - (aside * first).sum(axis=1, keepdims=True) * first)
     return np.float32(np.stack([first, 0.981 * first + np.sqrt(1 - 0.981**2) * aside], axis=1).reshape(-1, size))
@@ -161,8 +161,9 @@ def test_copies_of_vectors_do_not_fill_the_window(spark):
     assert len(got) == 60 * len(vectors) and all(got[i * 60 + k] == n for i, n in enumerate(links) for k in (0, 59))
 
 
-def test_recall_in_a_hot_label_of_like_vectors(spark):
-    vectors = alike(7, 15_000, 48)
+@pytest.mark.parametrize(("mean", "pairs"), [(0.7, 15_000), (0.95, 5_000)])
+def test_recall_in_a_hot_label_of_like_vectors(spark, mean, pairs):
+    vectors = alike(7, pairs, 48, mean)
     rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int").repartition(8)
     got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(rows).collect()}
     queries = range(0, len(vectors), 20)
@@ -172,6 +173,39 @@ def test_recall_in_a_hot_label_of_like_vectors(spark):
     assert links.sum() >= len(queries) and recall > 0.995
 
 
+def test_labels_too_alike_for_passes_are_compared_wholly(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, np.float32(np.ones(6) * 3 + rng.normal(size=6) * (0.45 if i < 900 else 0.05)).tolist(), int(i < 900)) for i in range(960)]
+    assert embedding_dedup.passes_for(900, 0.98, window=2) == 0
+    monkeypatch.setattr(embedding_dedup, "_CELL", 128)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    seen = []
+    whole = embedding_dedup._whole_links
+    monkeypatch.setattr(embedding_dedup, "_whole_links", lambda vectors, cosine: seen.append(vectors.count()) or whole(vectors, cosine))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_vectors(frame, passes=1, window=2).collect()}
+    assert got == plain_links(rows) and seen and seen[0] >= 900
+
+
+def test_short_vectors_stay_within_their_slack():
+    rng = np.random.default_rng(9)
+    for size in (1, 2, 16, 300):
+        v = rng.normal(size=(400, size)) * 10.0 ** rng.integers(-3, 3, size=(400, 1))
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        short = np.rint(unit * embedding_dedup._SCALE) / embedding_dedup._SCALE
+        assert np.abs(unit @ unit.T - short @ short.T).max() <= embedding_dedup.slack_of(size)
+
+
+def test_a_forest_holds_what_all_links_hold():
+    rng = np.random.default_rng(10)
+    unit = rng.normal(size=(300, 3))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for cosine in (0.9, 0.98, 0.999):
+        left, right = embedding_dedup.forest(unit, cosine)
+        every = list(zip(*np.nonzero(np.triu(unit @ unit.T >= cosine, 1)), strict=True))
+        assert brute.groups(range(300), list(zip(left, right, strict=True))) == brute.groups(range(300), every)
+        assert len(set(right)) == len(right) and all(unit[a] @ unit[b] >= cosine for a, b in zip(left, right, strict=True))
+
+
 def test_passes_grow_with_the_label():
     passes = [embedding_dedup.passes_for(n, 0.5) for n in (2, 49, 1000, 10**6, 10**8)]
     assert passes[:2] == [1, 1] and 12 == passes[2] < passes[3] < passes[4]
