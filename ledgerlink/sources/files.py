@@ -225,16 +225,108 @@ def explode_truth(documents: DataFrame, run_id: Column) -> tuple[DataFrame, Data
     return pairs, unmatched("erp", "erp_only").unionByName(unmatched("bank", "bank_only"))
 
 
+def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The objects of files that each hold one JSON array, read by as many tasks as a file has splits.
+
+    A file is cut at its closing braces. Whether a cut lies in a string, and how
+    deep, follows from the quotes and braces before it: those of a split are
+    counted for both cases, then a running total over one row per split tells
+    which case holds. Pieces of an object meet by its number in the file, so it
+    may span splits. Rows are those of Spark's reader of whole documents. A file
+    that is no array, or is cut off, is an error, as are elements that are no objects.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path)
+    folders = [c for c in pieces.columns if c != "value"]
+    tagged = pieces.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    split = ["_file", "_start"]
+    in_split = Window.partitionBy(*split).orderBy("_id")
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    splits_before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+
+    def count(text: Column, letter: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+
+    def total(column, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    # What a piece opens, less its own closing brace, if it begins outside (0) or inside (1) a string.
+    unescaped = F.regexp_replace("value", r"(?s)\\.", "")
+    known = tagged.withColumn("_quotes", count(unescaped, '"'))
+    for case in (0, 1):
+        code = F.regexp_replace(F.concat(F.lit('"' * case), unescaped), r'"[^"]*("|\z)', "")
+        closes = 1 - (F.col("_quotes") + case) % 2
+        known = known.withColumn(f"_from{case}", F.struct((count(code, "{") - closes).alias("step"), (closes == 1).alias("closes")))
+    counted = known.select(
+        *split, "_id", "_quotes", "_from0", "_from1",
+        F.regexp_like("value", F.lit(r"\A\uFEFF?\s*\[")).alias("_opens"),
+        F.regexp_like("value", F.lit(r"\A\uFEFF?\s*\[?\s*\]\s*\z")).alias("_ends"),
+    )
+
+    def of_case(case) -> Column:
+        return F.when(case % 2 == 0, F.col("_from0")).otherwise(F.col("_from1"))
+
+    odd = counted.withColumn("_odd", total("_quotes", earlier) % 2)
+    splits = (
+        odd.groupBy(*split)
+        .agg(
+            F.sum("_quotes").alias("_quotes"),
+            F.sum(of_case(F.col("_odd")).step).alias("_if0"), F.sum(of_case(F.col("_odd") + 1).step).alias("_if1"),
+            F.min_by("_opens", "_id").alias("_opens"), F.max_by("_ends", "_id").alias("_ends"),
+        )
+        .withColumn("_case", total("_quotes", splits_before) % 2)
+        .withColumn("_depth", total(F.when(F.col("_case") == 0, F.col("_if0")).otherwise(F.col("_if1")), splits_before))
+    )
+    whole = splits.groupBy("_file").agg(
+        (F.min_by("_opens", "_start") & F.max_by("_ends", "_start")).alias("_whole")
+    )
+    places = splits.select(*split, "_case", "_depth").join(whole, "_file")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """Rows with the number of objects that end before them in their split, and whether one ends here."""
+        here = of_case(total("_quotes", earlier) + F.col("_case"))
+        return (
+            rows.join(places, split).withColumn("_here", here)
+            .withColumn("_after", F.col("_depth") + F.sum("_here.step").over(so_far))
+            .withColumn("_last", (F.col("_here.closes") & (F.col("_after") == 0)).cast("long"))
+            .withColumn("_at", total("_last", earlier))
+        )
+
+    ended = placed(counted).groupBy(*split).agg(F.sum("_last").alias("_n"))
+    offsets = ended.select(*split, total("_n", splits_before).alias("_offset"))
+    parts = placed(known).join(offsets, split)
+    objects = parts.groupBy("_file", (F.col("_offset") + F.col("_at")).alias("_ord")).agg(
+        F.array_sort(F.collect_list(F.struct("_start", "_id", "value"))).alias("_pieces"),
+        F.max("_last").alias("_complete"), F.first("_whole").alias("_whole"),
+        *[F.first(c).alias(c) for c in folders],
+    )
+    text = F.concat(F.array_join(F.col("_pieces.value"), "}"), F.lit("}"))
+    lead = F.when(F.col("_ord") == 0, r"\A\uFEFF?\s*\[\s*\{").otherwise(r"\A\s*,\s*\{")
+    broken = F.raise_error(F.concat(F.lit("not a whole JSON array of objects: "), F.col("_file"))).cast("string")
+    sound = F.when(F.col("_whole") & ((F.col("_complete") == 0) | F.regexp_like(text, lead)), text).otherwise(broken)
+    body = F.from_json(F.regexp_replace("_text", r"\A[^{]*", ""), schema).alias("_row")
+    read = objects.select(sound.alias("_text"), "_complete", *folders)
+    # Checked before filtering: what is left after the last object is nothing but the closing bracket.
+    return read.where(F.when(F.col("_text").isNotNull(), F.col("_complete") == 1)).select(body, *folders).select("_row.*", *folders)
+
+
 def read_decision_log(
     spark: SparkSession, path: str, run_id: str = DEFAULT_RUN, lines: bool = False
 ) -> DataFrame:
     """A decision log; empty if there is none.
 
-    A log is one JSON array, or one JSON object per line (``lines``), which is
-    how this package writes it and what Spark can read in parallel.
+    A log is one JSON array per file, or one JSON object per line (``lines``),
+    which is how this package writes it. Both are read in parallel.
     """
-    reader = spark.read.schema(DECISION_LOG).option("multiLine", not lines)
-    return _or_empty(spark, lambda: reader.json(path), DECISION_LOG, run_id)
+    def read() -> DataFrame:
+        return spark.read.schema(DECISION_LOG).json(path) if lines else read_json_array(spark, path, DECISION_LOG)
+
+    return _or_empty(spark, read, DECISION_LOG, run_id)
 
 
 def _report_csv(spark: SparkSession, path: str, schema: T.StructType, run_id: str):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
 from ledgerlink.operators import audit, evaluate, metrics
+from ledgerlink.schemas import DECISION_LOG
 from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming.intake import start_intake
 from test_pipeline import BANK, ERP
@@ -105,6 +106,42 @@ def test_decision_log_as_an_array(spark, tmp_path):
     assert [r.erp_id for r in log.orderBy("erp_id").collect()] == ["e0", "e1", "e2"]
 
 
+def _array_of_objects(n):
+    """Objects with braces, quotes, escapes and brackets in strings, nested objects, and one long text."""
+    odd = ['}', '{"', '\\', '\\"}', '[', 'é😀}', '],[', "\n}\t", "", "}" * 40, "x" * 9000]
+    return [
+        {"erp_id": f"e{i}{odd[i % len(odd)]}", "is_match": i % 3 == 0, "confidence_score": i / 7, "reasoning": odd[(i * 5) % len(odd)],
+         "extra": {"a": [{"b": odd[i % 7]}, {}], "c": {}}, "rank": i}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("block", [1 << 10, 1 << 16, 1 << 27])
+def test_an_array_over_many_blocks(spark, tmp_path, indent, block):
+    path = str(tmp_path / "log.json")
+    for name, n in (("log.json", 400), ("other.json", 7), ("none.json", 0)):
+        (tmp_path / name).write_text(json.dumps(_array_of_objects(n), indent=indent, ensure_ascii=indent is None) + " \n")
+    plain = spark.read.schema(DECISION_LOG).option("multiLine", True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        tasks = spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions()
+        assert tasks > 3 or block > 1 << 10
+        for paths in (path, str(tmp_path)):
+            got = files.read_json_array(spark, paths, DECISION_LOG).collect()
+            assert sorted(got, key=str) == sorted(plain.json(paths).collect(), key=str) and len(got) >= 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text", ['[{"rank": 1}, {"rank": 2', '[{"rank": 1}, {"rank": 2}', '{"rank": 1}', '[1, {"rank": 1}]', '[{"rank": 1} {"rank": 2}]', '[{"rank": 1}'])
+def test_broken_arrays_are_errors(spark, tmp_path, text):
+    (tmp_path / "log.json").write_text(text)
+    with pytest.raises(Exception, match="not a whole JSON array of objects"):
+        files.read_json_array(spark, str(tmp_path / "log.json"), DECISION_LOG).collect()
+
+
 def test_absent_reports_are_empty(spark, tmp_path):
     for read in (files.read_matched_report, files.read_exceptions, files.read_decision_log):
         assert read(spark, str(tmp_path / "none")).count() == 0
