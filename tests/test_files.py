@@ -174,6 +174,29 @@ def test_evaluation_summary(spark, tmp_path, ledger, statement):
     assert row.audit_trail_ok is True
 
 
+def test_two_writers_of_a_job_store_each_hash_once(spark, tmp_path):
+    path, columns = str(tmp_path / "audit"), "job_id string, transaction_hash string, decision string, created_at timestamp_ntz"
+    assert audit.unique_rows(spark.createDataFrame([], columns), path, audit.AUDIT_KEY) is None
+
+    def rows(keys, decision, hour):
+        return spark.createDataFrame(
+            [(job, key, decision, None) for job, key in keys], columns
+        ).withColumn("created_at", F.expr(f"timestamp_ntz'2024-01-01 {hour:02}:00:00'"))
+
+    first, second = rows([("j", "a"), ("j", "b"), ("k", "a")], "first", 2), rows([("j", "b"), ("j", "c")], "second", 1)
+    seen = [audit.new_rows(r, path, audit.AUDIT_KEY) for r in (first, second)]
+    for fresh in seen:  # both looked before either wrote
+        audit.write_attempt(fresh, path)
+    audit.append_new(rows([("j", "a"), ("j", "d")], "third", 0), path, audit.AUDIT_KEY)
+    assert audit.stored_rows(first, path).count() == 6
+    got = {(r.job_id, r.transaction_hash): r.decision for r in audit.unique_rows(first, path, audit.AUDIT_KEY).collect()}
+    assert got == {("j", "a"): "first", ("j", "b"): "second", ("j", "c"): "second", ("j", "d"): "third", ("k", "a"): "first"}
+    same = rows([("j", "z")], "x", 3)
+    for _ in range(2):
+        audit.write_attempt(same, path)
+    assert audit.unique_rows(first, path, audit.AUDIT_KEY).where("transaction_hash = 'z'").count() == 1
+
+
 def test_audit_rows_are_appended_once(spark, tmp_path, ledger, statement):
     run = reconcile(ledger(ERP), statement(BANK))
     rows, path = audit.audit_rows(run.pairs, run.exceptions, 5), str(tmp_path / "audit")
