@@ -174,6 +174,17 @@ def test_evaluation_summary(spark, tmp_path, ledger, statement):
     assert row.audit_trail_ok is True
 
 
+def test_only_the_folders_of_the_asked_jobs_are_read(spark, tmp_path):
+    path, odd = str(tmp_path / "status"), ["j", "a b", "a/b:c=d", "50%", "é{x}[y]^*?", 'q"\'#\\', "t\tn\n", "\x7f~!@$&()+,;<>|`"]
+    rows = spark.createDataFrame([(j, i) for i, j in enumerate([*odd, *(f"job-{n}" for n in range(30))])], "job_id string, seq int")
+    assert audit.stored_rows(rows, path, odd) is None
+    rows.write.partitionBy("job_id").parquet(path)
+    stored = audit.stored_rows(rows, path, [*odd, "none"])
+    assert {(r.job_id, r.seq) for r in stored.collect()} == {(j, i) for i, j in enumerate(odd)}
+    assert len(stored.inputFiles()) == len(odd) and len(audit.stored_rows(rows, path).inputFiles()) == len(odd) + 30
+    assert audit.stored_rows(rows, path, ["none"]) is None
+
+
 def test_two_writers_of_a_job_store_each_hash_once(spark, tmp_path):
     path, columns = str(tmp_path / "audit"), "job_id string, transaction_hash string, decision string, created_at timestamp_ntz"
     assert audit.unique_rows(spark.createDataFrame([], columns), path, audit.AUDIT_KEY) is None
