@@ -212,3 +212,40 @@ def test_hot_joins_are_equality_joins(spark, ledger, statement):
     for frame in frames:
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_many_buckets_of_middle_size_are_searched(ledger, statement):
+    """No bucket is hot by itself, yet all together have many pairs a row."""
+    rng = random.Random(21)
+    start = date(2024, 1, 1)
+    cents = lambda: Decimal(rng.randrange(150_000)) / 100
+    erp = [(f"E{i}", start + timedelta(rng.randrange(900)), f"buyer{i}", cents(), "INR", None) for i in range(1200)]
+    bank = [(f"B{i}", start + timedelta(rng.randrange(900)), f"payer{i}", cents(), None) for i in range(1200)]
+    config = ReconConfig(hot_group_rows=60)
+    pairs = candidates.plausible_pairs(
+        candidates.ledger_features(ledger(erp), config), candidates.statement_features(statement(bank), config), config
+    )
+    assert pairs.count() <= 2 * 1200 * config.max_candidates
+    check(ledger, statement, erp, bank, hot_group_rows=60)
+
+
+def test_names_count_among_the_pairs_of_a_searched_band(ledger, statement):
+    rng = random.Random(22)
+    start = date(2024, 1, 1)
+    names = [f"name{i}" for i in range(12)]
+    erp = [(f"E{i}", start, rng.choice(names), Decimal(rng.randrange(9000)) / 100, "INR", None) for i in range(80)]
+    bank = [(f"B{i}", start, rng.choice(names), Decimal(rng.randrange(9000)) / 100, None) for i in range(80)]
+    config = ReconConfig(hot_group_rows=3)
+    pairs = candidates.plausible_pairs(
+        candidates.ledger_features(ledger(erp), config), candidates.statement_features(statement(bank), config), config,
+        (candidates.BAND,),
+    )
+    got = {(r.erp_ord, r.bank_ord, r["rank"], r.overlap) for r in candidates.rank_pairs(pairs, 2).collect()}
+    want = set()
+    for e, (_, _, name, amount, _, _) in enumerate(erp):
+        near = sorted(
+            (-((n == name) * 0.55 + 1 / (1 + float(abs(amount - net))) * 0.30), b, int(n == name))
+            for b, (_, _, n, net, _) in enumerate(bank) if abs(amount - net) <= 50
+        )[:2]
+        want |= {(e, b, r + 1, same) for r, (_, b, same) in enumerate(near)}
+    assert got == want
