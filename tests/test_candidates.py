@@ -249,3 +249,17 @@ def test_names_count_among_the_pairs_of_a_searched_band(ledger, statement):
         )[:2]
         want |= {(e, b, r + 1, same) for r, (_, b, same) in enumerate(near)}
     assert got == want
+
+
+def test_rows_that_repeat_a_record_are_searched_as_one(ledger, statement):
+    rng = random.Random(23)
+    start = date(2024, 1, 1)
+    erp = [(f"E{i}", start + timedelta(i % 5), "common", Decimal(rng.randrange(900)), "INR", None) for i in range(20)]
+    bank = [(f"B{i}", start + timedelta(i % 7), "common", Decimal(rng.randrange(900)), None) for i in range(40)]
+    twice = statement(bank).unionByName(statement(bank).where("row_ord % 9 = 0"))
+    found = [
+        {tuple(r) for r in top_candidates(ledger(erp), twice, ReconConfig(hot_group_rows=hot)).select("erp_ord", "bank_ord", "rank").collect()}
+        for hot in (5, 1000)
+    ]
+    assert found[0] == found[1]
+    assert {r for r in found[0] if r[2] <= 2} == brute_force(erp, bank, 2, False)
