@@ -263,3 +263,16 @@ def test_rows_that_repeat_a_record_are_searched_as_one(ledger, statement):
     ]
     assert found[0] == found[1]
     assert {r for r in found[0] if r[2] <= 2} == brute_force(erp, bank, 2, False)
+
+
+def test_a_key_hands_on_its_best_pairs_only(spark, ledger, statement):
+    config = ReconConfig(max_candidates=2)
+    erp = candidates.ledger_features(ledger([("E", "2024-01-01", "alpha beta", 100, "INR", 0)]), config)
+    rows = [(f"B{i}", "2024-01-01", "alpha" if i % 2 else "beta", 100 + i, 0) for i in range(40)]
+    bank = candidates.statement_features(statement(rows), config)
+    keyed = [candidates._keyed(side, tokens, amount, 0, ("t",)) for side, tokens, amount in (
+        (erp, "erp_tokens", "gross"), (bank, "bank_tokens", "settled")
+    )]
+    nothing = spark.createDataFrame([], "run_id string, key string")
+    pairs = candidates._paired_or_searched(erp, bank, *keyed, nothing, config)
+    assert sorted(r.bank_ord for r in pairs.collect()) == [0, 1, 2, 3]

@@ -35,6 +35,12 @@ def run(ledger, statement):
     return reconcile(ledger(ERP), statement(BANK))
 
 
+def test_pairs_and_exceptions_are_computed_once(run):
+    for rows in (run.pairs, run.exceptions):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_matches(run):
     got = {(r.erp_id, r.bank_ref, r.match_type, r.source) for r in run.matched.collect()}
     assert got == {
