@@ -208,6 +208,24 @@ def test_two_writers_of_a_job_store_each_hash_once(spark, tmp_path):
     assert audit.unique_rows(first, path, audit.AUDIT_KEY).where("transaction_hash = 'z'").count() == 1
 
 
+def test_hashes_are_shuffled_as_bytes_and_read_back_as_they_were(spark):
+    texts = ["ab" * 32, "AB" * 32, "ab", "abc", "ab\n", "h\u00ab", "t", "", "\u00e9", None]
+    rows = spark.createDataFrame([("j", t) for t in texts], "job_id string, transaction_hash string")
+    packed = audit._packed(rows)
+    assert packed.select("transaction_hash").distinct().count() == len(texts)
+    assert packed.where(F.octet_length("transaction_hash") == 33).count() == 1
+    assert {r.transaction_hash for r in audit._unpacked(packed).collect()} == set(texts)
+
+
+def test_rows_known_to_be_unique_are_not_shuffled_to_find_repeats(spark, tmp_path):
+    rows = spark.createDataFrame([("j", "a"), ("j", "b")], "job_id string, transaction_hash string")
+    plans = [
+        audit.new_rows(rows, str(tmp_path), audit.AUDIT_KEY, ["j"], unique)._jdf.queryExecution().executedPlan().toString()
+        for unique in (False, True)
+    ]
+    assert ["Exchange" in plan for plan in plans] == [True, False]
+
+
 def test_audit_rows_are_appended_once(spark, tmp_path, ledger, statement):
     run = reconcile(ledger(ERP), statement(BANK))
     rows, path = audit.audit_rows(run.pairs, run.exceptions, 5), str(tmp_path / "audit")
