@@ -37,15 +37,16 @@ def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     id; of rows that repeat an id the one with the smallest text stays.
     """
     docs = one_row_each(docs)
-    rows = docs.where("doc_id is not null").select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept = suffix_dedup.kept_texts(docs).where("doc_id is not null").select("doc_id", F.col("text").alias("kept"))
-    changed = {"text": F.when(F.col("row.text").isNotNull(), F.col("kept"))}
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    held = {c: F.col("row").getField(f"c{i}") for i, c in enumerate(others)}
+    row = F.struct(F.lit(0).alias("n"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row")
+    held |= {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in docs.columns:
         length = F.length("kept").cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(F.col("row.text").eqNullSafe(F.col("kept")), F.col("row.n_chars")).otherwise(length)
-    emptied = (F.coalesce(F.length("row.text"), F.lit(0)) > 0) & (F.length("kept") == 0)
-    columns = [changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
-    return rows.join(kept, "doc_id").where(~emptied).select(*columns).unionByName(docs.where("doc_id is null"))
+        held["n_chars"] = F.when(F.col("text").eqNullSafe(F.col("kept")), held["n_chars"]).otherwise(length)
+    emptied = (F.coalesce(F.length("text"), F.lit(0)) > 0) & (F.length("kept") == 0)
+    kept = suffix_dedup.with_kept_texts(docs.select("doc_id", "text", row)).where(~emptied)
+    return kept.select(*[held[c].alias(c) for c in docs.columns])
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -256,7 +256,7 @@ def _by_window(rows: DataFrame, windows: Windows) -> DataFrame:
 
 
 def with_runs(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    """(doc_id, text, runs): each text with its (start, n) runs, null if it has none."""
+    """``texts`` with the (start, n) runs of each as ``runs``, null if it has none."""
     per_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     return texts.join(per_doc, "doc_id", "left")
 

@@ -15,9 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ledgerlink.llm.anchors import Windows, all_texts, covered, group_arrays, repeated_runs, with_runs
 from ledgerlink.llm.byte_bpe import small_batches
+from ledgerlink.llm.common import keyed_texts
 
 LENGTH = 100
 _BYTE_HASH = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -227,10 +229,14 @@ def dedup_digests(docs: DataFrame, hot_pieces: int | None = None) -> DataFrame:
     return repeated_bytes(texts, hot_pieces).mapInArrow(run, out)
 
 
-def kept_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with repeated bytes removed; bytes of cut characters are dropped."""
-    texts = all_texts(docs)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+def with_kept_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row) and ``kept``: the text with repeated bytes removed; bytes of cut characters are dropped.
+
+    ``docs`` has one row per id, and any without id; ``row`` holds other columns,
+    so that texts need not be shuffled again to meet them.
+    """
+    runs = repeated_runs(keyed_texts(docs), WINDOWS, _cut_bytes, _compare)
+    shape = T.StructType([*docs.schema.fields, T.StructField("kept", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,6 +249,7 @@ def kept_texts(docs: DataFrame) -> DataFrame:
                     data = text.encode()
                     left = np.frombuffer(data, np.uint8)[~removed_mask(data, runs)].tobytes()
                     kept.append(left.decode(errors="ignore"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.string())], names=["doc_id", "text"])
+                columns = [part.column(name) for name in shape.names[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string())], names=shape.names)
 
-    return repeated_bytes(texts).mapInArrow(run, f"doc_id {kind}, text string")
+    return with_runs(docs, runs).mapInArrow(run, shape)

@@ -275,6 +275,13 @@ def test_a_stage_on_odd_tables(spark, name, stage):
             assert got == {i: t for i, t in whole.items() if t or not texts[i]}
 
 
+def test_repeated_bytes_go_without_texts_meeting_texts(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    out = corpus_pipeline.without_repeated_bytes(spark, docs, SF_DIR)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[doc_id#\d+L?,text#", plan)) == 2  # to cut pieces from, to remove runs from
+
+
 def test_the_whole_pipeline_on_odd_tables(spark, tmp_path):
     for table in ("labels", "benchmark"):
         (tmp_path / f"{table}.parquet").symlink_to(f"{SF_DIR}/{table}.parquet")
