@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
 from ledgerlink.operators import audit, evaluate, metrics
+from ledgerlink.plans import queries
 from ledgerlink.schemas import DECISION_LOG
 from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming.intake import start_intake
@@ -479,3 +480,40 @@ def test_bad_jobs_do_not_stop_a_good_one(spark, tmp_path):
 def test_days_and_months_in_either_order(spark, text, found):
     row = spark.createDataFrame([(text,)], "t string").select(files.day(F.col("t")).cast("string")).first()
     assert row[0] == found
+
+
+def _small_orders(spark, folder) -> str:
+    rows = [(k, k % 5, 100.0 + k, f"1997-01-{1 + k % 28:02d}") for k in range(40)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, day string")
+    orders.withColumn("o_orderdate", F.to_timestamp_ntz("day")).drop("day").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_compressed_products_are_read_back(spark, tmp_path, ledger, statement):
+    run, found = reconcile(ledger(ERP), statement(BANK)), []
+    for codec in (None, "gzip"):
+        out = tmp_path / str(codec)
+        sinks.write_all(run, str(out), {"total": 1}, compression=codec)
+        parts = list(out.rglob("part-*"))
+        assert parts and all((p.suffix == ".gz") == (codec == "gzip") for p in parts)
+        rows = [
+            files.read_matched_report(spark, f"{out}/{sinks.REPORT}", None),
+            files.read_exceptions(spark, f"{out}/{sinks.EXCEPTIONS}", None),
+            files.read_decision_log(spark, f"{out}/{sinks.DECISIONS}", None, lines=True),
+            files.read_metrics(spark, f"{out}/{sinks.METRICS}").drop("categorized_exceptions"),
+        ]
+        found.append([sorted(map(str, r.collect())) for r in rows])
+    assert found[0] == found[1] and all(found[0])
+
+
+def test_products_and_arrays_only_read_back_are_compressed(spark, tmp_path, monkeypatch):
+    data, made = _small_orders(spark, tmp_path / "in"), []
+    monkeypatch.setattr(queries, "_scratch", lambda _, name: made.append(tmp_path / name) or str(made[-1]))
+    report = queries.report_roundtrip(spark, data)
+    arrays = queries.log_array_roundtrip(spark, data)
+    run = queries._pipeline(spark, data)
+    assert report.count() == run.matched.count() > 0
+    assert arrays.count() == run.log.count() > 0
+    for folder in made:
+        parts = list(folder.rglob("part-*"))
+        assert parts and all(p.suffix == ".gz" for p in parts)
