@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
-from ledgerlink.operators import audit, evaluate, metrics
+from ledgerlink.operators import audit, decide, evaluate, metrics
 from ledgerlink.plans import queries
 from ledgerlink.schemas import DECISION_LOG
 from ledgerlink.sources import derived, files, sinks
@@ -517,3 +517,11 @@ def test_products_and_arrays_only_read_back_are_compressed(spark, tmp_path, monk
     for folder in made:
         parts = list(folder.rglob("part-*"))
         assert parts and all(p.suffix == ".gz" for p in parts)
+
+
+def test_evaluators_are_sent_no_scores(spark, tmp_path):
+    data = _small_orders(spark, tmp_path)
+    rows = queries._evaluated(spark, data, decide.BatchEvaluator(queries._agreeing_frames))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "overlap#" not in plan
+    assert rows.count() == queries._pipeline(spark, data).candidates.count() > 0
