@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink import reconcile
+from ledgerlink.operators import evaluate
 from ledgerlink.operators.candidates import _best_scored
 from ledgerlink.operators.exact import available_statement, without_keys
 from ledgerlink.session import checkpoint_folder, checkpointed, cut_lineage, lasting, passing_results
@@ -89,6 +90,9 @@ def test_counts_take_exceptions_and_log_without_texts(ledger, statement):
     assert len(run.open_records.collect()) == 1
     key = ["erp_id", "bank_ref", "rank", "confidence_score"]
     assert sorted(map(tuple, run.logged.select(key).collect())) == sorted(map(tuple, run.log.select(key).collect()))
+    truth = run.exact.limit(0).select("run_id", "erp_id", "bank_ref", F.lit("exact").alias("match_type"))
+    tables = [evaluate.confidence_calibration(log, truth).collect() for log in (run.logged, run.log)]
+    assert sorted(map(tuple, tables[0])) == sorted(map(tuple, tables[1])) and tables[0]
 
 
 def test_available_rows_are_found_without_shuffling_them(spark, statement):
