@@ -5,6 +5,7 @@ import re
 from datetime import date, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +277,38 @@ def test_a_key_hands_on_its_best_pairs_only(spark, ledger, statement):
     nothing = spark.createDataFrame([], "run_id string, key string")
     pairs = candidates._paired_or_searched(erp, bank, *keyed, nothing, config)
     assert sorted(r.bank_ord for r in pairs.collect()) == [0, 1, 2, 3]
+
+
+def test_far_amounts_are_searched_by_their_days(monkeypatch):
+    """A question whose amounts are far apart meets the points of the nearest days, not all of its group."""
+    rng = random.Random(24)
+    points, n = [(rng.randrange(10**10), i, rng.randrange(300)) for i in range(3000)], 200
+    asked = [(rng.randrange(10**10), i, rng.randrange(300)) for i in range(n)]
+    table = lambda rows: pa.table({
+        "run_id": ["r"] * len(rows), "grp": ["g"] * len(rows),
+        **{c: pa.array([row[i] for row in rows], pa.int32() if c == "day" else pa.int64()) for i, c in enumerate(("x", "ord", "day"))},
+    })
+    met, value = [], nearest._amount_value
+    monkeypatch.setattr(nearest, "_amount_value", lambda delta: met.append(len(delta)) or value(delta))
+    questions = table(asked).append_column("base", pa.array([0.0] * n))
+    _, _, rows, places, _ = nearest._best_points(questions, table(points), 2, None, nearest.np.arange(300))
+    assert sum(met) < 100 * n
+    worth = lambda x, day, p: 0.3 / (1 + abs(x - p[0]) / 10_000) + 0.15 / (1 + abs(day - p[2]))
+    want = {(q, i) for x, q, day in asked for i in sorted(range(3000), key=lambda i: (-worth(x, day, points[i]), i))[:2]}
+    assert set(zip(rows.tolist(), places.tolist())) == want
+
+
+def test_buckets_of_some_rows_are_searched(ledger, statement):
+    """Fifteen rows a bucket are forty-five pairs a row, as every row has three buckets."""
+    rng = random.Random(25)
+    start, n = date(2024, 1, 1), 6000
+    cents = lambda: Decimal(rng.randrange(2_000_000)) / 100
+    erp = ledger([(f"E{i}", start + timedelta(rng.randrange(900)), f"buyer{i}", cents(), "INR", None) for i in range(n)])
+    bank = statement([(f"B{i}", start + timedelta(rng.randrange(900)), f"payer{i}", cents(), None) for i in range(n)])
+    searched, paired = ReconConfig(hot_group_rows=60), ReconConfig(hot_group_rows=1000)
+    pairs = candidates.plausible_pairs(
+        candidates.ledger_features(erp, searched), candidates.statement_features(bank, searched), searched
+    )
+    assert pairs.count() <= 2 * n * searched.max_candidates
+    found = [{tuple(r) for r in top_candidates(erp, bank, c).collect()} for c in (searched, paired)]
+    assert found[0] == found[1]
