@@ -2,6 +2,7 @@ import hashlib
 import json
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,6 +13,7 @@ from ledgerlink.operators import audit, decide, evaluate, metrics
 from ledgerlink.plans import queries
 from ledgerlink.schemas import DECISION_LOG
 from ledgerlink.sources import derived, files, sinks
+from ledgerlink.streaming import intake
 from ledgerlink.streaming.intake import start_intake
 from test_pipeline import BANK, ERP
 
@@ -525,3 +527,37 @@ def test_evaluators_are_sent_no_scores(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and "overlap#" not in plan
     assert rows.count() == queries._pipeline(spark, data).candidates.count() > 0
+
+
+def test_offsets_of_splits_shuffle_no_rows(spark, tmp_path):
+    path = write(tmp_path / files.LEDGER_FILE, LEDGER_HEADER, text(ERP))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = files.read_ledger(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_batch_reads_each_side_once(spark, tmp_path, monkeypatch):
+    rows, seen, whole = [], [], intake.reconcile
+    for job in ("a", "b"):
+        erp = write(tmp_path / job / files.LEDGER_FILE, LEDGER_HEADER, text(ERP))
+        bank = write(tmp_path / job / files.STATEMENT_FILE, BANK_HEADER, text(BANK))
+        rows.append((job, "u", erp, bank))
+
+    def watched(ledger, statement, *rest):
+        for side in (ledger, statement):
+            seen.append((side._jdf.queryExecution().executedPlan().toString(), side.inputFiles()))
+        return whole(ledger, statement, *rest)
+
+    monkeypatch.setattr(intake, "reconcile", watched)
+    intake.process_requests(spark.createDataFrame(rows, intake.REQUEST_SCHEMA), str(tmp_path / "out"))
+    assert len(seen) == 2
+    for plan, kept in seen:
+        assert "FileScan csv" not in plan and "Exchange" not in plan
+        assert kept and not any(Path(f.removeprefix("file:")).exists() for f in kept)  # removed with the batch
+    for job in ("a", "b"):
+        assert files.read_matched_report(spark, f"{tmp_path}/out/{sinks.REPORT}/run_id={job}").count() == 3
+    audited = spark.read.parquet(f"{tmp_path}/out/transaction_audit").groupBy("job_id", "stage").count()
+    assert {tuple(r) for r in audited.where("stage = 'reconciliation'").collect()} == {(j, "reconciliation", 3) for j in ("a", "b")}
