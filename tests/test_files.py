@@ -561,3 +561,10 @@ def test_a_batch_reads_each_side_once(spark, tmp_path, monkeypatch):
         assert files.read_matched_report(spark, f"{tmp_path}/out/{sinks.REPORT}/run_id={job}").count() == 3
     audited = spark.read.parquet(f"{tmp_path}/out/transaction_audit").groupBy("job_id", "stage").count()
     assert {tuple(r) for r in audited.where("stage = 'reconciliation'").collect()} == {(j, "reconciliation", 3) for j in ("a", "b")}
+
+
+def test_tokens_of_a_pair_are_found_once(spark):
+    pair = spark.createDataFrame([("Green Shop", "GREEN shop x")], "m string, d string")
+    share = pair.select(decide.identity_share(F.col("m"), F.col("d")).alias("share"))
+    assert share.first().share == 1.0
+    assert share._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") <= 2
