@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlink import reconcile
 from ledgerlink.operators import audit, decide, evaluate, metrics
 from ledgerlink.plans import queries
+from ledgerlink.plans.evaluation import evaluate_artifacts
 from ledgerlink.schemas import DECISION_LOG
 from ledgerlink.sources import derived, files, sinks
 from ledgerlink.streaming import intake
@@ -563,6 +564,22 @@ def test_a_batch_reads_each_side_once(spark, tmp_path, monkeypatch):
     assert {tuple(r) for r in audited.where("stage = 'reconciliation'").collect()} == {(j, "reconciliation", 3) for j in ("a", "b")}
 
 
+def test_a_single_run_is_written_as_its_rows_lie(spark, tmp_path, ledger, statement):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("if(id % {0} = 0, 'b', 'a') AS run_id".format(10**9), "id AS x")
+    for name, runs, n_files in (("one", ["a"], 4), ("more", ["a", "b"], 2)):
+        sinks._writer(rows.where("run_id = 'a'") if name == "one" else rows, f"{tmp_path}/{name}", runs).json(f"{tmp_path}/{name}")
+        assert len(list((tmp_path / name).rglob("part-*"))) == n_files
+
+
+def test_a_summary_parses_the_products_once(spark, tmp_path, ledger, statement):
+    sinks.write_all(reconcile(ledger(ERP), statement(BANK)), str(tmp_path), {"total": 1})
+    pairs = spark.createDataFrame([("run", "E1", "B1", "exact")], "run_id string, erp_id string, bank_ref string, match_type string")
+    open_ = spark.createDataFrame([], "run_id string, dataset string, record_id string")
+    summary = evaluate_artifacts(spark, str(tmp_path), pairs, open_)
+    assert "FileScan csv" not in summary._jdf.queryExecution().executedPlan().toString()
+    assert summary.count() == 1
+
+
 def test_tokens_of_a_pair_are_found_once(spark):
     pair = spark.createDataFrame([("Green Shop", "GREEN shop x")], "m string, d string")
     share = pair.select(decide.identity_share(F.col("m"), F.col("d")).alias("share"))
